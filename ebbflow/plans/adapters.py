@@ -86,6 +86,7 @@ def raw_events(events: DataFrame) -> DataFrame:
         activity.alias("{activity_kind}"),
         params.alias("{publisher_parameters}"),
         country.alias("{country}"),
+        F.when(u % 6 == 0, F.lit('Rio, "Lagoa"\nBR')).otherwise(F.concat(F.lit("city"), _s(u % 6))).alias("{city}"),
         F.when(u % 2 == 0, F.lit("android")).otherwise(F.lit("ios")).alias("{os_name}"),
         device.alias("{device_type}"),
         F.concat(F.lit("1."), _s(u % 4)).alias("{app_version_short}"),

@@ -264,3 +264,145 @@ QUERIES: dict[str, Query] = {
     "run_manifest": q_run_manifest,
     "dedupe_latest": q_dedupe_latest,
 }
+
+
+# ------------------------------------------------- file sources (round trip)
+from ebbflow.plans import exports as XP  # noqa: E402
+from ebbflow.plans import event_lake as EL  # noqa: E402
+from ebbflow.session import scratch_path  # noqa: E402
+from ebbflow.sinks import parquet as W  # noqa: E402
+from ebbflow.sinks import quarantine as QN  # noqa: E402
+from ebbflow.sources import files as S  # noqa: E402
+
+WINDOW_DATE = "2024-01-05"
+WINDOW_TENANTS = [A.ADAPTER_TENANTS[0], A.ADAPTER_TENANTS[3]]
+PLAIN_TENANTS = [t for t in A.ADAPTER_TENANTS if t not in XP.GZIP_TENANTS] + [""]
+
+
+def _root(spark, sf):
+    apply_base_conf(spark)
+    return XP.export_root(spark, sf)
+
+
+def _basename(c: str = "filename"):
+    return F.element_at(F.split(c, "/"), -1)
+
+
+def _scan(spark, sf, **kw) -> S.ScanResult:
+    return S.load_events(spark, _root(spark, sf), **kw)
+
+
+def q_discover_files(spark, sf):
+    listing = S.list_source_files(spark, _root(spark, sf))
+    return listing.select("file_name", X.tenant_from_path("path").alias("prefix"),
+                          (F.col("length") == 0).alias("is_empty"))
+
+
+def q_csv_scan(spark, sf):
+    rows = _scan(spark, sf).rows
+    return rows.select(*[c for c in rows.columns if c != "filename"], _basename().alias("file_name"))
+
+
+def q_union_by_name(spark, sf):
+    rows = _scan(spark, sf).rows
+    return rows.groupBy(_basename().alias("file_name")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("device_type").alias("with_device_type"),
+        F.count("extra").alias("with_extra"))
+
+
+def q_malformed_rows(spark, sf):
+    bad = _scan(spark, sf).bad_rows
+    return bad.groupBy(_basename().alias("file_name")).agg(F.count(F.lit(1)).alias("malformed_rows"))
+
+
+def q_misnamed_gz_scan(spark, sf):
+    rows = _scan(spark, sf, compression="none", tenants=PLAIN_TENANTS).rows
+    return rows.groupBy(_basename().alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_file_provenance(spark, sf):
+    rows = _scan(spark, sf).rows
+    return rows.groupBy(_basename().alias("file_name"), "prefix").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_normalize_columns(spark, sf):
+    rows = _scan(spark, sf).rows.drop("filename", "prefix")
+    stats = rows.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in rows.columns])
+    return stats.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("bigint").alias("non_null_values"))
+        for c in rows.columns])))
+
+
+def q_file_isolation(spark, sf):
+    files = _scan(spark, sf).files
+    return files.select("file_name", "status", "is_gzip")
+
+
+def q_quarantine_files(spark, sf):
+    q = QN.quarantine_frame(_scan(spark, sf).files, A.EVENTS_CLOCK)
+    q = QN.with_content(spark, q)
+    return q.select("file_name", "dlq_path", "reason", "length",
+                    F.length("content").cast("bigint").alias("content_bytes"))
+
+
+def q_source_window(spark, sf):
+    rows = _scan(spark, sf, date=WINDOW_DATE, tenants=WINDOW_TENANTS).rows
+    return rows.select("adid", "created_at", "activity_kind", _basename().alias("file_name"), "prefix")
+
+
+def q_empty_input(spark, sf):
+    rows = _scan(spark, sf, date="2030-01-01").rows
+    p = E.process_events(rows, A.EVENTS_CLOCK)
+    return p.select("adid", "created_at", "activity_kind", "prefix", "pp_event_name", "date")
+
+
+def q_file_manifest(spark, sf):
+    m = EL.manifest_from_sources(spark, _root(spark, sf))
+    return m.select("file_name", "record_count",
+                    F.col("file_hash").isNotNull().alias("has_hash"),
+                    F.coalesce(F.length("raw_content") > 0, F.lit(False)).alias("has_content"))
+
+
+def q_partitioned_write(spark, sf):
+    path = scratch_path(spark, "routed")
+    W.write_routed(R.route_events(processed_events(spark, sf)), path)
+    return W.read_partitioned(spark, path, {"date": "date", "table_name": "string"})
+
+
+def q_agg_write(spark, sf):
+    path = scratch_path(spark, "aggregates")
+    W.write_aggregates(G.ad_preagg_output(G.ad_preaggregate(processed_events(spark, sf), A.EVENTS_CLOCK)), path)
+    return _round_revenue(W.read_partitioned(spark, path, {"date": "date", "table_name": "string"}))
+
+
+def q_clustered_write(spark, sf):
+    path = scratch_path(spark, "processed_data")
+    W.write_clustered(good_files(spark, sf), path, "load_date", ["file_name"])
+    return W.read_partitioned(spark, path, {"load_date": "date"})
+
+
+def q_run_metrics(spark, sf):
+    out = scratch_path(spark, "lake")
+    run = EL.run_event_lake(spark, _root(spark, sf), out, A.EVENTS_CLOCK)
+    return run.metrics.drop("phase_seconds")
+
+
+QUERIES.update({
+    "discover_files": q_discover_files,
+    "csv_scan": q_csv_scan,
+    "union_by_name": q_union_by_name,
+    "malformed_rows": q_malformed_rows,
+    "misnamed_gz_scan": q_misnamed_gz_scan,
+    "file_provenance": q_file_provenance,
+    "normalize_columns": q_normalize_columns,
+    "file_isolation": q_file_isolation,
+    "quarantine_files": q_quarantine_files,
+    "source_window": q_source_window,
+    "empty_input": q_empty_input,
+    "file_manifest": q_file_manifest,
+    "partitioned_write": q_partitioned_write,
+    "agg_write": q_agg_write,
+    "clustered_write": q_clustered_write,
+    "run_metrics": q_run_metrics,
+})

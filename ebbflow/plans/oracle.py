@@ -74,6 +74,7 @@ raw AS (
       || '"ad_revenue": "' || CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') || '"}}'
     END AS publisher_parameters,
     CASE user_id % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'DE' WHEN 2 THEN 'TR' END AS country,
+    CASE WHEN user_id % 6 = 0 THEN 'Rio, "Lagoa"' || chr(10) || 'BR' ELSE 'city' || CAST(user_id % 6 AS VARCHAR) END AS city,
     CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END AS os_name,
     CASE user_id % 3 WHEN 0 THEN 'phone' WHEN 1 THEN 'tablet' END AS device_type,
     '1.' || CAST(user_id % 4 AS VARCHAR) AS app_version_short,
@@ -98,9 +99,10 @@ def _epoch_ts(col: str) -> str:
             f"ELSE make_timestamp({n} * 1000000) END")
 
 
-PROCESSED = RAW + f""",
-processed AS (
-  SELECT rawp.*,
+def processed_cte(name: str = "processed", src: str = "rawp") -> str:
+    return f"""
+{name} AS (
+  SELECT {src}.*,
     {_jx('adjust_event_name')} AS pp_event_name,
     {_jx('game')} AS pp_game,
     {_jx('ad_format')} AS pp_ad_format,
@@ -108,15 +110,19 @@ processed AS (
     {_jx('ad_revenue')} AS pp_ad_revenue,
     '{EV_AS_OF}' AS _time,
     CAST({_epoch_ts('created_at')} AS DATE) AS date
-  FROM rawp
+  FROM {src}
   WHERE created_at IS NOT NULL
     AND lower(trim(activity_kind)) IN ('session', 'install', 'install_update', 'event')
 )"""
 
-ROUTED = PROCESSED + ",\n" + rules_cte() + """,
-routed AS (
+
+PROCESSED = RAW + "," + processed_cte()
+
+def routed_cte(name: str = "routed", src: str = "processed") -> str:
+    return f"""
+{name} AS (
   SELECT p.*, r.suffix, p.prefix || '_' || lower(r.suffix) AS table_name
-  FROM processed p
+  FROM {src} p
   JOIN rules r
     ON (r.filter_column = 'activity_kind' AND p.activity_kind = r.filter_value)
     OR (r.filter_column = 'pp_event_name' AND p.pp_event_name = r.filter_value)
@@ -124,23 +130,30 @@ routed AS (
     AND (r.allowed IS NULL OR list_contains(r.allowed, p.prefix))
 )"""
 
-KEPT = ("adid, created_at, installed_at, activity_kind, publisher_parameters, country, os_name, "
+
+ROUTED = PROCESSED + ",\n" + rules_cte() + "," + routed_cte()
+
+KEPT = ("adid, created_at, installed_at, activity_kind, publisher_parameters, country, city, os_name, "
         "device_type, app_version_short, filename, pp_event_name, _time, date")
 
-AD_AGG = PROCESSED + f""",
-adagg AS (
+def adagg_cte(name: str = "adagg", src: str = "processed") -> str:
+    return f"""
+{name} AS (
   SELECT prefix, date, adid, country, os_name, device_type, app_version_short,
     pp_game AS game_name, pp_ad_format AS ad_format, pp_ad_placement AS ad_placement,
     COUNT(*) AS ad_count,
     round(SUM(TRY_CAST(pp_ad_revenue AS DOUBLE)), 6) AS ad_revenue,
     CAST(MAX(date_diff('day', {_epoch_ts('installed_at')}, {_epoch_ts('created_at')})) AS BIGINT) AS aging,
     '{EV_AS_OF}' AS _time
-  FROM processed
+  FROM {src}
   WHERE pp_event_name = 'ad_impression' AND date >= DATE '{EV_DATE}' - {C.AD_LOOKBACK_DAYS}
   GROUP BY prefix, date, adid, country, os_name, device_type, app_version_short,
     pp_game, pp_ad_format, pp_ad_placement
 )"""
 
+
+AD_AGG = PROCESSED + "," + adagg_cte()
+
 MANIFEST = f"""
 manifest AS (
   SELECT
@@ -270,7 +283,7 @@ SELECT adid, created_at, activity_kind, filename,
 FROM raw
 WHERE created_at IS NULL
    OR NOT COALESCE(lower(trim(activity_kind)) IN ('session', 'install', 'install_update', 'event'), false)""")
-    present = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters",
+    present = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters", "city",
                "country", "os_name", "device_type", "app_version_short"]
     rows = []
     for c in C.REQUIRED_COLUMNS:
@@ -393,3 +406,100 @@ SELECT file_name, load_timestamp, file_hash, record_count, raw_content FROM (
   SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY load_timestamp DESC, file_hash DESC) AS rn
   FROM manifest) WHERE rn = 1""")
     return q
+
+
+# ------------------------------------------------- file sources (round trip)
+from ebbflow.plans import exports as XP  # noqa: E402
+
+_BROKEN = list(XP.BROKEN_FILES.items())
+_GZ_LIST = ", ".join(_q(t) for t in XP.GZIP_TENANTS)
+_TENANT_OF = {name: name.split("_")[0] for name, _ in _BROKEN}
+
+EXPORTS = RAW + f""",
+exp AS (
+  SELECT rawp.*, regexp_extract(filename, '[^/]+$', 0) AS file_name,
+    COALESCE(TRY_CAST(regexp_extract(filename, '_[0-9]{{4}}-[0-9]{{2}}-([0-9]{{2}})T', 1) AS INTEGER), 0) AS day,
+    COALESCE(created_at LIKE '%{XP.MALFORMED_SUFFIX}', false) AS is_malformed
+  FROM rawp
+),
+scanned AS (
+  SELECT adid, created_at, installed_at, activity_kind, publisher_parameters, country, city, os_name,
+    CASE WHEN day % 2 = 0 THEN device_type END AS device_type, app_version_short,
+    CASE WHEN day % 2 = 1 THEN 'x' END AS extra, file_name, prefix
+  FROM exp WHERE NOT is_malformed
+)"""
+
+
+def _broken_values(cols: str, row) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(row(n, b, st) for n, (b, st) in _BROKEN) + f") AS t({cols})"
+
+
+def file_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["discover_files"] = _with(EXPORTS, "SELECT DISTINCT file_name, prefix, false AS is_empty FROM exp\nUNION ALL\n"
+                                + _broken_values("file_name, prefix, is_empty", lambda n, b, st:
+                                                 f"({_q(n)}, {_q(_TENANT_OF[n])}, {'true' if not b else 'false'})"))
+    q["csv_scan"] = _with(EXPORTS, "SELECT * FROM scanned")
+    q["union_by_name"] = _with(EXPORTS, """
+SELECT file_name, COUNT(*) AS n_rows, COUNT(device_type) AS with_device_type, COUNT(extra) AS with_extra
+FROM scanned GROUP BY file_name""")
+    q["malformed_rows"] = _with(EXPORTS, """
+SELECT file_name, COUNT(*) AS malformed_rows FROM exp WHERE is_malformed GROUP BY file_name""")
+    q["misnamed_gz_scan"] = _with(EXPORTS, f"""
+SELECT file_name, COUNT(*) AS n_rows FROM scanned WHERE prefix NOT IN ({_GZ_LIST}) GROUP BY file_name""")
+    q["file_provenance"] = _with(EXPORTS, """
+SELECT file_name, prefix, COUNT(*) AS n_rows FROM scanned GROUP BY file_name, prefix""")
+    cols = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters", "country", "city",
+            "os_name", "device_type", "app_version_short", "extra"]
+    q["normalize_columns"] = _with(EXPORTS, "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST(COUNT({c}) AS BIGINT) AS non_null_values FROM scanned" for c in cols))
+    status_rows = _broken_values("file_name, status, is_gzip", lambda n, b, st: (
+        f"({_q(n)}, {_q(st)}, " + ("NULL" if not b else ("true" if b[:2] == b'\x1f\x8b' else "false")) + ")"))
+    q["file_isolation"] = _with(EXPORTS, f"""
+SELECT DISTINCT file_name, 'OK' AS status, prefix IN ({_GZ_LIST}) AS is_gzip FROM exp
+UNION ALL
+{status_rows}""")
+    failed = [(n, b, st) for n, (b, st) in _BROKEN if st != "OK"]
+    q["quarantine_files"] = "SELECT * FROM (VALUES " + ", ".join(
+        f"({_q(n)}, {_q(C.DEFAULT_DLQ_LOCATION + '/' + n)}, {_q(st)}, CAST({len(b)} AS BIGINT), CAST({len(b)} AS BIGINT))"
+        for n, b, st in failed) + ") AS t(file_name, dlq_path, reason, length, content_bytes)"
+    from ebbflow.plans.catalog import WINDOW_DATE, WINDOW_TENANTS
+    q["source_window"] = _with(EXPORTS, f"""
+SELECT adid, created_at, activity_kind, file_name, prefix FROM scanned
+WHERE file_name LIKE '%\\_{WINDOW_DATE}T%' ESCAPE '\\' AND prefix IN ({", ".join(_q(t) for t in WINDOW_TENANTS)})""")
+    q["empty_input"] = """
+SELECT CAST(NULL AS VARCHAR) AS adid, CAST(NULL AS VARCHAR) AS created_at, CAST(NULL AS VARCHAR) AS activity_kind,
+  CAST(NULL AS VARCHAR) AS prefix, CAST(NULL AS VARCHAR) AS pp_event_name, CAST(NULL AS DATE) AS date
+FROM events WHERE false"""
+    manifest_rows = _broken_values("file_name, record_count, has_hash, has_content", lambda n, b, st: (
+        f"({_q(n)}, " + ("CAST(0 AS BIGINT)" if st == "OK" else "CAST(NULL AS BIGINT)") + ", "
+        + ("true" if b else "false") + ", " + ("true" if st == "OK" and b else "false") + ")"))
+    q["file_manifest"] = _with(EXPORTS, f"""
+SELECT file_name, CAST(COUNT(*) AS BIGINT) AS record_count, true AS has_hash, true AS has_content
+FROM exp GROUP BY file_name
+UNION ALL
+{manifest_rows}""")
+    base = sql()
+    q["partitioned_write"] = base["route_events"]
+    q["agg_write"] = base["ad_preagg_output"]
+    q["clustered_write"] = base["processed_files"]
+    lake = (EXPORTS + "," + processed_cte("lp", "scanned") + ",\n" + rules_cte() + ","
+            + routed_cte("lr", "lp") + "," + adagg_cte("la", "lp"))
+    q["run_metrics"] = _with(lake, f""",
+tenants AS (SELECT DISTINCT prefix FROM lp WHERE prefix IS NOT NULL),
+pairs AS (SELECT t.prefix, r.suffix FROM tenants t CROSS JOIN rules r
+          WHERE r.allowed IS NULL OR list_contains(r.allowed, t.prefix)),
+counts AS (SELECT prefix, suffix, COUNT(*) AS n FROM lr GROUP BY prefix, suffix),
+cov AS (SELECT COALESCE(counts.n, 0) AS n FROM pairs LEFT JOIN counts
+        ON pairs.prefix = counts.prefix AND pairs.suffix = counts.suffix)
+SELECT
+  CAST((SELECT COUNT(DISTINCT file_name) FROM exp) + {len(_BROKEN)} AS BIGINT) AS files_total,
+  CAST((SELECT COUNT(DISTINCT file_name) FROM exp) + {sum(1 for _, (_, st) in _BROKEN if st == 'OK')} AS BIGINT) AS files_ok,
+  CAST({sum(1 for _, (_, st) in _BROKEN if st != 'OK')} AS BIGINT) AS files_failed,
+  CAST((SELECT COUNT(*) FROM scanned) AS BIGINT) AS rows_read,
+  CAST((SELECT COUNT(*) FROM exp WHERE is_malformed) AS BIGINT) AS rows_malformed,
+  CAST((SELECT COUNT(*) FROM lr) AS BIGINT) AS partitioned_rows_written,
+  CAST((SELECT COUNT(*) FROM la WHERE prefix IS NOT NULL) AS BIGINT) AS aggregate_rows_written,
+  CAST((SELECT COUNT(*) FROM cov WHERE n > 0) AS BIGINT) AS tables_written,
+  CAST((SELECT COUNT(*) FROM cov WHERE n = 0) AS BIGINT) AS empty_tables""")
+    return q
