@@ -406,3 +406,20 @@ QUERIES.update({
     "clustered_write": q_clustered_write,
     "run_metrics": q_run_metrics,
 })
+
+
+# ------------------------------------------------------------ streaming
+from ebbflow.streaming import incremental as INC  # noqa: E402
+
+
+def q_incremental_ingest(spark, sf):
+    root = _root(spark, sf)
+    out, ckpt = scratch_path(spark, "ingest"), scratch_path(spark, "ingest-ckpt")
+    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, max_files_per_trigger=64)
+    again = INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, max_files_per_trigger=64)
+    rows = INC.read_ingested(spark, out)
+    return (rows.groupBy(_basename().alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumn("second_run_batches", F.lit(again).cast("bigint")))
+
+
+QUERIES["incremental_ingest"] = q_incremental_ingest

@@ -479,6 +479,8 @@ SELECT file_name, CAST(COUNT(*) AS BIGINT) AS record_count, true AS has_hash, tr
 FROM exp GROUP BY file_name
 UNION ALL
 {manifest_rows}""")
+    q["incremental_ingest"] = _with(EXPORTS + "," + processed_cte("sp", "scanned"), """
+SELECT file_name, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS second_run_batches FROM sp GROUP BY file_name""")
     base = sql()
     q["partitioned_write"] = base["route_events"]
     q["agg_write"] = base["ad_preagg_output"]
