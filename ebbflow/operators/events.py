@@ -10,6 +10,20 @@ from ebbflow.functions import columns as X
 from ebbflow.functions.names import normalize_columns
 
 
+# Columns the processing and aggregation steps read; absent ones are added as
+# NULL strings so a file set without them still processes (rows then simply
+# fail the filters or form NULL groups).
+REFERENCED_COLUMNS = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters",
+                      "country", "os_name", "device_type", "app_version_short"]
+
+
+def ensure_columns(df: DataFrame, columns=REFERENCED_COLUMNS) -> DataFrame:
+    missing = [c for c in columns if c not in df.columns]
+    if not missing:
+        return df
+    return df.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
+
+
 def attach_tenant(raw: DataFrame, path_col: str = "filename", out: str = "prefix") -> DataFrame:
     """Add the tenant column parsed from the source path."""
     return raw.withColumn(out, X.tenant_from_path(path_col))
@@ -22,7 +36,7 @@ def process_events(raw: DataFrame, clock: C.RunClock) -> DataFrame:
     JSON is parsed once per row (one ``from_json`` into a struct); malformed JSON
     gives NULL parameters. Unparseable epochs give a NULL ``date``.
     """
-    df = normalize_columns(raw)
+    df = ensure_columns(normalize_columns(raw))
     filtered = df.where(F.col("created_at").isNotNull() & X.activity_allowed("activity_kind"))
     with_pp = filtered.withColumn("__pp", X.publisher_params("publisher_parameters"))
     keep = [F.col(c) for c in df.columns]

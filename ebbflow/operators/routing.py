@@ -45,15 +45,15 @@ class RuleSet:
         return [s for s, _, _, a in self.rules if a is None]
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """Rules as an inline relation (literals, no Python-side scan)."""
+        """Rules as an inline VALUES relation: one small local table, parsed
+        once, no Python-side scan."""
+        def q(x: str) -> str:
+            return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
         def arr(a):
-            if a is None:
-                return F.lit(None).cast("array<string>")
-            return F.array(*[F.lit(t) for t in a]).cast("array<string>")
-        rows = [F.struct(F.lit(s).alias("suffix"), F.lit(c).alias("filter_column"),
-                         F.lit(v).alias("filter_value"), arr(a).alias("allowed"))
-                for s, c, v, a in self.rules]
-        return spark.range(1).select(F.inline(F.array(*rows)))
+            return "CAST(NULL AS ARRAY<STRING>)" if a is None else "array(" + ", ".join(q(t) for t in a) + ")"
+        values = ", ".join(f"({q(s)}, {q(c)}, {q(v)}, {arr(a)})" for s, c, v, a in self.rules)
+        return spark.sql(f"SELECT * FROM VALUES {values} AS rules(suffix, filter_column, filter_value, allowed)")
 
 
 def _candidates(processed: DataFrame, rules: RuleSet, tenant_col: str) -> DataFrame:

@@ -53,6 +53,13 @@ def _count(obs: Observation, key: str = "n") -> int:
         return 0
 
 
+def _fired(obs: Observation) -> bool:
+    try:
+        return bool(obs.get)
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def run_event_lake(spark: SparkSession, source_root: str | list[str], output_root: str,
                    clock: C.RunClock, rules: R.RuleSet | None = None, compression: str = "sniff",
                    date: str | None = None, hour: str | None = None,
@@ -85,6 +92,13 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     processed_path = scratch_path(spark, "processed")
     processed.write.mode("overwrite").option("compression", "zstd").parquet(processed_path)
     staged = spark.read.parquet(processed_path)
+    read_counts = (_count(read_obs), _count(read_obs, "bad"))
+    if scan.flagged is not None and not _fired(read_obs):
+        # The optimizer removed the scan (e.g. a filter column absent from every
+        # file makes the filter constant false), so count the rows directly.
+        r = scan.flagged.agg(F.count(F.when(~F.col("__malformed"), 1)).alias("n"),
+                             F.count(F.when(F.col("__malformed"), 1)).alias("bad")).first()
+        read_counts = (int(r["n"]), int(r["bad"]))
     timings["process"] = time.perf_counter() - t1
 
     t2 = time.perf_counter()
@@ -108,7 +122,7 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     metrics = spark.createDataFrame([(
         int(file_stats["files_total"] or 0), int(file_stats["files_ok"] or 0),
         int((file_stats["files_total"] or 0) - (file_stats["files_ok"] or 0)),
-        _count(read_obs), _count(read_obs, "bad"), _count(routed_obs), _count(agg_obs),
+        read_counts[0], read_counts[1], _count(routed_obs), _count(agg_obs),
         int(cov["tables_written"] or 0), int(cov["empty_tables"] or 0),
         {k: float(v) for k, v in timings.items()},
     )], "files_total bigint, files_ok bigint, files_failed bigint, rows_read bigint, "

@@ -1,35 +1,68 @@
 """Parquet sinks.
 
 All writes are single jobs: one ``partitionBy`` write covers every routed
-table instead of one statement per (tenant, rule). ``REBALANCE`` on the
-partition columns lets AQE split a hot (table, date) into several tasks and
-merge small ones, so neither a skewed key nor many tiny keys decide the file
-layout; ``maxRecordsPerFile`` caps file size on top of that.
+table instead of one statement per (tenant, rule).
+
+File layout vs. skew: a key-only aggregate first counts the rows of every
+output partition (e.g. (table_name, date)); each partition then gets
+``ceil(rows / target_rows_per_file)`` salt buckets. Rows are shuffled on
+(partition columns, salt) into an explicit number of tasks, so
+
+* a small output partition lands in one task and becomes one file;
+* a hot output partition (say a third of all rows) is spread over as many
+  tasks as its size needs, each writing one file of about the target size;
+* tiny inputs still write in parallel (AQE does not merge an explicitly sized
+  shuffle down to one task, which would write every file serially).
+
+The per-partition count frame has one row per output partition (bounded by
+tables x dates); its size is checked before it is broadcast, otherwise the
+join falls back to a shuffle. Callers pass staged (columnar) input, so the
+counting pass reads only the partition columns.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
+DEFAULT_TARGET_ROWS_PER_FILE = 2_000_000
+MAX_BROADCAST_PARTITIONS = 1_000_000
+
+
+def _layout(df: DataFrame, partition_cols: list[str], target_rows: int,
+            num_partitions: int | None) -> DataFrame:
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("__rows"))
+              .select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols],
+                      F.greatest(F.lit(1), F.ceil(F.col("__rows") / F.lit(target_rows))).cast("int")
+                      .alias("__buckets")))
+    n_parts = counts.count()
+    side = F.broadcast(counts) if n_parts <= MAX_BROADCAST_PARTITIONS else counts
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in partition_cols])
+    joined = df.join(side, cond, "left")
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__buckets"))
+    return (joined.repartition(n, *[F.col(c) for c in partition_cols], salt)
+            .select(*[F.col(f"`{c}`") for c in df.columns]))
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
-                      max_records_per_file: int | None = DEFAULT_MAX_RECORDS_PER_FILE,
+                      target_rows_per_file: int = DEFAULT_TARGET_ROWS_PER_FILE,
+                      num_partitions: int | None = None,
                       sort_within: list[str] | None = None) -> None:
     """zstd Parquet, hive-partitioned; ``overwrite`` replaces only the partitions
     present in ``df`` (dynamic partition overwrite), others are kept."""
-    out = df.hint("rebalance", *partition_cols)
+    out = _layout(df, partition_cols, target_rows_per_file, num_partitions)
     if sort_within:
         out = out.sortWithinPartitions(*partition_cols, *sort_within)
-    w = (out.write.mode(mode)
-         .option("partitionOverwriteMode", "dynamic")
-         .option("compression", "zstd")
-         .partitionBy(*partition_cols))
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", int(max_records_per_file))
-    w.parquet(path)
+    (out.write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd")
+     .option("maxRecordsPerFile", int(target_rows_per_file))
+     .partitionBy(*partition_cols)
+     .parquet(path))
 
 
 def write_routed(routed: DataFrame, path: str, **kw) -> None:
