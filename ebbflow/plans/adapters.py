@@ -31,85 +31,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(c) -> F.Column:
-    return c.cast("string")
+def _tenant_case(col: str) -> str:
+    return "CASE " + col + " % 5 " + " ".join(
+        f"WHEN {k} THEN '{t}'" for k, t in enumerate(ADAPTER_TENANTS)) + " END"
+
+
+# Spark SQL expressions, one per output column (one plan call per column).
+_SEC = "(unix_micros(CAST(ts AS TIMESTAMP)) div 1000000)"
+_MS = "(unix_micros(CAST(ts AS TIMESTAMP)) div 1000)"
+_EVENT_NAME = """CASE WHEN event_type = 'click' THEN 'ad_impression'
+  WHEN event_type = 'purchase' THEN 'iap_purchased'
+  WHEN event_type = 'view' THEN CASE WHEN event_id % 4 = 0 THEN 'level_started'
+    WHEN event_id % 4 = 1 THEN 'Asset_Balance' WHEN event_id % 4 = 2 THEN 'asset_balance'
+    WHEN event_id % 8 = 3 THEN 'game_started' END
+  WHEN event_type = 'signup' THEN CASE WHEN event_id % 5 = 0 THEN 'earn_asset'
+    WHEN event_id % 5 = 1 THEN 'ad_call' END
+  ELSE 'level_finished' END"""
+_CENTS = "CAST(round(value * 100) AS BIGINT)"
+
+RAW_EVENT_EXPRS = [
+    "concat('u', CAST(user_id AS STRING)) AS `{adid}`",
+    f"""CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS STRING) WHEN event_id % 101 = 0 THEN 'bad'
+      WHEN event_id % 3 = 0 THEN CAST({_MS} AS STRING) ELSE CAST({_SEC} AS STRING) END AS `{{created_at}}`""",
+    f"""CASE WHEN event_id % 83 = 0 THEN CAST(NULL AS STRING)
+      ELSE CAST({_SEC} - (event_id % 40) * 86400 - 3600 AS STRING) END AS `{{installed_at}}`""",
+    """CASE WHEN event_type = 'view' THEN CASE WHEN event_id % 10 = 0 THEN ' Session ' ELSE 'session' END
+      WHEN event_type = 'signup' THEN CASE WHEN event_id % 9 = 0 THEN 'install_update' ELSE 'install' END
+      WHEN event_type = 'error' THEN 'unknown' ELSE 'event' END AS `{activity_kind}`""",
+    f"""CASE WHEN event_id % 89 = 0 THEN 'not json' ELSE concat('{{',
+      CASE WHEN ({_EVENT_NAME}) IS NULL THEN '' ELSE concat('"adjust_event_name": "', {_EVENT_NAME}, '", ') END,
+      '"game": "g', CAST(user_id % 3 AS STRING), '", ',
+      '"ad_format": "', CASE WHEN event_id % 2 = 0 THEN 'banner' ELSE 'video' END, '", ',
+      CASE WHEN event_id % 7 = 0 THEN '' ELSE concat('"ad_placement": "p', CAST(user_id % 3 AS STRING), '", ') END,
+      '"ad_revenue": "', CAST({_CENTS} div 100 AS STRING), '.', lpad(CAST({_CENTS} % 100 AS STRING), 2, '0'),
+      '"}}') END AS `{{publisher_parameters}}`""",
+    "CASE user_id % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'DE' WHEN 2 THEN 'TR' END AS `{country}`",
+    """CASE WHEN user_id % 6 = 0 THEN 'Rio, "Lagoa"\nBR' ELSE concat('city', CAST(user_id % 6 AS STRING)) END
+      AS `{city}`""",
+    "CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END AS `{os_name}`",
+    "CASE user_id % 3 WHEN 0 THEN 'phone' WHEN 1 THEN 'tablet' END AS `{device_type}`",
+    "concat('1.', CAST(user_id % 4 AS STRING)) AS `{app_version_short}`",
+    f"""CASE WHEN user_id = {NOMATCH_USER} THEN '{SOURCE_ROOT}/nomatch.csv.gz'
+      ELSE concat('{SOURCE_ROOT}/', {_tenant_case('user_id')}, '_',
+                  date_format(CAST(ts AS TIMESTAMP), 'yyyy-MM-dd'), 'T00.csv.gz') END AS filename""",
+]
 
 
 def raw_events(events: DataFrame) -> DataFrame:
     """events(event_id, ts, user_id, event_type, value, props) -> raw CSV-like rows."""
-    i, u, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    sec = F.expr("unix_micros(cast(ts as timestamp)) div 1000000")
-    ms = F.expr("unix_micros(cast(ts as timestamp)) div 1000")
-    created = (F.when(i % 97 == 0, F.lit(None).cast("string"))
-               .when(i % 101 == 0, F.lit("bad"))
-               .when(i % 3 == 0, _s(ms))
-               .otherwise(_s(sec)))
-    installed = F.when(i % 83 == 0, F.lit(None).cast("string")).otherwise(
-        _s(sec - (i % 40) * 86400 - 3600))
-    activity = (F.when(et == "view", F.when(i % 10 == 0, F.lit(" Session ")).otherwise(F.lit("session")))
-                .when(et == "signup", F.when(i % 9 == 0, F.lit("install_update")).otherwise(F.lit("install")))
-                .when(et == "error", F.lit("unknown"))
-                .otherwise(F.lit("event")))
-    event_name = (F.when(et == "click", F.lit("ad_impression"))
-                  .when(et == "purchase", F.lit("iap_purchased"))
-                  .when(et == "view",
-                        F.when(i % 4 == 0, F.lit("level_started"))
-                        .when(i % 4 == 1, F.lit("Asset_Balance"))
-                        .when(i % 4 == 2, F.lit("asset_balance"))
-                        .when(i % 8 == 3, F.lit("game_started")))
-                  .when(et == "signup",
-                        F.when(i % 5 == 0, F.lit("earn_asset")).when(i % 5 == 1, F.lit("ad_call")))
-                  .otherwise(F.lit("level_finished")))
-    cents = F.round(F.col("value") * 100).cast("bigint")
-    revenue = F.concat(_s(F.floor(cents / 100).cast("bigint")), F.lit("."), F.lpad(_s(cents % 100), 2, "0"))
-    name_part = F.when(event_name.isNull(), F.lit("")).otherwise(
-        F.concat(F.lit('"adjust_event_name": "'), event_name, F.lit('", ')))
-    placement_part = F.when(i % 7 == 0, F.lit("")).otherwise(
-        F.concat(F.lit('"ad_placement": "p'), _s(u % 3), F.lit('", ')))
-    params = F.when(i % 89 == 0, F.lit("not json")).otherwise(F.concat(
-        F.lit("{"), name_part,
-        F.lit('"game": "g'), _s(u % 3), F.lit('", '),
-        F.lit('"ad_format": "'), F.when(i % 2 == 0, F.lit("banner")).otherwise(F.lit("video")), F.lit('", '),
-        placement_part,
-        F.lit('"ad_revenue": "'), revenue, F.lit('"}')))
-    tenant = F.element_at(F.array(*[F.lit(t) for t in ADAPTER_TENANTS]), (u % 5 + 1).cast("int"))
-    filename = F.when(u == NOMATCH_USER, F.lit(f"{SOURCE_ROOT}/nomatch.csv.gz")).otherwise(
-        F.concat(F.lit(SOURCE_ROOT + "/"), tenant, F.lit("_"),
-                 F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd"), F.lit("T00.csv.gz")))
-    country = (F.when(u % 4 == 0, F.lit("US")).when(u % 4 == 1, F.lit("DE"))
-               .when(u % 4 == 2, F.lit("TR")))
-    device = F.when(u % 3 == 0, F.lit("phone")).when(u % 3 == 1, F.lit("tablet"))
-    return events.select(
-        F.concat(F.lit("u"), _s(u)).alias("{adid}"),
-        created.alias("{created_at}"),
-        installed.alias("{installed_at}"),
-        activity.alias("{activity_kind}"),
-        params.alias("{publisher_parameters}"),
-        country.alias("{country}"),
-        F.when(u % 6 == 0, F.lit('Rio, "Lagoa"\nBR')).otherwise(F.concat(F.lit("city"), _s(u % 6))).alias("{city}"),
-        F.when(u % 2 == 0, F.lit("android")).otherwise(F.lit("ios")).alias("{os_name}"),
-        device.alias("{device_type}"),
-        F.concat(F.lit("1."), _s(u % 4)).alias("{app_version_short}"),
-        filename.alias("filename"),
-    )
+    return events.selectExpr(*RAW_EVENT_EXPRS)
+
+
+MANIFEST_EXPRS = [
+    "concat('file_', CAST(CASE WHEN doc_id % 100 = 1 THEN doc_id - 1 ELSE doc_id END AS STRING), '.csv') AS file_name",
+    f"timestamp_seconds({MANIFEST_BASE_EPOCH} - (doc_id % 10) * 86400) AS load_timestamp",
+    "md5(text) AS file_hash",
+    """CAST(CASE WHEN doc_id % 199 = 0 THEN NULL WHEN doc_id % 211 = 0 THEN 1000001
+      WHEN doc_id % 223 = 0 THEN -1
+      ELSE char_length(text) - char_length(replace(text, '\n', '')) END AS BIGINT) AS record_count""",
+    "CASE WHEN doc_id % 53 = 0 THEN '' WHEN doc_id % 59 = 0 THEN CAST(NULL AS STRING) ELSE text END AS raw_content",
+]
 
 
 def file_manifest(documents: DataFrame) -> DataFrame:
     """documents(doc_id, text, ...) -> manifest(file_name, load_timestamp, file_hash,
     record_count, raw_content)."""
-    d, text = F.col("doc_id"), F.col("text")
-    name_id = F.when(d % 100 == 1, d - 1).otherwise(d)
-    newlines = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit("")))
-    record_count = (F.when(d % 199 == 0, F.lit(None).cast("bigint"))
-                    .when(d % 211 == 0, F.lit(1_000_001).cast("bigint"))
-                    .when(d % 223 == 0, F.lit(-1).cast("bigint"))
-                    .otherwise(newlines.cast("bigint")))
-    content = (F.when(d % 53 == 0, F.lit("")).when(d % 59 == 0, F.lit(None).cast("string"))
-               .otherwise(text))
-    return documents.select(
-        F.concat(F.lit("file_"), _s(name_id), F.lit(".csv")).alias("file_name"),
-        F.timestamp_seconds(F.lit(MANIFEST_BASE_EPOCH) - (d % 10) * 86400).alias("load_timestamp"),
-        F.md5(text).alias("file_hash"),
-        record_count.alias("record_count"),
-        content.alias("raw_content"),
-    )
+    return documents.selectExpr(*MANIFEST_EXPRS)

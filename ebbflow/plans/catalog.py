@@ -24,13 +24,29 @@ from ebbflow.session import apply_base_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_FRAMES: dict[tuple, DataFrame] = {}
+
+
+def _shared(fn):
+    """Define a base frame once per (session, tables folder): the plan is built
+    once and reused by every query that starts from it (frames are immutable)."""
+    def wrapper(spark: SparkSession, sf: str) -> DataFrame:
+        key = (id(spark), spark.sparkContext.applicationId, sf, fn.__name__)
+        if key not in _FRAMES:
+            _FRAMES[key] = fn(spark, sf)
+        return _FRAMES[key]
+    wrapper.__name__ = fn.__name__
+    return wrapper
+
 
 # ---------------------------------------------------------------- events side
+@_shared
 def raw_events(spark: SparkSession, sf: str) -> DataFrame:
     apply_base_conf(spark)
     return E.attach_tenant(A.raw_events(A.table(spark, sf, "events")))
 
 
+@_shared
 def processed_events(spark: SparkSession, sf: str) -> DataFrame:
     return E.process_events(raw_events(spark, sf), A.EVENTS_CLOCK)
 
@@ -92,23 +108,28 @@ def q_dq_schema_contract(spark, sf):
 
 
 # ------------------------------------------------------------ governance side
+@_shared
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     apply_base_conf(spark)
     return A.file_manifest(A.table(spark, sf, "documents"))
 
 
+@_shared
 def staged(spark, sf):
     return V.stage_raw_files(manifest(spark, sf), A.FILES_CLOCK)
 
 
+@_shared
 def validated(spark, sf):
     return V.validate_files(staged(spark, sf), A.FILES_CLOCK)
 
 
+@_shared
 def good_files(spark, sf):
     return V.processed_files(validated(spark, sf), A.FILES_CLOCK)
 
 
+@_shared
 def bad_files(spark, sf):
     return V.failed_files(validated(spark, sf), A.FILES_CLOCK)
 

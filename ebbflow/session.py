@@ -19,6 +19,9 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Small files still split across cores (large files are bounded by
+    # spark.sql.files.maxPartitionBytes, which is left at its default).
+    "spark.sql.files.openCostInBytes": str(256 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
