@@ -122,13 +122,13 @@ def write_exports(spark: SparkSession, events: DataFrame, root: str | None = Non
     return out
 
 
+_EXPORTS: dict[tuple[str, str], str] = {}
+
+
 def export_root(spark: SparkSession, sf_dir: str) -> str:
-    """Exports for ``sf_dir``, written once per session and reused by the
-    round-trip queries of that session."""
-    cache = getattr(spark, "_ebbflow_exports", None)
-    if cache is None:
-        cache = {}
-        spark._ebbflow_exports = cache
-    if sf_dir not in cache:
-        cache[sf_dir] = write_exports(spark, A.table(spark, sf_dir, "events"))
-    return cache[sf_dir]
+    """Exports for ``sf_dir``, written once per Spark application and reused by
+    the round-trip queries (they only read them)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EXPORTS:
+        _EXPORTS[key] = write_exports(spark, A.table(spark, sf_dir, "events"))
+    return _EXPORTS[key]

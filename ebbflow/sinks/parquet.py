@@ -38,14 +38,16 @@ def _layout(df: DataFrame, partition_cols: list[str], target_rows: int,
     counts = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("__rows"))
               .select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols],
                       F.greatest(F.lit(1), F.ceil(F.col("__rows") / F.lit(target_rows))).cast("int")
-                      .alias("__buckets")))
+                      .alias("__buckets"))
+              .cache())  # one row per output partition; computed once, reused by the join
     n_parts = counts.count()
     side = F.broadcast(counts) if n_parts <= MAX_BROADCAST_PARTITIONS else counts
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in partition_cols])
     joined = df.join(side, cond, "left")
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__buckets"))
-    return (joined.repartition(n, *[F.col(c) for c in partition_cols], salt)
-            .select(*[F.col(f"`{c}`") for c in df.columns]))
+    out = (joined.repartition(n, *[F.col(c) for c in partition_cols], salt)
+           .select(*[F.col(f"`{c}`") for c in df.columns]))
+    return out, counts
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
@@ -54,7 +56,7 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
                       sort_within: list[str] | None = None) -> None:
     """zstd Parquet, hive-partitioned; ``overwrite`` replaces only the partitions
     present in ``df`` (dynamic partition overwrite), others are kept."""
-    out = _layout(df, partition_cols, target_rows_per_file, num_partitions)
+    out, counts = _layout(df, partition_cols, target_rows_per_file, num_partitions)
     if sort_within:
         out = out.sortWithinPartitions(*partition_cols, *sort_within)
     (out.write.mode(mode)
@@ -63,6 +65,7 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
      .option("maxRecordsPerFile", int(target_rows_per_file))
      .partitionBy(*partition_cols)
      .parquet(path))
+    counts.unpersist()
 
 
 def write_routed(routed: DataFrame, path: str, **kw) -> None:
