@@ -409,7 +409,16 @@ def q_run_metrics(spark, sf):
     return run.metrics.drop("phase_seconds")
 
 
+def q_governance_run(spark, sf):
+    """Files -> manifest -> staged/validated -> both marts written and read back."""
+    m = EL.manifest_from_sources(spark, _root(spark, sf))
+    run = EL.run_governance(spark, m, A.FILES_CLOCK, scratch_path(spark, "governance"))
+    return P.run_manifest(run.processed, run.failed, A.FILES_CLOCK).select(
+        "file_name", "outcome", "failure_reason")
+
+
 QUERIES.update({
+    "governance_run": q_governance_run,
     "discover_files": q_discover_files,
     "csv_scan": q_csv_scan,
     "union_by_name": q_union_by_name,

@@ -479,6 +479,12 @@ SELECT file_name, CAST(COUNT(*) AS BIGINT) AS record_count, true AS has_hash, tr
 FROM exp GROUP BY file_name
 UNION ALL
 {manifest_rows}""")
+    def _gov(n, b, st):
+        reason = "INVALID_CONTENT" if st != "OK" else "EMPTY_FILE"
+        return f"({_q(n)}, 'failed', {_q(reason)})"
+    q["governance_run"] = _with(EXPORTS, "SELECT DISTINCT file_name, 'processed' AS outcome, "
+                                "CAST(NULL AS VARCHAR) AS failure_reason FROM exp\nUNION ALL\n"
+                                + _broken_values("file_name, outcome, failure_reason", _gov))
     q["incremental_ingest"] = _with(EXPORTS + "," + processed_cte("sp", "scanned"), """
 SELECT file_name, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS second_run_batches FROM sp GROUP BY file_name""")
     base = sql()

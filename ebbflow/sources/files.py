@@ -83,18 +83,29 @@ def list_source_files(spark: SparkSession, root: str | list[str],
     rows = listing.select(_norm_path(F.col("path")).alias("path"), "length",
                           F.col("modificationTime").alias("modification_time"))
     # Zero-byte files never become rows; the scan's file index still has them.
+    # Only when the counts differ are the indexed paths shipped for an anti-join,
+    # and only the zero-byte ones get a file-status call for their mtime.
     indexed = [p for p in listing.inputFiles() if p.endswith(suffix)]
-    if indexed:
+    if indexed and rows.count() < len(indexed):
         every = spark.createDataFrame([(p,) for p in indexed], "path string").select(
             _norm_path(F.col("path")).alias("path"))
-        empty = every.join(rows, "path", "left_anti").select(
-            "path", F.lit(0).cast("bigint").alias("length"),
-            F.lit(None).cast("timestamp").alias("modification_time"))
+        empty_paths = [r["path"] for r in every.join(rows, "path", "left_anti").collect()]
+        empty = spark.createDataFrame(
+            [(p, 0, _mtime_ms(spark, p)) for p in empty_paths], "path string, length bigint, ms bigint"
+        ).select("path", "length", F.timestamp_millis("ms").alias("modification_time"))
         rows = rows.unionByName(empty)
     return rows.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
                        "length", "modification_time")
 
 
+def _mtime_ms(spark: SparkSession, path: str) -> int:
+    """Modification time (epoch ms) of one file via the Hadoop filesystem (zero-byte files only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 _FILE_DATE_HOUR = r"_([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2})"
 
 
