@@ -97,38 +97,40 @@ def route_events(processed: DataFrame, rules: RuleSet | None = None,
 def permitted_tables(tenants: DataFrame, rules: RuleSet, tenant_col: str = "prefix") -> DataFrame:
     """Every (tenant, rule) pair the rules permit for the tenants present.
 
-    Built without a cartesian product: global rules are a literal array
-    exploded per tenant row; tenant-limited rules explode their allow-list and
-    equi-join the tenants present.
+    Built without a join of two data sides: each tenant row (one per distinct
+    tenant) expands the literal list of rule suffixes, and a broadcast equi-join
+    on the suffix keeps the pairs whose allow-list is NULL or names the tenant.
+    Output is bounded by (#tenants x #rules), the size of the coverage report.
     """
     spark = tenants.sparkSession
+    suffixes = sorted({s for s, _, _, _ in rules.rules})
     t = tenants.select(F.col(tenant_col).alias("prefix")).where(F.col("prefix").isNotNull())
-    glob = rules.global_suffixes
-    parts = []
-    if glob:
-        parts.append(t.select("prefix", F.explode(F.array(*[F.lit(s) for s in glob])).alias("suffix")))
-    limited = (rules.frame(spark).where(F.col("allowed").isNotNull())
-               .select("suffix", F.explode("allowed").alias("prefix")))
-    parts.append(t.join(F.broadcast(limited), "prefix", "inner").select("prefix", "suffix"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+    pairs = t.select("prefix", F.explode(F.array(*[F.lit(x) for x in suffixes])).alias("suffix"))
+    rf = F.broadcast(rules.frame(spark).select("suffix", "allowed"))
+    ok = pairs.join(rf, "suffix").where(F.col("allowed").isNull()
+                                         | F.array_contains("allowed", F.col("prefix")))
+    return ok.select("prefix", "suffix").distinct()
 
 
 def routing_coverage(processed: DataFrame, rules: RuleSet | None = None,
                      tenant_col: str = "prefix") -> DataFrame:
     """Per permitted (tenant, rule): rows routed and ``written`` / ``empty``.
 
+    The data is first reduced to counts per (tenant, filter values): one
+    map-side-combined aggregate whose output is small at any input size
+    (tenants x distinct event kinds). Routing and the tenant list are computed
+    from that aggregate, so the rules are never joined against raw rows here.
+
     Output: prefix, suffix, table_name, routed_rows, status.
     """
     rules = rules or RuleSet()
-    counts = (routed_rows(processed.select(tenant_col, *rules.filter_columns), rules, tenant_col)
+    combos = (processed.where(F.col(tenant_col).isNotNull())
+              .groupBy(tenant_col, *rules.filter_columns)
+              .agg(F.count(F.lit(1)).alias("__n")))
+    counts = (routed_rows(combos, rules, tenant_col)
               .groupBy(F.col(tenant_col).alias("prefix"), "suffix")
-              .agg(F.count(F.lit(1)).alias("routed_rows")))
-    tenants = processed.select(tenant_col).where(F.col(tenant_col).isNotNull()).distinct()
-    pairs = permitted_tables(tenants, rules, tenant_col)
-    # Both sides are bounded by (#tenants x #rules); AQE picks the join.
+              .agg(F.sum("__n").alias("routed_rows")))
+    pairs = permitted_tables(combos.select(tenant_col).distinct(), rules, tenant_col)
     cov = pairs.join(counts, ["prefix", "suffix"], "left")
     rows = F.coalesce(F.col("routed_rows"), F.lit(0)).cast("bigint")
     return cov.select(
