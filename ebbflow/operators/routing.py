@@ -56,22 +56,37 @@ class RuleSet:
         return spark.sql(f"SELECT * FROM VALUES {values} AS rules(suffix, filter_column, filter_value, allowed)")
 
 
-def _candidates(processed: DataFrame, rules: RuleSet, tenant_col: str) -> DataFrame:
+def _candidates(processed: DataFrame, rules: RuleSet, tenant_col: str,
+                normalize_activity: bool, route_empty_tenant: bool) -> DataFrame:
+    def value(c: str):
+        v = F.col(c).cast("string")
+        # The activity filter is trim/case-insensitive while routing is exact;
+        # normalize_activity=True routes on the normalised value instead.
+        return X.normalized_activity(c) if (normalize_activity and c == "activity_kind") else v
     cands = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("filter_column"), F.col(c).cast("string").alias("filter_value"))
+        F.struct(F.lit(c).alias("filter_column"), value(c).alias("filter_value"))
         for c in rules.filter_columns
     ]))
+    keep = F.col(tenant_col).isNotNull()
+    if not route_empty_tenant:
+        keep = keep & (F.col(tenant_col) != F.lit(""))
     return (processed
-            .where(F.col(tenant_col).isNotNull())
+            .where(keep)
             .select("*", cands.alias("__cand"))
             .where(F.col("__cand.filter_value").isNotNull()))
 
 
-def routed_rows(processed: DataFrame, rules: RuleSet, tenant_col: str = "prefix") -> DataFrame:
-    """Processed rows x matching rules, with ``suffix`` and ``table_name``."""
+def routed_rows(processed: DataFrame, rules: RuleSet, tenant_col: str = "prefix",
+                normalize_activity: bool = False, route_empty_tenant: bool = True) -> DataFrame:
+    """Processed rows x matching rules, with ``suffix`` and ``table_name``.
+
+    Defaults reproduce the original behaviour: exact activity match, and rows
+    whose file name yields the empty tenant ``''`` are routed too (tables named
+    ``_<suffix>``); ``route_empty_tenant=False`` leaves them unrouted.
+    """
     spark = processed.sparkSession
     rf = F.broadcast(rules.frame(spark))
-    cand = _candidates(processed, rules, tenant_col)
+    cand = _candidates(processed, rules, tenant_col, normalize_activity, route_empty_tenant)
     joined = cand.join(
         rf,
         (F.col("__cand.filter_column") == rf["filter_column"])
@@ -86,10 +101,11 @@ def routed_rows(processed: DataFrame, rules: RuleSet, tenant_col: str = "prefix"
 
 
 def route_events(processed: DataFrame, rules: RuleSet | None = None,
-                 excluded=C.ROUTED_EXCLUDED_COLUMNS) -> DataFrame:
+                 excluded=C.ROUTED_EXCLUDED_COLUMNS, normalize_activity: bool = False,
+                 route_empty_tenant: bool = True) -> DataFrame:
     """Routed table rows: processed columns minus the excluded ones, plus ``table_name``."""
     rules = rules or RuleSet()
-    r = routed_rows(processed, rules)
+    r = routed_rows(processed, rules, "prefix", normalize_activity, route_empty_tenant)
     keep = [c for c in processed.columns if c not in set(excluded)]
     return r.select(*keep, "table_name")
 

@@ -87,3 +87,17 @@ def test_schema_contract_reports_missing_columns(spark):
     assert len(rows) == 48
     assert rows["created_at"]["is_present"] and rows["created_at"]["cast_failures"] >= 0
     assert rows["idfa"]["is_present"] is False and rows["idfa"]["null_count"] is None
+
+
+def test_routing_flags(spark):
+    rules = R.RuleSet([("session", "activity_kind", "session", None)])
+    raw = _raw(spark, [
+        ("u1", "1704067200", None, " Session ", "{}", None, None, None, None, "s3://b/t1_2024-01-01T00.csv.gz"),
+        ("u2", "1704067200", None, "session", "{}", None, None, None, None, "s3://b/nomatch.csv.gz"),
+    ])
+    p = E.process_events(raw, CLOCK)
+    exact = sorted(r["table_name"] for r in R.route_events(p, rules).collect())
+    assert exact == ["_session"]                       # parity: '' tenant routed, ' Session ' not
+    norm = sorted(r["table_name"] for r in R.route_events(p, rules, normalize_activity=True,
+                                                          route_empty_tenant=False).collect())
+    assert norm == ["t1_session"]

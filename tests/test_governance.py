@@ -98,3 +98,10 @@ def test_carry_resolution_keeps_flag(spark):
     prev = failed.withColumn("is_resolved", F.col("file_name") == "z.csv")
     again = {r["file_name"]: r["is_resolved"] for r in V.carry_resolution(failed, prev).collect()}
     assert again == {"z.csv": True, "y.csv": False}
+
+
+def test_explicit_unknown_reason_flag(spark):
+    ts = dt.datetime(2024, 1, 30, 10)
+    m = _manifest(spark, [("n.csv", ts, "h", None, "a,b"), ("m.csv", ts, "h", -1, "a,b")])
+    v = V.validate_files(V.stage_raw_files(m, CLOCK), CLOCK, explicit_unknown_reason=True).collect()
+    assert {r["validation_error"] for r in v} == {"UNKNOWN_RECORD_COUNT"}
