@@ -27,11 +27,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 _FRAMES: dict[tuple, DataFrame] = {}
 
 
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return str(id(spark))
+
+
 def _shared(fn):
     """Define a base frame once per (session, tables folder): the plan is built
     once and reused by every query that starts from it (frames are immutable)."""
     def wrapper(spark: SparkSession, sf: str) -> DataFrame:
-        key = (id(spark), spark.sparkContext.applicationId, sf, fn.__name__)
+        key = (_app_id(spark), sf, fn.__name__)
         if key not in _FRAMES:
             _FRAMES[key] = fn(spark, sf)
         return _FRAMES[key]

@@ -128,7 +128,8 @@ _EXPORTS: dict[tuple[str, str], str] = {}
 def export_root(spark: SparkSession, sf_dir: str) -> str:
     """Exports for ``sf_dir``, written once per Spark application and reused by
     the round-trip queries (they only read them)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    from ebbflow.plans.catalog import _app_id
+    key = (_app_id(spark), sf_dir)
     if key not in _EXPORTS:
         _EXPORTS[key] = write_exports(spark, A.table(spark, sf_dir, "events"))
     return _EXPORTS[key]
