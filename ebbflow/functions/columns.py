@@ -1,10 +1,9 @@
-"""Column -> Column helpers. All built-in Spark expressions (codegen, no UDFs)."""
+"""Column -> Column helpers. All built-in Spark expressions (no UDFs)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ebbflow import config as C
 
@@ -46,15 +45,12 @@ def day_boundaries(start: Column | str, end: Column | str) -> Column:
     return F.datediff(F.to_date(_c(end)), F.to_date(_c(start)))
 
 
-PUBLISHER_PARAMS_SCHEMA = T.StructType(
-    [T.StructField(k, T.StringType(), True) for k, _ in C.PUBLISHER_PARAM_KEYS]
-)
-
-
-def publisher_params(c: Column | str) -> Column:
-    """Parse the JSON text once into a struct of the 5 keys (NULL-tolerant:
-    malformed JSON yields NULL fields instead of aborting the run)."""
-    return F.from_json(_c(c), PUBLISHER_PARAMS_SCHEMA, {"mode": "PERMISSIVE"})
+def publisher_params_tuple(c: Column | str) -> Column:
+    """The five parameters as ``pp_*`` columns from one streaming parse
+    (``json_tuple``: a generator, so one per ``select``). Values come back as
+    text (numbers keep their JSON spelling); malformed JSON gives NULLs."""
+    return F.json_tuple(_c(c), *[k for k, _ in C.PUBLISHER_PARAM_KEYS]).alias(
+        *[name for _, name in C.PUBLISHER_PARAM_KEYS])
 
 
 def tenant_from_path(c: Column | str) -> Column:

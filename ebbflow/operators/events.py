@@ -33,16 +33,15 @@ def process_events(raw: DataFrame, clock: C.RunClock) -> DataFrame:
     """Normalised raw columns + ``pp_*`` + ``_time`` + ``date``, keeping rows with
     a non-null ``created_at`` and an accepted activity kind (P1-P3, X1, X2).
 
-    JSON is parsed once per row (one ``from_json`` into a struct); malformed JSON
-    gives NULL parameters. Unparseable epochs give a NULL ``date``.
+    JSON is parsed once per row (``json_tuple`` streams the text and picks the
+    five keys); malformed JSON gives NULL parameters. Unparseable epochs give a
+    NULL ``date``.
     """
     df = ensure_columns(normalize_columns(raw))
     filtered = df.where(F.col("created_at").isNotNull() & X.activity_allowed("activity_kind"))
-    with_pp = filtered.withColumn("__pp", X.publisher_params("publisher_parameters"))
-    keep = [F.col(c) for c in df.columns]
-    pp = [F.col(f"__pp.{k}").alias(name) for k, name in C.PUBLISHER_PARAM_KEYS]
-    return with_pp.select(
-        *keep, *pp,
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    return filtered.select(
+        *keep, X.publisher_params_tuple("publisher_parameters"),
         F.lit(clock.as_of).alias("_time"),
         X.epoch_to_date("created_at").alias("date"),
     )
@@ -51,11 +50,8 @@ def process_events(raw: DataFrame, clock: C.RunClock) -> DataFrame:
 def json_params(raw: DataFrame) -> DataFrame:
     """The five publisher parameters for every raw row (X1), unfiltered."""
     df = normalize_columns(raw)
-    with_pp = df.withColumn("__pp", X.publisher_params("publisher_parameters"))
-    return with_pp.select(
-        "adid", "created_at", "publisher_parameters",
-        *[F.col(f"__pp.{k}").alias(name) for k, name in C.PUBLISHER_PARAM_KEYS],
-    )
+    return df.select("adid", "created_at", "publisher_parameters",
+                     X.publisher_params_tuple("publisher_parameters"))
 
 
 def epoch_dates(raw: DataFrame) -> DataFrame:
