@@ -12,7 +12,10 @@ output partition (e.g. (table_name, date)); each partition then gets
 * a hot output partition (say a third of all rows) is spread over as many
   tasks as its size needs, each writing one file of about the target size;
 * tiny inputs still write in parallel (AQE does not merge an explicitly sized
-  shuffle down to one task, which would write every file serially).
+  shuffle down to one task, which would write every file serially);
+* the number of write tasks follows the data: at least the session's shuffle
+  partitions, and at least the total number of salt buckets (total rows /
+  target rows per file), so a 100 TB run does not squeeze into 200 tasks.
 
 The per-partition count frame has one row per output partition (bounded by
 tables x dates); its size is checked before it is broadcast, otherwise the
@@ -34,13 +37,14 @@ MAX_BROADCAST_PARTITIONS = 1_000_000
 def _layout(df: DataFrame, partition_cols: list[str], target_rows: int,
             num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("__rows"))
               .select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols],
                       F.greatest(F.lit(1), F.ceil(F.col("__rows") / F.lit(target_rows))).cast("int")
                       .alias("__buckets"))
               .cache())  # one row per output partition; computed once, reused by the join
-    n_parts = counts.count()
+    stats = counts.agg(F.count(F.lit(1)).alias("parts"), F.sum("__buckets").alias("buckets")).first()
+    n_parts, n_buckets = int(stats["parts"]), int(stats["buckets"] or 0)
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_buckets)
     side = F.broadcast(counts) if n_parts <= MAX_BROADCAST_PARTITIONS else counts
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in partition_cols])
     joined = df.join(side, cond, "left")
