@@ -81,7 +81,8 @@ DLQ_LAYOUTS = {"flat": None, "day": "yyyy/MM/dd", "hour": "yyyy/MM/dd/HH"}
 
 def dlq_path(base: Column | str, ts: Column | str, file_name: Column | str,
              layout: str = "day") -> Column:
-    """``<base>/<date dirs>/<file_name>``; NULL parts are skipped."""
+    """``<base>/<date dirs>/<file_name>``. A NULL part becomes empty but keeps
+    its separator (``concat`` that skips NULLs), e.g. ``base/2024/01/31/``."""
     if layout not in DLQ_LAYOUTS:
         raise ValueError(f"layout must be one of {sorted(DLQ_LAYOUTS)}")
     fmt = DLQ_LAYOUTS[layout]
@@ -89,7 +90,12 @@ def dlq_path(base: Column | str, ts: Column | str, file_name: Column | str,
     if fmt is not None:
         parts.append(F.date_format(_c(ts), fmt))
     parts.append(_c(file_name))
-    return F.concat_ws("/", *parts)
+    out = []
+    for i, p in enumerate(parts):
+        if i:
+            out.append(F.lit("/"))
+        out.append(F.coalesce(p, F.lit("")))
+    return F.concat(*out)
 
 
 def bucket_desc(c: Column | str, thresholds, default: str, inclusive: bool) -> Column:

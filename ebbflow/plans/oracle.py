@@ -306,9 +306,9 @@ WHERE created_at IS NULL
     q["failed_files"] = _with(MANIFEST, "SELECT * FROM ffiles")
     q["dlq_path"] = _with(MANIFEST, f"""
 SELECT file_name,
-  concat_ws('/', '{C.DEFAULT_DLQ_LOCATION}', file_name) AS dlq_flat,
-  concat_ws('/', '{C.DEFAULT_DLQ_LOCATION}', strftime(failed_timestamp, '%Y/%m/%d'), file_name) AS dlq_day,
-  concat_ws('/', '{C.DEFAULT_DLQ_LOCATION}', strftime(failed_timestamp, '%Y/%m/%d/%H'), file_name) AS dlq_hour
+  concat('{C.DEFAULT_DLQ_LOCATION}', '/', file_name) AS dlq_flat,
+  concat('{C.DEFAULT_DLQ_LOCATION}', '/', strftime(failed_timestamp, '%Y/%m/%d'), '/', file_name) AS dlq_day,
+  concat('{C.DEFAULT_DLQ_LOCATION}', '/', strftime(failed_timestamp, '%Y/%m/%d/%H'), '/', file_name) AS dlq_hour
 FROM ffiles""")
     q["content_checks"] = _with(MANIFEST, f"""
 SELECT file_name, (n_errors = 0) AS is_valid, n_errors, error_list, warning_list FROM (

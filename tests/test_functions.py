@@ -62,6 +62,9 @@ def test_dlq_path_layouts(spark):
         "ts", F.lit("2024-01-31 15:00:00").cast("timestamp"))
     r = df.select(*[X.dlq_path(F.lit("dlq"), "ts", "f", lay).alias(lay) for lay in ("flat", "day", "hour")]).first()
     assert (r["flat"], r["day"], r["hour"]) == ("dlq/f.csv", "dlq/2024/01/31/f.csv", "dlq/2024/01/31/15/f.csv")
+    n = spark.createDataFrame([(None,)], "f string").withColumn(
+        "ts", F.lit("2024-01-31 15:00:00").cast("timestamp"))
+    assert n.select(X.dlq_path(F.lit("dlq"), "ts", "f", "day").alias("p")).first()["p"] == "dlq/2024/01/31/"
 
 
 def test_clean_names_and_collisions():
