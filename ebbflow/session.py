@@ -67,3 +67,30 @@ def apply_base_conf(spark: SparkSession) -> None:
     """Pin the runtime settings the engine depends on for an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, BASE_CONF[k])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ebbflow`` importable in executor Python workers (needed by the
+    per-file probe) by zipping the package once per application and adding it
+    with ``addPyFile``; Spark distributes it to every executor."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="ebbflow-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

@@ -14,8 +14,9 @@ output partition (e.g. (table_name, date)); each partition then gets
 * tiny inputs still write in parallel (AQE does not merge an explicitly sized
   shuffle down to one task, which would write every file serially);
 * the number of write tasks follows the data: at least the session's shuffle
-  partitions, and at least the total number of salt buckets (total rows /
-  target rows per file), so a 100 TB run does not squeeze into 200 tasks.
+  partitions and at least total rows / target rows per file, so a 100 TB run
+  does not squeeze into 200 tasks while a small run does not launch a task
+  per tiny output partition.
 
 The per-partition count frame has one row per output partition (bounded by
 tables x dates); its size is checked before it is broadcast, otherwise the
@@ -38,16 +39,17 @@ def _layout(df: DataFrame, partition_cols: list[str], target_rows: int,
             num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     counts = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("__rows"))
-              .select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols],
+              .select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols], "__rows",
                       F.greatest(F.lit(1), F.ceil(F.col("__rows") / F.lit(target_rows))).cast("int")
                       .alias("__buckets"))
               .cache())  # one row per output partition; computed once, reused by the join
-    stats = counts.agg(F.count(F.lit(1)).alias("parts"), F.sum("__buckets").alias("buckets")).first()
-    n_parts, n_buckets = int(stats["parts"]), int(stats["buckets"] or 0)
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_buckets)
+    stats = counts.agg(F.count(F.lit(1)).alias("parts"), F.sum("__rows").alias("rows")).first()
+    n_parts, n_rows = int(stats["parts"]), int(stats["rows"] or 0)
+    by_volume = -(-n_rows // target_rows)
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_volume)
     side = F.broadcast(counts) if n_parts <= MAX_BROADCAST_PARTITIONS else counts
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in partition_cols])
-    joined = df.join(side, cond, "left")
+    joined = df.join(side.drop("__rows"), cond, "left")
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__buckets"))
     out = (joined.repartition(n, *[F.col(c) for c in partition_cols], salt)
            .select(*[F.col(f"`{c}`") for c in df.columns]))

@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from ebbflow import config as C
 from ebbflow.functions import columns as X
 from ebbflow.functions.names import unique_clean_names
+from ebbflow.session import ship_package
 
 # Reads plain text even when the file name ends in .gz. The bundled Hadoop
 # client relocates the passthrough key, so both spellings are set. Scoped to
@@ -201,6 +202,7 @@ def probe_files(listing: DataFrame, verify_gzip: bool = True, hash_bytes: bool =
                 out.append((p, g, hd, ok, digest, err))
             yield pd.DataFrame(out, columns=["path", "is_gzip", "header", "intact", "file_hash", "probe_error"])
 
+    ship_package(listing.sparkSession)
     paths = listing.where(F.col("length") > 0).select("path")
     # Spread files over tasks; the listing is one small row per file.
     n = max(1, listing.sparkSession.sparkContext.defaultParallelism)
