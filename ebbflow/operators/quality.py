@@ -1,6 +1,6 @@
 """Data-quality checks. Each returns the *violating rows* (the usual data-test
 convention: a check passes when its frame is empty); ``run_checks`` folds them
-into a tidy ``(check, column_name, violations, status)`` frame.
+into a tidy ``(check_name, column_name, violations, status)`` frame.
 
 Column checks over many columns are evaluated in one aggregation pass.
 """
@@ -78,20 +78,20 @@ def freshness(frame: DataFrame, clock: C.RunClock, column: str = "load_timestamp
 def run_checks(processed: DataFrame) -> DataFrame:
     """The declared tests of the good-file mart, as one tidy result frame."""
     nn = not_null_counts(processed).select(
-        F.lit("not_null").alias("check"), "column_name", F.col("null_count").alias("violations"))
+        F.lit("not_null").alias("check_name"), "column_name", F.col("null_count").alias("violations"))
     uq = unique_violations(processed).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("unique").alias("check"), F.lit("file_name").alias("column_name"), "violations")
+        F.lit("unique").alias("check_name"), F.lit("file_name").alias("column_name"), "violations")
     av = accepted_values_violations(processed).agg(
         F.coalesce(F.sum("n_records"), F.lit(0)).alias("violations")).select(
-        F.lit("accepted_values").alias("check"), F.lit("processing_status").alias("column_name"),
+        F.lit("accepted_values").alias("check_name"), F.lit("processing_status").alias("column_name"),
         "violations")
     gz = greater_than_zero_violations(processed).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("assert_greater_than_zero").alias("check"), F.lit("record_count").alias("column_name"),
+        F.lit("assert_greater_than_zero").alias("check_name"), F.lit("record_count").alias("column_name"),
         "violations")
     nd = duplicate_files(processed).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("no_duplicate_files").alias("check"), F.lit("file_name").alias("column_name"),
+        F.lit("no_duplicate_files").alias("check_name"), F.lit("file_name").alias("column_name"),
         "violations")
     out = nn.unionByName(uq).unionByName(av).unionByName(gz).unionByName(nd)
     v = F.col("violations").cast("bigint")
-    return out.select("check", "column_name", v.alias("violations"),
+    return out.select("check_name", "column_name", v.alias("violations"),
                       F.when(v == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))

@@ -205,6 +205,10 @@ def q_dq_no_duplicates(spark, sf):
     return Q.duplicate_files(good_files(spark, sf))
 
 
+def q_dq_checks(spark, sf):
+    return Q.run_checks(good_files(spark, sf))
+
+
 def q_dq_freshness(spark, sf):
     return Q.freshness(good_files(spark, sf), A.FILES_CLOCK)
 
@@ -281,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "dq_positive": q_dq_positive,
     "dq_no_duplicates": q_dq_no_duplicates,
     "dq_freshness": q_dq_freshness,
+    "dq_checks": q_dq_checks,
     "processing_stats": q_processing_stats,
     "dlq_summary": q_dlq_summary,
     "dlq_unresolved": q_dlq_unresolved,

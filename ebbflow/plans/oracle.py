@@ -338,6 +338,29 @@ GROUP BY processing_status""")
     q["dq_positive"] = _with(MANIFEST, "SELECT * FROM validated2 WHERE record_count <= 0 OR record_count IS NULL")
     q["dq_no_duplicates"] = _with(MANIFEST, """
 SELECT file_name, COUNT(*) AS occurrence_count FROM pfiles GROUP BY file_name HAVING COUNT(*) > 1""")
+    nn_rows = "\nUNION ALL\n".join(
+        f"SELECT 'not_null' AS check_name, '{c}' AS column_name, "
+        f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM pfiles"
+        for c in ["file_name", "load_timestamp", "load_date", "file_hash", "record_count",
+                  "processing_status", "inserted_at", "updated_at"])
+    q["dq_checks"] = _with(MANIFEST, f""",
+c AS (
+{nn_rows}
+UNION ALL
+SELECT 'unique', 'file_name', CAST(COUNT(*) AS BIGINT) FROM (
+  SELECT file_name FROM pfiles WHERE file_name IS NOT NULL GROUP BY file_name HAVING COUNT(*) > 1)
+UNION ALL
+SELECT 'accepted_values', 'processing_status', CAST(COUNT(*) AS BIGINT) FROM pfiles
+  WHERE processing_status IS NOT NULL AND processing_status NOT IN ('READY_FOR_PROCESSING')
+UNION ALL
+SELECT 'assert_greater_than_zero', 'record_count', CAST(COUNT(*) AS BIGINT) FROM pfiles
+  WHERE record_count <= 0 OR record_count IS NULL
+UNION ALL
+SELECT 'no_duplicate_files', 'file_name', CAST(COUNT(*) AS BIGINT) FROM (
+  SELECT file_name FROM pfiles GROUP BY file_name HAVING COUNT(*) > 1)
+)
+SELECT check_name, column_name, violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM c""")
     q["dq_freshness"] = _with(MANIFEST, f"""
 SELECT max_loaded_at, TIMESTAMP '{FS_AS_OF}' AS snapshotted_at, age_seconds,
   CASE WHEN max_loaded_at IS NULL THEN 'error'

@@ -83,7 +83,7 @@ def test_reports_and_checks(spark):
     stats = P.processing_stats(good, bad).collect()
     assert len(stats) == 1 and stats[0]["successful_files"] == 2 and stats[0]["failed_files"] == 1
     assert abs(stats[0]["success_rate"] - 66.67) < 1e-9 and stats[0]["quality_rating"] == "POOR"
-    checks = {(r["check"], r["column_name"]): r["violations"] for r in Q.run_checks(good).collect()}
+    checks = {(r["check_name"], r["column_name"]): r["violations"] for r in Q.run_checks(good).collect()}
     assert checks[("unique", "file_name")] == 1 and checks[("not_null", "file_name")] == 0
     plan = P.processing_stats(good, bad)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan
