@@ -262,12 +262,14 @@ def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff")
     file is plain text whatever its name) or ``gzip``.
     """
     ok = files.where(F.col("status") == STATUS_OK)
-    # One row per (header, compression) group with its path list; the paths
-    # are what the readers need, and the driver already listed them.
-    groups = (ok.groupBy("header", "is_gzip").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-              .collect())
-    frames = [_read_group(spark, g["paths"], list(g["header"]), bool(g["is_gzip"]), compression)
-              for g in sorted(groups, key=lambda g: (g["paths"][0]))]
+    # The readers need path lists. Paths are file metadata the driver already
+    # listed (one row per file, never rows of data); they are fetched as plain
+    # rows and grouped here, so no task has to build one list per group.
+    groups: dict[tuple, list[str]] = {}
+    for r in ok.select("header", "is_gzip", "path").collect():
+        groups.setdefault((tuple(r["header"]), bool(r["is_gzip"])), []).append(r["path"])
+    frames = [_read_group(spark, sorted(paths), list(header), is_gzip, compression)
+              for (header, is_gzip), paths in sorted(groups.items(), key=lambda kv: min(kv[1]))]
     if not frames:
         empty = empty_events(spark)
         return ScanResult(empty, spark.createDataFrame([], "filename string, _corrupt_record string"), files)

@@ -23,13 +23,15 @@ from ebbflow.sources.files import PASSTHROUGH_OPTIONS, STATUS_OK, ScanResult
 
 def _content(spark: SparkSession, files: DataFrame, compression: str) -> DataFrame:
     ok = files.where(F.col("status") == F.lit(STATUS_OK))
-    groups = ok.groupBy("is_gzip").agg(F.collect_list("path").alias("paths")).collect()
+    groups: dict[bool, list[str]] = {}
+    for r in ok.select("is_gzip", "path").collect():  # file metadata, one row per file
+        groups.setdefault(bool(r["is_gzip"]), []).append(r["path"])
     frames = []
-    for g in groups:
+    for is_gzip, paths in sorted(groups.items()):
         reader = spark.read
-        if compression == "none" or (compression == "sniff" and not g["is_gzip"]):
+        if compression == "none" or (compression == "sniff" and not is_gzip):
             reader = reader.options(**PASSTHROUGH_OPTIONS)
-        frames.append(reader.text(list(g["paths"]), wholetext=True).select(
+        frames.append(reader.text(sorted(paths), wholetext=True).select(
             F.regexp_replace("_metadata.file_path", r"^file:///", "file:/").alias("path"),
             F.col("value").alias("raw_content")))
     if not frames:
