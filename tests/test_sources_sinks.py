@@ -115,3 +115,11 @@ def test_incremental_ingest_picks_up_only_new_files(spark, tmp_dir):
         f.write("adid,created_at,activity_kind\nu7,1704067200,session\n")
     assert INC.ingest_new_files(spark, src, out, ck, CLOCK) == 1
     assert INC.read_ingested(spark, out).count() == n1 + 1
+
+
+def test_event_lake_on_empty_folder(spark, tmp_dir):
+    src = f"{tmp_dir}/empty"
+    os.makedirs(src)
+    run = EL.run_event_lake(spark, src, f"{tmp_dir}/out", CLOCK)
+    m = run.metrics.first()
+    assert (m["files_total"], m["rows_read"], m["partitioned_rows_written"]) == (0, 0, 0)
