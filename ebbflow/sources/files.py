@@ -284,10 +284,12 @@ def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff")
 
 def load_events(spark: SparkSession, root: str | list[str], compression: str = "sniff",
                 verify_gzip: bool = True, date: str | None = None, hour: str | None = None,
-                tenants: list[str] | None = None, hash_bytes: bool = False) -> ScanResult:
+                tenants: list[str] | None = None, hash_bytes: bool = False,
+                required_columns: list[str] | None = None) -> ScanResult:
     """List -> window -> probe -> classify -> scan. The per-file classification
     is small (one row per file) and is cached because both the scan planning
-    and the quarantine use it."""
+    and the quarantine use it. ``required_columns`` (cleaned names) sends files
+    whose header lacks any of them to quarantine as ``MISSING_COLUMNS: ...``."""
     listing = source_window(list_source_files(spark, root), date, hour, tenants)
-    files = classify_files(probe_files(listing, verify_gzip, hash_bytes)).cache()
+    files = classify_files(probe_files(listing, verify_gzip, hash_bytes), required_columns).cache()
     return scan_csv(spark, files, compression)

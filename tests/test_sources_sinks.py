@@ -123,3 +123,12 @@ def test_event_lake_on_empty_folder(spark, tmp_dir):
     run = EL.run_event_lake(spark, src, f"{tmp_dir}/out", CLOCK)
     m = run.metrics.first()
     assert (m["files_total"], m["rows_read"], m["partitioned_rows_written"]) == (0, 0, 0)
+
+
+def test_required_columns_quarantine(spark, tmp_dir):
+    _files(tmp_dir)
+    res = S.load_events(spark, tmp_dir, required_columns=["adid", "created_at", "country"])
+    st = {r["file_name"]: r["status"] for r in res.files.collect()}
+    assert st["ta_2024-01-01T00.csv.gz"] == "OK"
+    assert st["tb_2024-01-02T00.csv.gz"] == "MISSING_COLUMNS: country"
+    assert sorted(r["adid"] for r in res.rows.collect()) == ["u1", "u2", "u5"]
