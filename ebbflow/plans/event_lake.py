@@ -29,13 +29,17 @@ from ebbflow.operators import governance as V
 from ebbflow.operators import reports as P
 from ebbflow.operators import routing as R
 from ebbflow.functions import columns as X
-from ebbflow.session import scratch_path
+from ebbflow.session import ensure_shuffle_partitions, scratch_path
 from ebbflow.sinks import parquet as W
 from ebbflow.sinks import quarantine as Qn
 from ebbflow.sources import files as S
 from ebbflow.sources.manifest import build_manifest
 
 
+# Rough text/gzip size ratio of CSV exports, to size shuffles from file lengths.
+GZIP_EXPANSION = 6
+
+
 @dataclass
 class EventLakeRun:
     metrics: DataFrame
@@ -71,7 +75,11 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     scan = S.load_events(spark, source_root, compression=compression, date=date, hour=hour, tenants=tenants)
     file_stats = scan.files.groupBy().agg(
         F.count(F.lit(1)).alias("files_total"),
-        F.sum(F.when(F.col("status") == S.STATUS_OK, 1).otherwise(0)).alias("files_ok")).first()
+        F.sum(F.when(F.col("status") == S.STATUS_OK, 1).otherwise(0)).alias("files_ok"),
+        F.sum(F.when(F.col("is_gzip"), F.col("length") * GZIP_EXPANSION).otherwise(F.col("length")))
+        .alias("input_bytes")).first()
+    # Shuffles downstream (aggregate, write layout) scale with the input.
+    ensure_shuffle_partitions(spark, int(file_stats["input_bytes"] or 0))
     quarantine_path = f"{output_root}/_quarantine"
     q = Qn.quarantine_frame(scan.files, clock, dlq_location)
     Qn.write_quarantine(q, quarantine_path)

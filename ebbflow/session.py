@@ -99,3 +99,18 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, base))
     sc.addPyFile(path)
     _SHIPPED.add(app)
+
+
+def ensure_shuffle_partitions(spark: SparkSession, input_bytes: int,
+                              bytes_per_partition: int = 128 * 1024 * 1024,
+                              max_partitions: int = 200_000) -> int:
+    """Raise (never lower) ``spark.sql.shuffle.partitions`` so one shuffle
+    partition covers about ``bytes_per_partition`` of input. AQE coalesces
+    partitions that turn out small, so erring high is cheap while erring low
+    makes tasks spill. Returns the setting in effect."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max_partitions, -(-int(input_bytes) // bytes_per_partition))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return current
