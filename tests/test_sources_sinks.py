@@ -132,3 +132,21 @@ def test_required_columns_quarantine(spark, tmp_dir):
     assert st["ta_2024-01-01T00.csv.gz"] == "OK"
     assert st["tb_2024-01-02T00.csv.gz"] == "MISSING_COLUMNS: country"
     assert sorted(r["adid"] for r in res.rows.collect()) == ["u1", "u2", "u5"]
+
+
+def test_good_row_count_agrees_with_collect(spark, tmp_dir):
+    # Column pruning must not change which rows count as malformed.
+    _files(tmp_dir)
+    res = S.load_events(spark, tmp_dir)
+    assert res.rows.count() == len(res.rows.collect()) == 4
+    assert res.rows.select("adid").count() == 4
+    assert res.bad_rows.count() == 2
+
+
+def test_source_window_hour_and_tenant(spark, tmp_dir):
+    _files(tmp_dir)
+    listing = S.list_source_files(spark, tmp_dir)
+    assert S.source_window(listing, hour="00").count() == 5
+    assert S.source_window(listing, hour="13").count() == 0
+    names = [r["file_name"] for r in S.source_window(listing, tenants=["tb"]).collect()]
+    assert names == ["tb_2024-01-02T00.csv.gz"]
