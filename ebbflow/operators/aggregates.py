@@ -43,13 +43,6 @@ def ad_preaggregate(processed: DataFrame, clock: C.RunClock) -> DataFrame:
             .withColumn("_time", F.lit(clock.as_of)))
 
 
-OUTPUT_COLUMNS = [
-    "date", "user_id", "country", "os_name", "device_type", "app_version_short", "game_name",
-    "ad_format", "ad_placement", "iap_product_id", "ad_count", "ad_revenue", "iap_count",
-    "iap_revenue", "session_count", "aging", "_time",
-]
-
-
 def ad_preagg_output(aggregates: DataFrame) -> DataFrame:
     """The 17-column per-tenant table shape plus ``table_name`` for the write (A2)."""
     return aggregates.where(F.col("prefix").isNotNull()).select(

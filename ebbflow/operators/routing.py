@@ -14,19 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ebbflow import config as C
 from ebbflow.functions import columns as X
 
-RULES_SCHEMA = T.StructType([
-    T.StructField("suffix", T.StringType(), False),
-    T.StructField("filter_column", T.StringType(), False),
-    T.StructField("filter_value", T.StringType(), False),
-    T.StructField("allowed", T.ArrayType(T.StringType()), True),
-])
-
-
 class RuleSet:
     """Routing rules held as configuration, materialised as a small DataFrame."""
 

@@ -53,8 +53,6 @@ CSV_OPTIONS = {
     "columnNameOfCorruptRecord": "_corrupt_record",
 }
 
-LISTING_SCHEMA = "path string, file_name string, length bigint, modification_time timestamp"
-
 PROBE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("is_gzip", T.BooleanType()),
