@@ -418,7 +418,8 @@ def q_clustered_write(spark, sf):
 def q_run_metrics(spark, sf):
     out = scratch_path(spark, "lake")
     run = EL.run_event_lake(spark, _root(spark, sf), out, A.EVENTS_CLOCK)
-    return run.metrics.drop("phase_seconds")
+    return run.metrics.select("*", F.size("failed_writes").cast("bigint").alias("n_failed_writes")).drop(
+        "phase_seconds", "failed_writes")
 
 
 def q_governance_run(spark, sf):

@@ -109,11 +109,21 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
         read_counts = (int(r["n"]), int(r["bad"]))
     timings["process"] = time.perf_counter() - t1
 
+    failed_writes: list[str] = []
+
+    def attempt(label: str, fn) -> None:
+        # Like the per-table isolation of the original: a failed write is
+        # recorded and the run goes on to the next output.
+        try:
+            fn()
+        except Exception as e:  # noqa: BLE001
+            failed_writes.append(f"{label}: {type(e).__name__}: {str(e)[:300]}")
+
     t2 = time.perf_counter()
     routed_obs = Observation("routed")
     routed = R.route_events(staged, rules).observe(routed_obs, F.count(F.lit(1)).alias("n"))
     events_path = f"{output_root}/events"
-    W.write_routed(routed, events_path)
+    attempt("events", lambda: W.write_routed(routed, events_path))
     coverage = R.routing_coverage(staged, rules).cache()
     cov = coverage.groupBy().agg(
         F.sum(F.when(F.col("status") == "written", 1).otherwise(0)).alias("tables_written"),
@@ -124,18 +134,19 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     agg_obs = Observation("aggregates")
     agg = G.ad_preagg_output(G.ad_preaggregate(staged, clock)).observe(agg_obs, F.count(F.lit(1)).alias("n"))
     aggregates_path = f"{output_root}/aggregates"
-    W.write_aggregates(agg, aggregates_path)
+    attempt("aggregates", lambda: W.write_aggregates(agg, aggregates_path))
     timings["aggregate_and_write"] = time.perf_counter() - t3
 
     metrics = spark.createDataFrame([(
         int(file_stats["files_total"] or 0), int(file_stats["files_ok"] or 0),
         int((file_stats["files_total"] or 0) - (file_stats["files_ok"] or 0)),
         read_counts[0], read_counts[1], _count(routed_obs), _count(agg_obs),
-        int(cov["tables_written"] or 0), int(cov["empty_tables"] or 0),
+        int(cov["tables_written"] or 0), int(cov["empty_tables"] or 0), failed_writes,
         {k: float(v) for k, v in timings.items()},
     )], "files_total bigint, files_ok bigint, files_failed bigint, rows_read bigint, "
         "rows_malformed bigint, partitioned_rows_written bigint, aggregate_rows_written bigint, "
-        "tables_written bigint, empty_tables bigint, phase_seconds map<string,double>")
+        "tables_written bigint, empty_tables bigint, failed_writes array<string>, "
+        "phase_seconds map<string,double>")
     return EventLakeRun(metrics, coverage, processed_path, events_path, aggregates_path, quarantine_path)
 
 

@@ -532,5 +532,6 @@ SELECT
   CAST((SELECT COUNT(*) FROM lr) AS BIGINT) AS partitioned_rows_written,
   CAST((SELECT COUNT(*) FROM la WHERE prefix IS NOT NULL) AS BIGINT) AS aggregate_rows_written,
   CAST((SELECT COUNT(*) FROM cov WHERE n > 0) AS BIGINT) AS tables_written,
-  CAST((SELECT COUNT(*) FROM cov WHERE n = 0) AS BIGINT) AS empty_tables""")
+  CAST((SELECT COUNT(*) FROM cov WHERE n = 0) AS BIGINT) AS empty_tables,
+  CAST(0 AS BIGINT) AS n_failed_writes""")
     return q

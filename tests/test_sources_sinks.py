@@ -102,6 +102,7 @@ def test_event_lake_end_to_end(spark, tmp_dir):
     m = run.metrics.first()
     assert (m["files_total"], m["files_ok"], m["files_failed"]) == (5, 3, 2)
     assert m["rows_read"] == 4 and m["rows_malformed"] == 2
+    assert m["failed_writes"] == []
     assert spark.read.parquet(run.quarantine_path).count() == 2
 
 
