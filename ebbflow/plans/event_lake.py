@@ -68,7 +68,8 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
                    clock: C.RunClock, rules: R.RuleSet | None = None, compression: str = "sniff",
                    date: str | None = None, hour: str | None = None,
                    tenants: list[str] | None = None,
-                   dlq_location: str = C.DEFAULT_DLQ_LOCATION) -> EventLakeRun:
+                   dlq_location: str = C.DEFAULT_DLQ_LOCATION,
+                   quarantine_bytes: bool = True) -> EventLakeRun:
     rules = rules or R.RuleSet()
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
@@ -82,6 +83,8 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     ensure_shuffle_partitions(spark, int(file_stats["input_bytes"] or 0))
     quarantine_path = f"{output_root}/_quarantine"
     q = Qn.quarantine_frame(scan.files, clock, dlq_location)
+    if quarantine_bytes:  # keep a copy of each failed file, as the DLQ copy did
+        q = Qn.with_content(spark, q)
     Qn.write_quarantine(q, quarantine_path)
     timings["discover_and_load_plan"] = time.perf_counter() - t0
 

@@ -103,7 +103,8 @@ def test_event_lake_end_to_end(spark, tmp_dir):
     assert (m["files_total"], m["files_ok"], m["files_failed"]) == (5, 3, 2)
     assert m["rows_read"] == 4 and m["rows_malformed"] == 2
     assert m["failed_writes"] == []
-    assert spark.read.parquet(run.quarantine_path).count() == 2
+    q = {r["file_name"]: r for r in spark.read.parquet(run.quarantine_path).collect()}
+    assert len(q) == 2 and len(q["te_2024-01-04T00.csv.gz"]["content"]) == 40
 
 
 def test_incremental_ingest_picks_up_only_new_files(spark, tmp_dir):
@@ -164,3 +165,11 @@ def test_crlf_bom_and_duplicate_headers(spark, tmp_dir):
     assert rows["u1"]["created_at"] == "1704067200"          # no trailing \r
     # newline kept inside quotes (the CSV parser normalises CRLF there to LF)
     assert rows["u2"]["country"] == "D\nE"
+
+
+def test_shuffle_partitions_only_raised(spark):
+    from ebbflow.session import ensure_shuffle_partitions
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert ensure_shuffle_partitions(spark, 1024) == before
+    assert ensure_shuffle_partitions(spark, 64 * 128 * 1024 * 1024) == max(before, 64)
+    spark.conf.set("spark.sql.shuffle.partitions", str(before))
