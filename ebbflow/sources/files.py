@@ -6,9 +6,11 @@ Flow (S1-S9, S16):
    so no file is read). Zero-byte files do not produce listing rows, so they
    are added back from the scan's own file index (``inputFiles``).
 2. ``probe_files``: one task per batch of files opens each file through Arrow's
-   filesystem layer, sniffs the gzip magic, reads the header line and (for
-   gzip) streams the rest through zlib to prove the stream is complete. One
-   output row per *file*; nothing about the rows goes through Python.
+   filesystem layer (or, for schemes Arrow does not handle, takes the bytes
+   from Spark's ``binaryFile`` source), sniffs the gzip magic, reads the header
+   line and (for gzip) streams the rest through zlib to prove the stream is
+   complete. One output row per *file*; nothing about the rows goes through
+   Python.
 3. ``classify_files``: OK / EMPTY_FILE / UNREADABLE / CORRUPT_GZIP / NO_HEADER.
 4. ``scan_csv``: OK files are grouped by (header, compression); one Spark CSV
    read per group with an all-string schema taken from that header, so columns
@@ -140,71 +142,111 @@ def _header_fields(line: bytes) -> list[str]:
     return next(csv.reader(io.StringIO(text), quotechar='"', doublequote=True))
 
 
-def _probe_one(path: str, verify_gzip: bool, hash_bytes: bool, chunk: int = 1 << 20):
-    """(is_gzip, header, intact, sha256-or-None) for one file, streamed in ``chunk``s.
+def _probe_stream(f, verify_gzip: bool, hash_bytes: bool, chunk: int = 1 << 20):
+    """(is_gzip, header, intact, sha256-or-None) for one file-like object,
+    streamed in ``chunk``s.
 
     Reads only until the header line is complete unless the gzip stream has to
     be verified or the stored bytes hashed, in which case the whole file is
     streamed once (constant memory)."""
     h = hashlib.sha256() if hash_bytes else None
-    with _open(path) as f:
+    buf = f.read(chunk)
+    if not buf:
+        return False, [], True, (h.hexdigest() if h else None)
+    is_gzip = buf[:2] == b"\x1f\x8b"
+    full = hash_bytes or (is_gzip and verify_gzip)
+    d = zlib.decompressobj(31) if is_gzip else None
+    head = b""
+    intact = not is_gzip
+    while buf:
+        if h is not None:
+            h.update(buf)
+        if d is not None:
+            data = buf
+            while data:
+                out = d.decompress(data)
+                if b"\n" not in head:
+                    head += out
+                if d.eof:
+                    intact = True
+                    data = d.unused_data
+                    if data:  # another gzip member follows
+                        d = zlib.decompressobj(31)
+                        intact = False
+                else:
+                    if out or data:
+                        intact = False
+                    data = b""
+        elif b"\n" not in head:
+            head += buf
+        if b"\n" in head and not full:
+            break
         buf = f.read(chunk)
-        if not buf:
-            return False, [], True, (h.hexdigest() if h else None)
-        is_gzip = buf[:2] == b"\x1f\x8b"
-        full = hash_bytes or (is_gzip and verify_gzip)
-        d = zlib.decompressobj(31) if is_gzip else None
-        head = b""
-        intact = not is_gzip
-        while buf:
-            if h is not None:
-                h.update(buf)
-            if d is not None:
-                data = buf
-                while data:
-                    out = d.decompress(data)
-                    if b"\n" not in head:
-                        head += out
-                    if d.eof:
-                        intact = True
-                        data = d.unused_data
-                        if data:  # another gzip member follows
-                            d = zlib.decompressobj(31)
-                            intact = False
-                    else:
-                        if out or data:
-                            intact = False
-                        data = b""
-            elif b"\n" not in head:
-                head += buf
-            if b"\n" in head and not full:
-                break
-            buf = f.read(chunk)
-        if is_gzip and not full:
-            intact = True
-        return is_gzip, _header_fields(head.split(b"\n", 1)[0]), intact, (h.hexdigest() if h else None)
-
-
-def probe_files(listing: DataFrame, verify_gzip: bool = True, hash_bytes: bool = False) -> DataFrame:
-    """Listing + ``is_gzip, header, intact, file_hash, probe_error`` (one row per file)."""
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for p in pdf["path"]:
-                try:
-                    g, hd, ok, digest = _probe_one(p, verify_gzip, hash_bytes)
-                    err = None
-                except Exception as e:  # noqa: BLE001 - any failure quarantines the file
-                    g, hd, ok, digest, err = None, None, False, None, f"{type(e).__name__}: {e}"[:500]
-                out.append((p, g, hd, ok, digest, err))
-            yield pd.DataFrame(out, columns=["path", "is_gzip", "header", "intact", "file_hash", "probe_error"])
-
-    ship_package(listing.sparkSession)
+    if is_gzip and not full:
+        intact = True
+    return is_gzip, _header_fields(head.split(b"\n", 1)[0]), intact, (h.hexdigest() if h else None)
+
+
+def _probe_one(path: str, verify_gzip: bool, hash_bytes: bool):
+    with _open(path) as f:
+        return _probe_stream(f, verify_gzip, hash_bytes)
+
+
+PROBE_COLUMNS = ["path", "is_gzip", "header", "intact", "file_hash", "probe_error"]
+
+# Schemes the probe opens through Arrow's filesystem layer (streaming, no
+# whole-file cells). Other schemes are probed from Spark's binaryFile bytes.
+ARROW_SCHEMES = ("file:", "s3://", "s3a://", "s3n://", "gs://")
+
+
+def _probe_rows(items):
+    out = []
+    for path, opener in items:
+        try:
+            g, hd, ok, digest = opener()
+            err = None
+        except Exception as e:  # noqa: BLE001 - any failure quarantines the file
+            g, hd, ok, digest, err = None, None, False, None, f"{type(e).__name__}: {e}"[:500]
+        out.append((path, g, hd, ok, digest, err))
+    return pd.DataFrame(out, columns=PROBE_COLUMNS)
+
+
+def probe_files(listing: DataFrame, verify_gzip: bool = True, hash_bytes: bool = False,
+                source: str = "auto") -> DataFrame:
+    """Listing + ``is_gzip, header, intact, file_hash, probe_error`` (one row per file).
+
+    ``source``: ``arrow`` streams each file through Arrow's filesystem layer;
+    ``spark`` reads the bytes with Spark's ``binaryFile`` source (any Hadoop
+    filesystem, one file per cell); ``auto`` picks ``arrow`` when every root
+    path uses a scheme Arrow handles, else ``spark``.
+    """
+    spark = listing.sparkSession
+    ship_package(spark)
     paths = listing.where(F.col("length") > 0).select("path")
-    # Spread files over tasks; the listing is one small row per file.
-    n = max(1, listing.sparkSession.sparkContext.defaultParallelism)
-    probed = paths.repartition(n).mapInPandas(run, PROBE_SCHEMA)
+    if source == "auto":
+        sample = [r["path"] for r in paths.limit(1).collect()]
+        source = "arrow" if all(p.startswith(ARROW_SCHEMES) for p in sample) else "spark"
+    n = max(1, spark.sparkContext.defaultParallelism)
+    if source == "arrow":
+        def run(batches):
+            for pdf in batches:
+                yield _probe_rows([(p, (lambda p=p: _probe_one(p, verify_gzip, hash_bytes)))
+                                   for p in pdf["path"]])
+        # Spread files over tasks; the listing is one small row per file.
+        probed = paths.repartition(n).mapInPandas(run, PROBE_SCHEMA)
+    else:
+        def run_bytes(batches):
+            for pdf in batches:
+                yield _probe_rows(
+                    [(p, (lambda c=c: _probe_stream(io.BytesIO(c), verify_gzip, hash_bytes)))
+                     for p, c in zip(pdf["path"], pdf["content"])])
+        names = [r["path"] for r in paths.collect()]  # file metadata, one row per file
+        if not names:
+            probed = spark.createDataFrame([], PROBE_SCHEMA)
+        else:
+            blobs = (spark.read.format("binaryFile").load(names)
+                     .select(_norm_path(F.col("path")).alias("path"), "content"))
+            probed = blobs.mapInPandas(run_bytes, PROBE_SCHEMA)
     return listing.join(probed, "path", "left")
 
 

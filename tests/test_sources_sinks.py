@@ -173,3 +173,14 @@ def test_shuffle_partitions_only_raised(spark):
     assert ensure_shuffle_partitions(spark, 1024) == before
     assert ensure_shuffle_partitions(spark, 64 * 128 * 1024 * 1024) == max(before, 64)
     spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+def test_probe_via_spark_bytes_matches_arrow(spark, tmp_dir):
+    _files(tmp_dir)
+    listing = S.list_source_files(spark, tmp_dir)
+    cols = ["file_name", "is_gzip", "header", "intact", "file_hash", "status"]
+    a = sorted(tuple(r) for r in S.classify_files(S.probe_files(listing, hash_bytes=True, source="arrow"))
+               .select(*cols).collect())
+    b = sorted(tuple(r) for r in S.classify_files(S.probe_files(listing, hash_bytes=True, source="spark"))
+               .select(*cols).collect())
+    assert a == b
