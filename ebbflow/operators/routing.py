@@ -146,3 +146,18 @@ def routing_coverage(processed: DataFrame, rules: RuleSet | None = None,
         rows.alias("routed_rows"),
         F.when(rows > 0, F.lit("written")).otherwise(F.lit("empty")).alias("status"),
     )
+
+
+def routed_partition_counts(processed: DataFrame, rules: RuleSet | None = None,
+                            partition_cols=("date",), tenant_col: str = "prefix") -> DataFrame:
+    """Rows each routed (table_name, partition) will receive, computed from a
+    pre-aggregate of (tenant, partition, filter values) rather than by routing
+    every row: the input to the write layout, at the cost of one small
+    aggregate. Output: table_name, *partition_cols, __rows."""
+    rules = rules or RuleSet()
+    combos = (processed.where(F.col(tenant_col).isNotNull())
+              .groupBy(tenant_col, *partition_cols, *rules.filter_columns)
+              .agg(F.count(F.lit(1)).alias("__n")))
+    return (routed_rows(combos, rules, tenant_col)
+            .groupBy("table_name", *partition_cols)
+            .agg(F.sum("__n").alias("__rows")))

@@ -126,7 +126,8 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     routed_obs = Observation("routed")
     routed = R.route_events(staged, rules).observe(routed_obs, F.count(F.lit(1)).alias("n"))
     events_path = f"{output_root}/events"
-    attempt("events", lambda: W.write_routed(routed, events_path))
+    attempt("events", lambda: W.write_routed(
+        routed, events_path, counts=R.routed_partition_counts(staged, rules)))
     coverage = R.routing_coverage(staged, rules).cache()
     cov = coverage.groupBy().agg(
         F.sum(F.when(F.col("status") == "written", 1).otherwise(0)).alias("tables_written"),

@@ -36,9 +36,11 @@ MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
 def _layout(df: DataFrame, partition_cols: list[str], target_rows: int,
-            num_partitions: int | None) -> DataFrame:
+            num_partitions: int | None, counts: DataFrame | None = None) -> DataFrame:
     spark = df.sparkSession
-    counts = (df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("__rows"))
+    if counts is None:
+        counts = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("__rows"))
+    counts = (counts
               .select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols], "__rows",
                       F.greatest(F.lit(1), F.ceil(F.col("__rows") / F.lit(target_rows))).cast("int")
                       .alias("__buckets"))
@@ -59,10 +61,14 @@ def _layout(df: DataFrame, partition_cols: list[str], target_rows: int,
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
                       target_rows_per_file: int = DEFAULT_TARGET_ROWS_PER_FILE,
                       num_partitions: int | None = None,
-                      sort_within: list[str] | None = None) -> None:
+                      sort_within: list[str] | None = None,
+                      counts: DataFrame | None = None) -> None:
     """zstd Parquet, hive-partitioned; ``overwrite`` replaces only the partitions
-    present in ``df`` (dynamic partition overwrite), others are kept."""
-    out, counts = _layout(df, partition_cols, target_rows_per_file, num_partitions)
+    present in ``df`` (dynamic partition overwrite), others are kept.
+
+    ``counts`` (partition columns + ``__rows``) may be supplied when the caller
+    can compute them more cheaply than a count over ``df``."""
+    out, counts = _layout(df, partition_cols, target_rows_per_file, num_partitions, counts)
     if sort_within:
         out = out.sortWithinPartitions(*partition_cols, *sort_within)
     (out.write.mode(mode)

@@ -101,3 +101,11 @@ def test_routing_flags(spark):
     norm = sorted(r["table_name"] for r in R.route_events(p, rules, normalize_activity=True,
                                                           route_empty_tenant=False).collect())
     assert norm == ["t1_session"]
+
+
+def test_routed_partition_counts_match_routed_rows(spark):
+    p = catalog.processed_events(spark, SF)
+    exp = {(r["table_name"], r["date"]): r["count"]
+           for r in R.route_events(p).groupBy("table_name", "date").count().collect()}
+    got = {(r["table_name"], r["date"]): r["__rows"] for r in R.routed_partition_counts(p).collect()}
+    assert got == exp
