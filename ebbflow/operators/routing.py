@@ -161,3 +161,18 @@ def routed_partition_counts(processed: DataFrame, rules: RuleSet | None = None,
     return (routed_rows(combos, rules, tenant_col)
             .groupBy("table_name", *partition_cols)
             .agg(F.sum("__n").alias("__rows")))
+
+
+def unrouted_rows(processed: DataFrame, rules: RuleSet | None = None,
+                  tenant_col: str = "prefix") -> DataFrame:
+    """Rows with a tenant that no rule routes anywhere (e.g. an accepted
+    activity kind without a rule), counted from the same small pre-aggregate.
+    Output: one row, ``rows_unrouted``."""
+    rules = rules or RuleSet()
+    keys = [tenant_col, *rules.filter_columns]
+    combos = (processed.where(F.col(tenant_col).isNotNull())
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")))
+    hit = routed_rows(combos, rules, tenant_col).select(*keys).distinct()
+    cond = [combos[k].eqNullSafe(hit[k]) for k in keys]
+    miss = combos.join(hit, cond, "left_anti")
+    return miss.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("rows_unrouted"))

@@ -129,6 +129,7 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     attempt("events", lambda: W.write_routed(
         routed, events_path, counts=R.routed_partition_counts(staged, rules)))
     coverage = R.routing_coverage(staged, rules).cache()
+    unrouted = int(R.unrouted_rows(staged, rules).first()["rows_unrouted"])
     cov = coverage.groupBy().agg(
         F.sum(F.when(F.col("status") == "written", 1).otherwise(0)).alias("tables_written"),
         F.sum(F.when(F.col("status") == "empty", 1).otherwise(0)).alias("empty_tables")).first()
@@ -144,11 +145,12 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     metrics = spark.createDataFrame([(
         int(file_stats["files_total"] or 0), int(file_stats["files_ok"] or 0),
         int((file_stats["files_total"] or 0) - (file_stats["files_ok"] or 0)),
-        read_counts[0], read_counts[1], _count(routed_obs), _count(agg_obs),
+        read_counts[0], read_counts[1], _count(routed_obs), unrouted, _count(agg_obs),
         int(cov["tables_written"] or 0), int(cov["empty_tables"] or 0), failed_writes,
         {k: float(v) for k, v in timings.items()},
     )], "files_total bigint, files_ok bigint, files_failed bigint, rows_read bigint, "
-        "rows_malformed bigint, partitioned_rows_written bigint, aggregate_rows_written bigint, "
+        "rows_malformed bigint, partitioned_rows_written bigint, rows_unrouted bigint, "
+        "aggregate_rows_written bigint, "
         "tables_written bigint, empty_tables bigint, failed_writes array<string>, "
         "phase_seconds map<string,double>")
     return EventLakeRun(metrics, coverage, processed_path, events_path, aggregates_path, quarantine_path)

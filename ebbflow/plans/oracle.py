@@ -530,6 +530,11 @@ SELECT
   CAST((SELECT COUNT(*) FROM scanned) AS BIGINT) AS rows_read,
   CAST((SELECT COUNT(*) FROM exp WHERE is_malformed) AS BIGINT) AS rows_malformed,
   CAST((SELECT COUNT(*) FROM lr) AS BIGINT) AS partitioned_rows_written,
+  CAST((SELECT COUNT(*) FROM lp WHERE prefix IS NOT NULL AND NOT EXISTS (
+     SELECT 1 FROM rules r
+     WHERE ((r.filter_column = 'activity_kind' AND lp.activity_kind = r.filter_value)
+         OR (r.filter_column = 'pp_event_name' AND lp.pp_event_name = r.filter_value))
+       AND (r.allowed IS NULL OR list_contains(r.allowed, lp.prefix)))) AS BIGINT) AS rows_unrouted,
   CAST((SELECT COUNT(*) FROM la WHERE prefix IS NOT NULL) AS BIGINT) AS aggregate_rows_written,
   CAST((SELECT COUNT(*) FROM cov WHERE n > 0) AS BIGINT) AS tables_written,
   CAST((SELECT COUNT(*) FROM cov WHERE n = 0) AS BIGINT) AS empty_tables,

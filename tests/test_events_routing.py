@@ -109,3 +109,14 @@ def test_routed_partition_counts_match_routed_rows(spark):
            for r in R.route_events(p).groupBy("table_name", "date").count().collect()}
     got = {(r["table_name"], r["date"]): r["__rows"] for r in R.routed_partition_counts(p).collect()}
     assert got == exp
+
+
+def test_unrouted_rows(spark):
+    rules = R.RuleSet([("session", "activity_kind", "session", None)])
+    raw = _raw(spark, [
+        ("u1", "1704067200", None, "session", "{}", None, None, None, None, "s3://b/t1_2024-01-01T00.csv.gz"),
+        ("u2", "1704067200", None, "install_update", "{}", None, None, None, None, "s3://b/t1_2024-01-01T00.csv.gz"),
+        ("u3", "1704067200", None, "event", "{}", None, None, None, None, "s3://b/t1_2024-01-01T00.csv.gz"),
+    ])
+    p = E.process_events(raw, CLOCK)
+    assert R.unrouted_rows(p, rules).first()["rows_unrouted"] == 2
