@@ -367,6 +367,10 @@ def q_normalize_columns(spark, sf):
         for c in rows.columns])))
 
 
+def q_dq_schema_contract_files(spark, sf):
+    return E.schema_contract(_scan(spark, sf).rows)
+
+
 def q_file_isolation(spark, sf):
     files = _scan(spark, sf).files
     return files.select("file_name", "status", "is_gzip")
@@ -440,6 +444,7 @@ QUERIES.update({
     "file_provenance": q_file_provenance,
     "normalize_columns": q_normalize_columns,
     "file_isolation": q_file_isolation,
+    "dq_schema_contract_files": q_dq_schema_contract_files,
     "quarantine_files": q_quarantine_files,
     "source_window": q_source_window,
     "empty_input": q_empty_input,

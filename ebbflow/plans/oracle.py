@@ -476,6 +476,21 @@ SELECT file_name, prefix, COUNT(*) AS n_rows FROM scanned GROUP BY file_name, pr
             "os_name", "device_type", "app_version_short", "extra"]
     q["normalize_columns"] = _with(EXPORTS, "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, CAST(COUNT({c}) AS BIGINT) AS non_null_values FROM scanned" for c in cols))
+    present = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters", "country", "city",
+               "os_name", "device_type", "app_version_short"]
+    contract = []
+    for c in C.REQUIRED_COLUMNS:
+        etype = "epoch" if c in C.TIMESTAMP_COLUMNS else "string"
+        if c in present:
+            bad = (f"(SELECT COUNT(*) FROM scanned WHERE {c} IS NOT NULL AND TRY_CAST(trim({c}) AS BIGINT) IS NULL)"
+                   if c in C.TIMESTAMP_COLUMNS else "0")
+            contract.append(f"SELECT '{c}' AS column_name, '{etype}' AS expected_type, true AS is_present, "
+                            f"CAST((SELECT COUNT(*) FROM scanned WHERE {c} IS NULL) AS BIGINT) AS null_count, "
+                            f"CAST({bad} AS BIGINT) AS cast_failures")
+        else:
+            contract.append(f"SELECT '{c}' AS column_name, '{etype}' AS expected_type, false AS is_present, "
+                            f"CAST(NULL AS BIGINT) AS null_count, CAST(NULL AS BIGINT) AS cast_failures")
+    q["dq_schema_contract_files"] = _with(EXPORTS, "\nUNION ALL\n".join(contract))
     status_rows = _broken_values("file_name, status, is_gzip", lambda n, b, st: (
         f"({_q(n)}, {_q(st)}, " + ("NULL" if not b else ("true" if b[:2] == b'\x1f\x8b' else "false")) + ")"))
     q["file_isolation"] = _with(EXPORTS, f"""
