@@ -210,6 +210,23 @@ ffiles AS (
 )"""
 
 
+def _contract_sql(src: str, present: list[str]) -> str:
+    """Schema-contract rows (one per declared column) over the CTE ``src``."""
+    rows = []
+    for c in C.REQUIRED_COLUMNS:
+        etype = "epoch" if c in C.TIMESTAMP_COLUMNS else "string"
+        if c in present:
+            bad = (f"(SELECT COUNT(*) FROM {src} WHERE {c} IS NOT NULL AND TRY_CAST(trim({c}) AS BIGINT) IS NULL)"
+                   if c in C.TIMESTAMP_COLUMNS else "0")
+            rows.append(f"SELECT '{c}' AS column_name, '{etype}' AS expected_type, true AS is_present, "
+                        f"CAST((SELECT COUNT(*) FROM {src} WHERE {c} IS NULL) AS BIGINT) AS null_count, "
+                        f"CAST({bad} AS BIGINT) AS cast_failures")
+        else:
+            rows.append(f"SELECT '{c}' AS column_name, '{etype}' AS expected_type, false AS is_present, "
+                        f"CAST(NULL AS BIGINT) AS null_count, CAST(NULL AS BIGINT) AS cast_failures")
+    return "\nUNION ALL\n".join(rows)
+
+
 def _with(ctes: str, body: str) -> str:
     """``WITH <ctes> <body>``; a body starting with ``,`` adds more CTEs first."""
     return "WITH " + ctes.strip() + ("" if body.startswith(",") else "\n") + body
@@ -285,19 +302,7 @@ WHERE created_at IS NULL
    OR NOT COALESCE(lower(trim(activity_kind)) IN ('session', 'install', 'install_update', 'event'), false)""")
     present = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters", "city",
                "country", "os_name", "device_type", "app_version_short"]
-    rows = []
-    for c in C.REQUIRED_COLUMNS:
-        etype = "epoch" if c in C.TIMESTAMP_COLUMNS else "string"
-        if c in present:
-            nulls = f"(SELECT COUNT(*) FROM raw WHERE {c} IS NULL)"
-            bad = (f"(SELECT COUNT(*) FROM raw WHERE {c} IS NOT NULL AND TRY_CAST(trim({c}) AS BIGINT) IS NULL)"
-                   if c in C.TIMESTAMP_COLUMNS else "0")
-            rows.append(f"SELECT '{c}' AS column_name, '{etype}' AS expected_type, true AS is_present, "
-                        f"CAST({nulls} AS BIGINT) AS null_count, CAST({bad} AS BIGINT) AS cast_failures")
-        else:
-            rows.append(f"SELECT '{c}' AS column_name, '{etype}' AS expected_type, false AS is_present, "
-                        f"CAST(NULL AS BIGINT) AS null_count, CAST(NULL AS BIGINT) AS cast_failures")
-    q["dq_schema_contract"] = _with(RAW, "\nUNION ALL\n".join(rows))
+    q["dq_schema_contract"] = _with(RAW, _contract_sql("raw", present))
 
     # ---- file governance over the documents-derived manifest ----
     q["stg_raw_files"] = _with(MANIFEST, "SELECT * FROM staged")
@@ -478,19 +483,7 @@ SELECT file_name, prefix, COUNT(*) AS n_rows FROM scanned GROUP BY file_name, pr
         f"SELECT '{c}' AS column_name, CAST(COUNT({c}) AS BIGINT) AS non_null_values FROM scanned" for c in cols))
     present = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters", "country", "city",
                "os_name", "device_type", "app_version_short"]
-    contract = []
-    for c in C.REQUIRED_COLUMNS:
-        etype = "epoch" if c in C.TIMESTAMP_COLUMNS else "string"
-        if c in present:
-            bad = (f"(SELECT COUNT(*) FROM scanned WHERE {c} IS NOT NULL AND TRY_CAST(trim({c}) AS BIGINT) IS NULL)"
-                   if c in C.TIMESTAMP_COLUMNS else "0")
-            contract.append(f"SELECT '{c}' AS column_name, '{etype}' AS expected_type, true AS is_present, "
-                            f"CAST((SELECT COUNT(*) FROM scanned WHERE {c} IS NULL) AS BIGINT) AS null_count, "
-                            f"CAST({bad} AS BIGINT) AS cast_failures")
-        else:
-            contract.append(f"SELECT '{c}' AS column_name, '{etype}' AS expected_type, false AS is_present, "
-                            f"CAST(NULL AS BIGINT) AS null_count, CAST(NULL AS BIGINT) AS cast_failures")
-    q["dq_schema_contract_files"] = _with(EXPORTS, "\nUNION ALL\n".join(contract))
+    q["dq_schema_contract_files"] = _with(EXPORTS, _contract_sql("scanned", present))
     status_rows = _broken_values("file_name, status, is_gzip", lambda n, b, st: (
         f"({_q(n)}, {_q(st)}, " + ("NULL" if not b else ("true" if b[:2] == b'\x1f\x8b' else "false")) + ")"))
     q["file_isolation"] = _with(EXPORTS, f"""
