@@ -71,7 +71,8 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
                    date: str | None = None, hour: str | None = None,
                    tenants: list[str] | None = None,
                    dlq_location: str = C.DEFAULT_DLQ_LOCATION,
-                   quarantine_bytes: bool = True) -> EventLakeRun:
+                   quarantine_bytes: bool = True,
+                   events_layout: str = "partitioned") -> EventLakeRun:
     rules = rules or R.RuleSet()
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
@@ -136,7 +137,7 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
         t = time.perf_counter()
         routed = R.route_events(staged, rules).observe(routed_obs, F.count(F.lit(1)).alias("n"))
         attempt("events", lambda: W.write_routed(
-            routed, events_path, counts=R.routed_partition_counts(staged, rules)))
+            routed, events_path, layout=events_layout, counts=R.routed_partition_counts(staged, rules)))
         timings["route_and_write"] = time.perf_counter() - t
 
     def branch_coverage() -> None:

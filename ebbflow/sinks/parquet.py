@@ -80,9 +80,57 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
     counts.unpersist()
 
 
-def write_routed(routed: DataFrame, path: str, **kw) -> None:
-    """Routed events as ``table_name=<tenant>_<suffix>/date=<d>/``."""
-    write_partitioned(routed, path, ["table_name", "date"], **kw)
+def write_routed(routed: DataFrame, path: str, layout: str = "partitioned", **kw) -> None:
+    """Routed events.
+
+    ``layout="partitioned"``: one table, ``<path>/table_name=<tenant>_<suffix>/date=<d>/``.
+    ``layout="table_folders"``: one folder per routed table,
+    ``<path>/<tenant>_<suffix>/date=<d>/``, as the upstream tables are laid out. The
+    data is still written by one job (into a staging folder under ``path``);
+    the written (table, date) partitions are then moved into place, replacing
+    the same dates of the same tables and leaving every other date alone.
+    """
+    if layout == "partitioned":
+        write_partitioned(routed, path, ["table_name", "date"], **kw)
+        return
+    if layout != "table_folders":
+        raise ValueError("layout must be 'partitioned' or 'table_folders'")
+    import uuid
+
+    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
+    write_partitioned(routed, staging, ["table_name", "date"], mode="errorifexists", **kw)
+    publish_table_folders(routed.sparkSession, staging, path)
+
+
+def publish_table_folders(spark, staging: str, target: str) -> int:
+    """Move ``staging/table_name=<t>/date=<d>`` into ``target/<t>/date=<d>``.
+
+    Driver-side filesystem metadata calls, one per (table, date) partition the
+    write produced (bounded by tables x dates of one run), never per row.
+    Returns the number of partitions published."""
+    from urllib.parse import unquote
+
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    moved = 0
+    for t in fs.listStatus(Path(staging)):
+        name = t.getPath().getName()
+        if not t.isDirectory() or not name.startswith("table_name="):
+            continue
+        table_dir = Path(target, unquote(name[len("table_name="):]))
+        fs.mkdirs(table_dir)
+        for d in fs.listStatus(t.getPath()):
+            if not d.isDirectory() or not d.getPath().getName().startswith("date="):
+                continue
+            dest = Path(table_dir, d.getPath().getName())
+            if fs.exists(dest):
+                fs.delete(dest, True)
+            if not fs.rename(d.getPath(), dest):
+                raise RuntimeError(f"could not move {d.getPath()} to {dest}")
+            moved += 1
+    fs.delete(Path(staging), True)
+    return moved
 
 
 def write_aggregates(agg_output: DataFrame, path: str, **kw) -> None:

@@ -119,6 +119,16 @@ def test_incremental_ingest_picks_up_only_new_files(spark, tmp_dir):
     assert INC.read_ingested(spark, out).count() == n1 + 1
 
 
+def test_event_lake_table_folders(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    _files(src)
+    with open(f"{src}/tf_2024-01-05T00.csv.gz", "w") as f:
+        f.write("adid,created_at,activity_kind\nu7,1704067200,session\n")
+    run = EL.run_event_lake(spark, src, f"{tmp_dir}/out", CLOCK, events_layout="table_folders")
+    assert run.metrics.first()["failed_writes"] == []
+    assert os.listdir(f"{run.events_path}/tf_session") == ["date=2024-01-01"]
+
+
 def test_event_lake_on_empty_folder(spark, tmp_dir):
     src = f"{tmp_dir}/empty"
     os.makedirs(src)
@@ -184,3 +194,17 @@ def test_probe_via_spark_bytes_matches_arrow(spark, tmp_dir):
     b = sorted(tuple(r) for r in S.classify_files(S.probe_files(listing, hash_bytes=True, source="spark"))
                .select(*cols).collect())
     assert a == b
+
+
+def test_table_folders_layout_replaces_only_written_dates(spark, tmp_dir):
+    out = f"{tmp_dir}/lake"
+    a = spark.createDataFrame([("t1_session", "2024-01-01", 1), ("t1_session", "2024-01-02", 2),
+                               ("t2_install", "2024-01-01", 3)], "table_name string, date string, v int")
+    W.write_routed(a, out, layout="table_folders")
+    assert sorted(os.listdir(out)) == ["t1_session", "t2_install"]
+    b = spark.createDataFrame([("t1_session", "2024-01-02", 9)], "table_name string, date string, v int")
+    W.write_routed(b, out, layout="table_folders")
+    got = sorted((str(r["date"]), r["v"]) for r in spark.read.parquet(f"{out}/t1_session").collect())
+    assert got == [("2024-01-01", 1), ("2024-01-02", 9)]
+    assert [r["v"] for r in spark.read.parquet(f"{out}/t2_install").collect()] == [3]
+    assert sorted(os.listdir(out)) == ["t1_session", "t2_install"]   # staging folder removed
