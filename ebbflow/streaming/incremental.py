@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from ebbflow import config as C
 from ebbflow.operators import events as E
+from ebbflow.operators import routing as R
+from ebbflow.sinks import parquet as W
 from ebbflow.sinks import quarantine as Qn
 from ebbflow.sources import files as S
 
@@ -30,8 +32,14 @@ def _paths(batch: DataFrame) -> list[str]:
 
 def ingest_new_files(spark: SparkSession, source_root: str, output_root: str, checkpoint: str,
                      clock: C.RunClock, max_files_per_trigger: int = 500,
-                     suffix: str = C.SOURCE_SUFFIX, compression: str = "sniff") -> int:
-    """Process every file not seen by earlier runs; returns micro-batches run."""
+                     suffix: str = C.SOURCE_SUFFIX, compression: str = "sniff",
+                     route: bool = False, rules: R.RuleSet | None = None) -> int:
+    """Process every file not seen by earlier runs; returns micro-batches run.
+
+    With ``route=True`` each micro-batch also writes its routed rows under
+    ``routed/table_name=<t>/date=<d>/batch_id=<n>/``: dynamic overwrite then
+    replaces only that batch's partitions, so a retried batch is idempotent and
+    a later batch never erases rows an earlier batch wrote for the same date."""
     batches = {"n": 0}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -48,8 +56,12 @@ def ingest_new_files(spark: SparkSession, source_root: str, output_root: str, ch
         Qn.write_quarantine(Qn.quarantine_frame(files, clock), f"{output_root}/_quarantine/batch_id={batch_id}")
         scan = S.scan_csv(spark, files, compression)
         processed = E.process_events(scan.rows, clock)
-        (processed.write.mode("overwrite").option("compression", "zstd")
-         .parquet(f"{output_root}/processed/batch_id={batch_id}"))
+        processed_path = f"{output_root}/processed/batch_id={batch_id}"
+        processed.write.mode("overwrite").option("compression", "zstd").parquet(processed_path)
+        if route:
+            staged = spark.read.parquet(processed_path)
+            routed = R.route_events(staged, rules or R.RuleSet()).withColumn("batch_id", F.lit(batch_id))
+            W.write_partitioned(routed, f"{output_root}/routed", ["table_name", "date", "batch_id"])
         files.unpersist()
 
     stream = (spark.readStream.format("binaryFile")

@@ -115,8 +115,10 @@ def test_incremental_ingest_picks_up_only_new_files(spark, tmp_dir):
     assert INC.ingest_new_files(spark, src, out, ck, CLOCK) == 0
     with open(f"{src}/tf_2024-01-05T00.csv.gz", "w") as f:
         f.write("adid,created_at,activity_kind\nu7,1704067200,session\n")
-    assert INC.ingest_new_files(spark, src, out, ck, CLOCK) == 1
+    assert INC.ingest_new_files(spark, src, out, ck, CLOCK, route=True) == 1
     assert INC.read_ingested(spark, out).count() == n1 + 1
+    routed = spark.read.parquet(f"{out}/routed").collect()
+    assert [(r["adid"], r["table_name"]) for r in routed] == [("u7", "tf_session")]
 
 
 def test_event_lake_table_folders(spark, tmp_dir):
