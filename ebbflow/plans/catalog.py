@@ -470,4 +470,13 @@ def q_incremental_ingest(spark, sf):
             .withColumn("second_run_batches", F.lit(again).cast("bigint")))
 
 
+def q_incremental_routed(spark, sf):
+    root = _root(spark, sf)
+    out, ckpt = scratch_path(spark, "ingest-routed"), scratch_path(spark, "ingest-routed-ckpt")
+    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, max_files_per_trigger=64, route=True)
+    routed = spark.read.parquet(f"{out}/routed")
+    return routed.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 QUERIES["incremental_ingest"] = q_incremental_ingest
+QUERIES["incremental_routed"] = q_incremental_routed

@@ -518,6 +518,9 @@ UNION ALL
                                 + _broken_values("file_name, outcome, failure_reason", _gov))
     q["incremental_ingest"] = _with(EXPORTS + "," + processed_cte("sp", "scanned"), """
 SELECT file_name, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS second_run_batches FROM sp GROUP BY file_name""")
+    q["incremental_routed"] = _with(
+        EXPORTS + "," + processed_cte("sp", "scanned") + ",\n" + rules_cte() + "," + routed_cte("sr", "sp"),
+        "SELECT table_name, COUNT(*) AS n_rows FROM sr GROUP BY table_name")
     base = sql()
     q["partitioned_write"] = base["route_events"]
     q["agg_write"] = base["ad_preagg_output"]
