@@ -12,15 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbflow.functions import columns as X
 from ebbflow.operators import aggregates as G
 from ebbflow.operators import events as E
 from ebbflow.operators import governance as V
 from ebbflow.operators import quality as Q
 from ebbflow.operators import reports as P
 from ebbflow.operators import routing as R
-from ebbflow.functions import columns as X
 from ebbflow.plans import adapters as A
-from ebbflow.session import apply_base_conf
+from ebbflow.plans import event_lake as EL
+from ebbflow.plans import exports as XP
+from ebbflow.session import apply_base_conf, scratch_path
+from ebbflow.sinks import parquet as W
+from ebbflow.sinks import quarantine as QN
+from ebbflow.sources import files as S
+from ebbflow.streaming import incremental as INC
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -300,12 +306,6 @@ QUERIES: dict[str, Query] = {
 
 
 # ------------------------------------------------- file sources (round trip)
-from ebbflow.plans import exports as XP  # noqa: E402
-from ebbflow.plans import event_lake as EL  # noqa: E402
-from ebbflow.session import scratch_path  # noqa: E402
-from ebbflow.sinks import parquet as W  # noqa: E402
-from ebbflow.sinks import quarantine as QN  # noqa: E402
-from ebbflow.sources import files as S  # noqa: E402
 
 WINDOW_DATE = "2024-01-05"
 WINDOW_TENANTS = [A.ADAPTER_TENANTS[0], A.ADAPTER_TENANTS[3]]
@@ -457,7 +457,6 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------ streaming
-from ebbflow.streaming import incremental as INC  # noqa: E402
 
 
 def q_incremental_ingest(spark, sf):
