@@ -30,6 +30,32 @@ def _paths(batch: DataFrame) -> list[str]:
     return [r["path"] for r in batch.select(S._norm_path(F.col("path")).alias("path")).collect()]
 
 
+def process_batch(spark: SparkSession, paths: list[str], batch_id: int, output_root: str,
+                  clock: C.RunClock, suffix: str = C.SOURCE_SUFFIX, compression: str = "sniff",
+                  route: bool = False, rules: R.RuleSet | None = None) -> None:
+    """One micro-batch: probe, quarantine, scan and process the given files and
+    (optionally) route them. Every output goes to this batch's own
+    ``batch_id=<n>`` partition with overwrite, so running a batch again (as
+    Spark does after a failure) replaces its output instead of duplicating it."""
+    listing = spark.createDataFrame([(p,) for p in paths], "path string").join(
+        S.list_source_files(spark, paths, suffix), "path", "left")
+    listing = listing.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                             F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
+                             "modification_time")
+    files = S.classify_files(S.probe_files(listing)).cache()
+    (Qn.quarantine_frame(files, clock).write.mode("overwrite").option("compression", "zstd")
+     .parquet(f"{output_root}/_quarantine/batch_id={batch_id}"))
+    scan = S.scan_csv(spark, files, compression)
+    processed = E.process_events(scan.rows, clock)
+    processed_path = f"{output_root}/processed/batch_id={batch_id}"
+    processed.write.mode("overwrite").option("compression", "zstd").parquet(processed_path)
+    if route:
+        staged = spark.read.parquet(processed_path)
+        routed = R.route_events(staged, rules or R.RuleSet()).withColumn("batch_id", F.lit(batch_id))
+        W.write_partitioned(routed, f"{output_root}/routed", ["table_name", "date", "batch_id"])
+    files.unpersist()
+
+
 def ingest_new_files(spark: SparkSession, source_root: str, output_root: str, checkpoint: str,
                      clock: C.RunClock, max_files_per_trigger: int = 500,
                      suffix: str = C.SOURCE_SUFFIX, compression: str = "sniff",
@@ -47,22 +73,7 @@ def ingest_new_files(spark: SparkSession, source_root: str, output_root: str, ch
         if not paths:
             return
         batches["n"] += 1
-        listing = spark.createDataFrame([(p,) for p in paths], "path string").join(
-            S.list_source_files(spark, paths, suffix), "path", "left")
-        listing = listing.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                                 F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
-                                 "modification_time")
-        files = S.classify_files(S.probe_files(listing)).cache()
-        Qn.write_quarantine(Qn.quarantine_frame(files, clock), f"{output_root}/_quarantine/batch_id={batch_id}")
-        scan = S.scan_csv(spark, files, compression)
-        processed = E.process_events(scan.rows, clock)
-        processed_path = f"{output_root}/processed/batch_id={batch_id}"
-        processed.write.mode("overwrite").option("compression", "zstd").parquet(processed_path)
-        if route:
-            staged = spark.read.parquet(processed_path)
-            routed = R.route_events(staged, rules or R.RuleSet()).withColumn("batch_id", F.lit(batch_id))
-            W.write_partitioned(routed, f"{output_root}/routed", ["table_name", "date", "batch_id"])
-        files.unpersist()
+        process_batch(spark, paths, batch_id, output_root, clock, suffix, compression, route, rules)
 
     stream = (spark.readStream.format("binaryFile")
               .schema("path string, modificationTime timestamp, length bigint, content binary")

@@ -210,3 +210,17 @@ def test_table_folders_layout_replaces_only_written_dates(spark, tmp_dir):
     assert got == [("2024-01-01", 1), ("2024-01-02", 9)]
     assert [r["v"] for r in spark.read.parquet(f"{out}/t2_install").collect()] == [3]
     assert sorted(os.listdir(out)) == ["t1_session", "t2_install"]   # staging folder removed
+
+
+def test_replayed_micro_batch_is_idempotent(spark, tmp_dir):
+    src, out = f"{tmp_dir}/src", f"{tmp_dir}/out"
+    _files(src)
+    with open(f"{src}/tf_2024-01-05T00.csv.gz", "w") as f:
+        f.write("adid,created_at,activity_kind\nu7,1704067200,session\nu8,1704067201,install\n")
+    paths = [r["path"] for r in S.list_source_files(spark, src).collect()]
+    for _ in range(2):   # the same batch id run twice, as after a failure
+        INC.process_batch(spark, paths, 7, out, CLOCK, route=True)
+    assert INC.read_ingested(spark, out).count() == 2
+    assert sorted(r["table_name"] for r in spark.read.parquet(f"{out}/routed").collect()) == [
+        "tf_install", "tf_session"]
+    assert spark.read.parquet(f"{out}/_quarantine").count() == 2
