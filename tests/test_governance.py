@@ -105,3 +105,9 @@ def test_explicit_unknown_reason_flag(spark):
     m = _manifest(spark, [("n.csv", ts, "h", None, "a,b"), ("m.csv", ts, "h", -1, "a,b")])
     v = V.validate_files(V.stage_raw_files(m, CLOCK), CLOCK, explicit_unknown_reason=True).collect()
     assert {r["validation_error"] for r in v} == {"UNKNOWN_RECORD_COUNT"}
+
+
+def test_content_size_warning_is_not_an_error(spark):
+    m = _manifest(spark, [("big.csv", None, None, None, "a," + "x" * 30)])
+    r = V.content_checks(m, max_size=10).first()
+    assert r["is_valid"] and r["errors"] == [] and r["warnings"] == ["File size exceeds 10 bytes"]
