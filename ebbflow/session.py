@@ -33,11 +33,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("EBBFLOW_DRIVER_MEMORY", "8g"))
-    if master.startswith("local"):
-        # Local runs write to the local filesystem, where Hadoop's checksumming
-        # wrapper adds a .crc side file per output file (doubling file creation
-        # for many-partition writes). Only the file:// scheme is affected.
-        conf.setdefault("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

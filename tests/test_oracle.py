@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ebbflow.plans import catalog
 from tools_check import digest
 
 SF = "/root/testdata/sf0.001"
@@ -21,11 +22,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(catalog.QUERIES) - set(entry.oracle_sql())
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
