@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbflow.llm.common import id_and_text, prepare, record, stage, text_bytes
 from ebbflow.session import scratch_path
@@ -62,8 +63,10 @@ def update_state(spark: SparkSession, arrivals: str, state: str, changes: str, f
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{changes}/batch={batch_id}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    settings = {_PROVIDER: ROCKSDB}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         rows = (spark.readStream.schema(_DIGESTS_DDL).option("maxFilesPerTrigger", files_per_trigger).parquet(arrivals)
                 .groupBy("digest")
@@ -73,7 +76,8 @@ def update_state(spark: SparkSession, arrivals: str, state: str, changes: str, f
                  .trigger(availableNow=True).foreachBatch(write).start())
         query.awaitTermination()
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def state_table(spark: SparkSession, changes: str) -> DataFrame:
@@ -110,6 +114,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         (F.col("locator") == F.col("stays.locator")).alias("kept"), "text_sha256")
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, columns as they are."""
+    found = stage(exact_dedup(docs), "exact-dedup-found")
+    kept = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept"))
+
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            sha = [hashlib.sha256(normalised(t)).hexdigest() for t in text_bytes(b.column(at))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sha, pa.string())], [*b.schema.names, "__sha"])
+
+    rows = docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField("__sha", T.StringType())]))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__sha"] == kept["__kept"]), "left_semi")
+    if not found.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "__sha"])  # a row that is there several times stays once
+    return rows.drop("__sha")
+
+
 def _contents(source: DataFrame) -> DataFrame:
     """``(doc_id, text_sha256, content)``: normalised texts, for reading back by identifier."""
     def run(batches):

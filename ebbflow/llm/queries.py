@@ -12,11 +12,14 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import exact_dedup, packing, sharding, token_counts
+from ebbflow.llm import exact_dedup, jaccard_join, language_model, mixing, multi_index, packing, quality, repeated_text, sharding, token_counts
 from ebbflow.llm.common import prepare, table
 
 WORD_BPE = tokenizer_path("word_bpe_49k.json")
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
+#: A domain is a class of the labelled table; targets are shares of all tokens.
+LABEL_DOMAIN = "concat('quality', quality, '_toxic', toxic)"
+TARGETS = {"quality1_toxic0": 0.95, "quality1_toxic1": 0.03, "quality0_toxic0": 0.02}
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +28,34 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "tier", "step_id")
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's posterior over the label classes, its rate and its copies."""
+    rates, names, _ = mixing.domain_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), LABEL_DOMAIN, TARGETS)
+    return rates.select("doc_id", "n_tokens", *[F.col("posterior")[k].alias(f"p_{n}") for k, n in enumerate(names)], "rate", "copies")
+
+
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=5, percent=80).drop("class_id")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeated_text.remove_repeated(table(spark, sf_dir, "documents"), length=50)
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's slot and shard."""
     prepare(spark)
@@ -36,23 +63,38 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", SHARDS)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing,
-    "op6_exact_dedup": op6_exact_dedup,
-    "op8_sharding": op8_sharding,
-    "op10_token_counts": op10_token_counts,
-}
+    f.__name__: f for f in (op1_packing, op2_multi_index, op3_mixing, op4_language_model, op5_jaccard_join, op6_exact_dedup,
+                            op7_repeated_text, op8_sharding, op9_quality, op10_token_counts)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def oracle_sql() -> dict[str, str]:
+    words = f"list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
     owner = ",".join(map(str, sharding.fill_table(SHARDS)))
     return {
+        "op5_jaccard_join": f"""
+            WITH RECURSIVE d AS (SELECT doc_id, {words} AS w FROM documents),
+                 s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE w[i:i + 4] END AS shingle
+                       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+                 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+                 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle)
+                           WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+                 links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+                           WHERE 100 * common >= 80 * (x.n + y.n - common)),
+                 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+                 least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+            SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least.component_id
+            FROM d LEFT JOIN n USING (doc_id) JOIN least USING (doc_id)""",
         "op6_exact_dedup": f"""
             WITH t AS (SELECT doc_id, {_LOWER} AS norm FROM documents),
                  g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
