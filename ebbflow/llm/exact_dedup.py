@@ -32,6 +32,7 @@ from ebbflow.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PREALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("locator", pa.int64()), ("digest", pa.binary()), ("text_sha256", pa.string())])
 _DIGESTS_DDL = "doc_id long, locator long, digest binary, text_sha256 string"
 _LOCATED = pa.schema([("doc_id", pa.int64()), ("text_sha256", pa.string()), ("content", pa.binary())])
@@ -63,7 +64,7 @@ def update_state(spark: SparkSession, arrivals: str, state: str, changes: str, f
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{changes}/batch={batch_id}")
 
-    settings = {_PROVIDER: ROCKSDB}
+    settings = {_PROVIDER: ROCKSDB, _PREALLOCATE: "false"}  # many small stores: no space ahead of need
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
