@@ -79,7 +79,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def oracle_sql() -> dict[str, str]:
-    words = f"list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+    words = f"[w FOR w IN string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+') IF w <> '']"
     owner = ",".join(map(str, sharding.fill_table(SHARDS)))
     return {
         "op5_jaccard_join": f"""
