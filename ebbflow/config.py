@@ -63,7 +63,6 @@ AD_AGG_TABLE_SUFFIX = "ad_impression_revenue_preaggregates"
 RETENTION_DAYS = 7
 MAX_RECORDS_PER_FILE = 1_000_000
 CONTENT_WARN_CHARS = 1_000_000
-DEFAULT_DLQ_LOCATION = "s3_bucket_dlq_iceberg_broken"
 STATUS_READY = "READY_FOR_PROCESSING"
 STATUS_FAILED = "FAILED_VALIDATION"
 REASON_INVALID_CONTENT = "INVALID_CONTENT"
@@ -153,12 +152,6 @@ DEFAULT_RULES: list[tuple[str, str, str, list[str] | None]] = [
 # end of FIXED VALUES
 # --------------------------------------------------------------------------
 
-# Upper bound on the number of routing rules we are willing to broadcast.
-# Rules are configuration (tens of rows); anything beyond this is refused
-# rather than silently broadcast.
-MAX_BROADCAST_RULES = 100_000
-
-
 @dataclass(frozen=True)
 class RunClock:
     """One timestamp per run, used wherever the reproduced behaviour reads

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 
 
@@ -10,14 +12,15 @@ def clean_name(name: str) -> str:
     return name.replace("{", "").replace("}", "").strip().lower()
 
 
-def unique_clean_names(names: list[str]) -> list[str]:
+def unique_clean_names(names: list[str], reserved: Iterable[str] = ()) -> list[str]:
     """Clean every name; on a collision the later column gets ``_2``, ``_3``...
 
     Without this, two raw headers such as ``Country`` and ``{country}`` would
-    end up as one ambiguous name and every reference to it would fail.
+    end up as one ambiguous name and every reference to it would fail. A name in
+    ``reserved`` counts as taken.
     """
     out: list[str] = []
-    seen: set[str] = set()
+    seen: set[str] = set(reserved)
     for n in names:
         base = clean_name(n)
         cand, k = base, 2

@@ -12,8 +12,10 @@ One file per (tenant, day) named ``<tenant>_<YYYY-MM-DD>T00.csv.gz``:
 * rows whose ``created_at`` ends in ``13`` lose their last field -> malformed;
 * the ``city`` of some users holds a comma, quotes and a newline -> quoting.
 
-Three broken files are added next to them: zero bytes, header only, and a
-truncated gzip stream (see ``BROKEN_FILES``).
+More files are added next to them: zero bytes, a truncated gzip stream, header
+only, some of these under names with blanks, ``#``, ``%`` and brackets (see
+``BROKEN_FILES``), and copies cut after ``CUT_BYTES`` bytes of the exports that
+the first gzip tenant sends on every seventh day (``<tenant>-cut_...``).
 """
 
 from __future__ import annotations
@@ -41,7 +43,12 @@ BROKEN_FILES = {
     f"{A.ADAPTER_TENANTS[2]}_2024-02-01T00.csv.gz": (
         gzip.compress((",".join(LAYOUT_A) + "\n" + "u1,1\n" * 2000).encode(), mtime=0)[:40],
         "CORRUPT_GZIP"),
+    # Legal names that need care in paths and globs.
+    **{f"{name}_2024-02-01T00.csv.gz": (",".join(LAYOUT_B).encode() + b"\n", "OK")
+       for name in ("my app", "a#b", "a%41+b", "a[1]{x}")},
 }
+# Exports of the first gzip tenant on every seventh day also arrive cut short.
+CUT_BYTES = 40
 
 
 def _field(c: str) -> F.Column:
@@ -114,8 +121,14 @@ def write_exports(spark: SparkSession, events: DataFrame, root: str | None = Non
             if len(parts) != 1:
                 raise RuntimeError(f"expected one part file in {name}, found {len(parts)}")
             fs.rename(parts[0], target)
-    for name, (payload, _) in BROKEN_FILES.items():
-        stream = fs.create(Path(f"{out}/{name}"), True)
+    cut = (spark.read.format("binaryFile").option("pathGlobFilter", f"{GZIP_TENANTS[0]}_*").load(out)
+           .withColumn("file", F.element_at(F.split("path", "/"), -1))
+           .where(F.regexp_extract("file", r"_[0-9]{4}-[0-9]{2}-([0-9]{2})T", 1).cast("int") % 7 == 3)
+           .select("file", F.expr(f"substring(content, 1, {CUT_BYTES})").alias("head")))
+    extra = {name: payload for name, (payload, _) in BROKEN_FILES.items()}
+    extra |= {r["file"].replace("_", "-cut_", 1): bytes(r["head"]) for r in cut.collect()}
+    for name, payload in extra.items():
+        stream = fs.create(Path(out, name), True)
         if payload:
             stream.write(bytearray(payload))
         stream.close()

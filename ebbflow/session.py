@@ -45,13 +45,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set (local tests) do we create
-    one and register it with the context.
+    checkpoint dir). Only when neither is set and the
+    master is local do we create one and register it with the context; on a
+    cluster a machine-local folder would lose files, so that raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ebbflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -97,14 +100,13 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_shuffle_partitions(spark: SparkSession, input_bytes: int,
-                              bytes_per_partition: int = 128 * 1024 * 1024,
-                              max_partitions: int = 200_000) -> int:
+                              bytes_per_partition: int = 128 * 1024 * 1024) -> int:
     """Raise (never lower) ``spark.sql.shuffle.partitions`` so one shuffle
     partition covers about ``bytes_per_partition`` of input. AQE coalesces
     partitions that turn out small, so erring high is cheap while erring low
     makes tasks spill. Returns the setting in effect."""
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max_partitions, -(-int(input_bytes) // bytes_per_partition))
+    wanted = -(-int(input_bytes) // bytes_per_partition)
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
         return wanted

@@ -1,7 +1,7 @@
 """Dead-letter quarantine of source files that cannot be read.
 
 Instead of byte-copying each failed object plus a sidecar ``.error.txt``, the
-failed files become rows of an append-only Parquet table: where the file came
+failed files become rows of a Parquet table, one folder per run: where the file came
 from, where its DLQ copy belongs, why it failed, when, and (optionally) its
 bytes. Failed files are a small subset of the listing; their bytes are read
 with one ``binaryFile`` scan over exactly those paths.
@@ -9,16 +9,19 @@ with one ``binaryFile`` scan over exactly those paths.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow import config as C
 from ebbflow.functions import columns as X
+from ebbflow.sources.paths import glob_escape, norm_path
 
 STATUS_OK = "OK"
 
 
-def quarantine_frame(files: DataFrame, clock: C.RunClock, dlq_location: str = C.DEFAULT_DLQ_LOCATION,
+def quarantine_frame(files: DataFrame, clock: C.RunClock, dlq_location: str,
                      layout: str = "flat") -> DataFrame:
     """One row per failed file: source_path, file_name, dlq_path, reason,
     quarantined_at, length."""
@@ -40,12 +43,13 @@ def with_content(spark: SparkSession, quarantined: DataFrame) -> DataFrame:
     paths = [r["source_path"] for r in quarantined.select("source_path").collect()]
     if not paths:
         return quarantined.withColumn("content", F.lit(None).cast("binary"))
-    blobs = (spark.read.format("binaryFile").load(paths)
-             .select(F.regexp_replace("path", r"^file:///", "file:/").alias("source_path"), "content"))
+    blobs = (spark.read.format("binaryFile").load([glob_escape(p) for p in paths])
+             .select(norm_path(F.col("path")).alias("source_path"), "content"))
     return (quarantined.join(blobs, "source_path", "left")
             .withColumn("content", F.coalesce(F.col("content"), F.lit(b"").cast("binary"))))
 
 
-def write_quarantine(df: DataFrame, path: str) -> None:
-    """Append; every run adds its own rows, nothing is overwritten."""
-    df.write.mode("append").option("compression", "zstd").parquet(path)
+def write_quarantine(df: DataFrame, path: str, run: str) -> None:
+    """One folder ``run=<run>`` per run, so a repeated run replaces its own rows."""
+    safe = re.sub(r"[^0-9A-Za-z-]+", "-", run)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/run={safe}")

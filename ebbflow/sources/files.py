@@ -4,10 +4,10 @@ Flow (S1-S9, S16):
 
 1. ``list_source_files``: one ``binaryFile`` listing job (content column pruned,
    so no file is read). Zero-byte files do not produce listing rows, so they
-   are added back from the scan's own file index (``inputFiles``).
-2. ``probe_files``: one task per batch of files opens each file through Arrow's
-   filesystem layer (or, for schemes Arrow does not handle, takes the bytes
-   from Spark's ``binaryFile`` source), sniffs the gzip magic, reads the header
+   are added back from the scan's own file index (``inputFiles``). Paths are
+   kept as they are, not percent-encoded (``paths``).
+2. ``probe_files``: one task per batch of files opens each file (paths that are
+   not ``file:`` through Spark's ``binaryFile`` source), sniffs the gzip magic, reads the header
    line and (for gzip) streams the rest through zlib to prove the stream is
    complete. One output row per *file*; nothing about the rows goes through
    Python.
@@ -23,19 +23,19 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
-import re
 import zlib
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbflow import config as C
 from ebbflow.functions import columns as X
 from ebbflow.functions.names import unique_clean_names
-from ebbflow.session import ship_package
+from ebbflow.session import scratch_path, ship_package
+from ebbflow.sources.paths import glob_escape, norm_path, plain, plain_path
 
 # Reads plain text even when the file name ends in .gz. The bundled Hadoop
 # client relocates the passthrough key, so both spellings are set. Scoped to
@@ -66,37 +66,38 @@ PROBE_SCHEMA = T.StructType([
 
 STATUS_OK = "OK"
 
-
-def _norm_path(c):
-    """``file:///x`` and ``file:/x`` denote the same file; keep one spelling."""
-    return F.regexp_replace(c, r"^file:///", "file:/")
+# Names that the scan and the processing add; a source column of such a name gets a suffix.
+RESERVED_COLUMNS = ("filename", "prefix", "date", "_time", "table_name", "_corrupt_record", "__malformed",
+                    *(name for _, name in C.PUBLISHER_PARAM_KEYS))
 
 
 def list_source_files(spark: SparkSession, root: str | list[str],
-                      suffix: str = C.SOURCE_SUFFIX) -> DataFrame:
+                      suffix: str = C.SOURCE_SUFFIX, name_glob: str | None = None) -> DataFrame:
     """``path, file_name, length, modification_time`` for every file under
-    ``root`` whose name ends with ``suffix`` (S1). Listing errors raise."""
+    ``root`` whose name ends with ``suffix`` (S1), or matches ``name_glob``. Listing errors raise."""
     roots = [root] if isinstance(root, str) else list(root)
     listing = (spark.read.format("binaryFile")
-               .option("pathGlobFilter", f"*{suffix}")
+               .option("pathGlobFilter", name_glob or f"*{suffix}")
                .option("recursiveFileLookup", "true")
                .load(roots))
-    rows = listing.select(_norm_path(F.col("path")).alias("path"), "length",
+    rows = listing.select(norm_path(F.col("path")).alias("path"), "length",
                           F.col("modificationTime").alias("modification_time"))
-    # Zero-byte files never become rows; the scan's file index still has them.
-    # Only when the counts differ are the indexed paths shipped for an anti-join,
-    # and only the zero-byte ones get a file-status call for their mtime.
-    indexed = [p for p in listing.inputFiles() if p.endswith(suffix)]
-    if indexed and rows.count() < len(indexed):
-        every = spark.createDataFrame([(p,) for p in indexed], "path string").select(
-            _norm_path(F.col("path")).alias("path"))
-        empty_paths = [r["path"] for r in every.join(rows, "path", "left_anti").collect()]
-        empty = spark.createDataFrame(
-            [(p, 0, _mtime_ms(spark, p)) for p in empty_paths], "path string, length bigint, ms bigint"
-        ).select("path", "length", F.timestamp_millis("ms").alias("modification_time"))
-        rows = rows.unionByName(empty)
-    return rows.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                       "length", "modification_time")
+    # Zero-byte files never become rows; the same index of files still has them.
+    indexed = [plain(p) for p in listing.inputFiles()]
+    indexed = [(p,) for p in indexed if p.endswith(suffix)]
+    if indexed:
+        every = spark.createDataFrame(indexed, "path string")
+        rows = every.join(rows, "path", "left").withColumn("length", F.coalesce("length", F.lit(0).cast("long")))
+        empty = [r["path"] for r in rows.where("length = 0").select("path").collect()]
+        if empty:  # only zero-byte files get a file-status call, for their modification time
+            times = spark.createDataFrame([(p, _mtime_ms(spark, p)) for p in empty], "path string, ms bigint")
+            rows = rows.join(times, "path", "left").select(
+                "path", "length", F.coalesce("modification_time", F.timestamp_millis("ms")).alias("modification_time"))
+    return rows.select("path", file_name("path").alias("file_name"), "length", "modification_time")
+
+
+def file_name(path: str) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
 
 
 def _mtime_ms(spark: SparkSession, path: str) -> int:
@@ -107,34 +108,48 @@ def _mtime_ms(spark: SparkSession, path: str) -> int:
     return int(fs.getFileStatus(p).getModificationTime())
 
 
-_FILE_DATE_HOUR = r"_([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2})"
+# The last date and time in a file's name: <tenant>_YYYY-MM-DDTHH or ...THHMM.
+_NAME_TIME = r"^.*_([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2})([0-9]{2})?"
+
 
+def parse_hour(hour: str | int) -> tuple[str, str | None]:
+    """``9``, ``'09'`` -> that hour; ``'0930'`` -> that minute of it. Others raise."""
+    text = str(hour).strip()
+    if text.isdigit() and text.isascii() and len(text) in (1, 2) and int(text) < 24:
+        return text.zfill(2), None
+    if text.isdigit() and text.isascii() and len(text) == 4 and int(text[:2]) < 24 and int(text[2:]) < 60:
+        return text[:2], text[2:]
+    raise ValueError(f"hour must be H, HH or HHMM, not {hour!r}")
 
-def source_window(listing: DataFrame, date: str | None = None, hour: str | None = None,
+
+def source_window(listing: DataFrame, date: str | None = None, hour: str | int | None = None,
                   tenants: list[str] | None = None) -> DataFrame:
-    """Select files by the date / hour / tenant in their name, before any read."""
+    """Select files by the date / hour / tenant in their name, before any read.
+
+    Folders above the file do not count. An hour selects all files of that
+    hour; with minutes (``HHMM``) only those of that minute.
+    """
     out = listing
     if date is not None:
-        out = out.where(F.regexp_extract("path", _FILE_DATE_HOUR, 1) == F.lit(date))
+        out = out.where(F.regexp_extract("file_name", _NAME_TIME, 1) == F.lit(date))
     if hour is not None:
-        out = out.where(F.regexp_extract("path", _FILE_DATE_HOUR, 2) == F.lit(str(hour)[:2]))
+        hh, mm = parse_hour(hour)
+        out = out.where(F.regexp_extract("file_name", _NAME_TIME, 2) == F.lit(hh))
+        if mm is not None:
+            out = out.where(F.regexp_extract("file_name", _NAME_TIME, 3) == F.lit(mm))
     if tenants is not None:
-        out = out.where(X.tenant_from_path("path").isin(list(tenants)))
+        out = out.where(X.tenant_from_path("file_name").isin(list(tenants)))
     return out
 
 
-# ----------------------------------------------------------------- probe
-def _open(path: str):
-    from urllib.parse import unquote, urlparse
-
-    if path.startswith("file:"):
-        return open(unquote(urlparse(path).path), "rb")
-    import pyarrow.fs as pafs
-
-    fs, p = pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
-    return fs.open_input_stream(p)
+def window_glob(suffix: str, date: str | None, hour: str | int | None) -> str:
+    """The part of a window that the listing itself can apply."""
+    if date is None:
+        return f"*{suffix}"
+    return f"*_{date}T{''.join(x or '' for x in parse_hour(hour)) if hour is not None else ''}*{suffix}"
 
 
+# ----------------------------------------------------------------- probe
 def _header_fields(line: bytes) -> list[str]:
     text = line.decode("utf-8", errors="replace").lstrip("﻿").rstrip("\r\n")
     if not text:
@@ -188,17 +203,12 @@ def _probe_stream(f, verify_gzip: bool, hash_bytes: bool, chunk: int = 1 << 20):
 
 
 def _probe_one(path: str, verify_gzip: bool, hash_bytes: bool):
-    with _open(path) as f:
+    with open(path.removeprefix("file:"), "rb") as f:
         return _probe_stream(f, verify_gzip, hash_bytes)
 
 
 PROBE_COLUMNS = ["path", "is_gzip", "header", "intact", "file_hash", "probe_error"]
 
-# Schemes the probe opens through Arrow's filesystem layer (streaming, no
-# whole-file cells). Other schemes are probed from Spark's binaryFile bytes.
-ARROW_SCHEMES = ("file:", "s3://", "s3a://", "s3n://", "gs://")
-
-
 def _probe_rows(items):
     out = []
     for path, opener in items:
@@ -206,47 +216,42 @@ def _probe_rows(items):
             g, hd, ok, digest = opener()
             err = None
         except Exception as e:  # noqa: BLE001 - any failure quarantines the file
-            g, hd, ok, digest, err = None, None, False, None, f"{type(e).__name__}: {e}"[:500]
+            g, hd, ok, digest, err = None, None, False, None, f"{type(e).__name__}: {e}"
         out.append((path, g, hd, ok, digest, err))
     return pd.DataFrame(out, columns=PROBE_COLUMNS)
 
 
-def probe_files(listing: DataFrame, verify_gzip: bool = True, hash_bytes: bool = False,
-                source: str = "auto") -> DataFrame:
+def probe_files(listing: DataFrame, verify_gzip: bool = True, hash_bytes: bool = False) -> DataFrame:
     """Listing + ``is_gzip, header, intact, file_hash, probe_error`` (one row per file).
 
-    ``source``: ``arrow`` streams each file through Arrow's filesystem layer;
-    ``spark`` reads the bytes with Spark's ``binaryFile`` source (any Hadoop
-    filesystem, one file per cell); ``auto`` picks ``arrow`` when every root
-    path uses a scheme Arrow handles, else ``spark``.
+    Every path is opened by its own scheme: ``file:`` paths are streamed; all
+    others are read by Spark's ``binaryFile`` source, so with the Hadoop
+    credentials and endpoints that the scan itself uses (one file per cell, up
+    to the 2 GB that a cell holds).
     """
     spark = listing.sparkSession
     ship_package(spark)
     paths = listing.where(F.col("length") > 0).select("path")
-    if source == "auto":
-        sample = [r["path"] for r in paths.limit(1).collect()]
-        source = "arrow" if all(p.startswith(ARROW_SCHEMES) for p in sample) else "spark"
+    local = F.col("path").startswith("file:")
+
+    def run(batches):
+        for pdf in batches:
+            yield _probe_rows([(p, (lambda p=p: _probe_one(p, verify_gzip, hash_bytes)))
+                               for p in pdf["path"]])
+
+    def run_bytes(batches):
+        for pdf in batches:
+            yield _probe_rows(
+                [(p, (lambda c=c: _probe_stream(io.BytesIO(c), verify_gzip, hash_bytes)))
+                 for p, c in zip(pdf["path"], pdf["content"])])
+
+    # Spread files over tasks; the listing is one small row per file.
     n = max(1, spark.sparkContext.defaultParallelism)
-    if source == "arrow":
-        def run(batches):
-            for pdf in batches:
-                yield _probe_rows([(p, (lambda p=p: _probe_one(p, verify_gzip, hash_bytes)))
-                                   for p in pdf["path"]])
-        # Spread files over tasks; the listing is one small row per file.
-        probed = paths.repartition(n).mapInPandas(run, PROBE_SCHEMA)
-    else:
-        def run_bytes(batches):
-            for pdf in batches:
-                yield _probe_rows(
-                    [(p, (lambda c=c: _probe_stream(io.BytesIO(c), verify_gzip, hash_bytes)))
-                     for p, c in zip(pdf["path"], pdf["content"])])
-        names = [r["path"] for r in paths.collect()]  # file metadata, one row per file
-        if not names:
-            probed = spark.createDataFrame([], PROBE_SCHEMA)
-        else:
-            blobs = (spark.read.format("binaryFile").load(names)
-                     .select(_norm_path(F.col("path")).alias("path"), "content"))
-            probed = blobs.mapInPandas(run_bytes, PROBE_SCHEMA)
+    probed = paths.where(local).repartition(n).mapInPandas(run, PROBE_SCHEMA)
+    remote = [glob_escape(r["path"]) for r in paths.where(~local).collect()]  # file metadata, one row per file
+    if remote:
+        blobs = spark.read.format("binaryFile").load(remote).select(norm_path(F.col("path")).alias("path"), "content")
+        probed = probed.unionByName(blobs.mapInPandas(run_bytes, PROBE_SCHEMA))
     return listing.join(probed, "path", "left")
 
 
@@ -281,18 +286,18 @@ def empty_events(spark: SparkSession) -> DataFrame:
 
 def _read_group(spark: SparkSession, paths: list[str], header: list[str], is_gzip: bool,
                 compression: str) -> DataFrame:
-    names = unique_clean_names(header)
+    names = unique_clean_names(header, RESERVED_COLUMNS)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField("_corrupt_record", T.StringType())])
     reader = spark.read.options(**CSV_OPTIONS).schema(schema)
     if compression == "none" or (compression == "sniff" and not is_gzip):
         reader = reader.options(**PASSTHROUGH_OPTIONS)
-    df = reader.csv(paths)
+    df = reader.csv([glob_escape(p) for p in paths])
     # The reader refuses plans that read only the corrupt-record column, so the
     # flag also touches the first data column (always true, never folded away).
-    malformed = F.col("_corrupt_record").isNotNull() & (F.coalesce(F.length(names[0]), F.lit(0)) >= 0)
-    return df.select(*names, "_corrupt_record", malformed.alias("__malformed"),
-                     _norm_path(F.col("_metadata.file_path")).alias("filename"))
+    malformed = F.col("_corrupt_record").isNotNull() & (F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0)) >= 0)
+    return df.select(*[F.col(f"`{n}`") for n in names], "_corrupt_record", malformed.alias("__malformed"),
+                     plain_path(F.col("_metadata.file_path")).alias("filename"))
 
 
 def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff") -> ScanResult:
@@ -305,9 +310,13 @@ def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff")
     # The readers need path lists. Paths are file metadata the driver already
     # listed (one row per file, never rows of data); they are fetched as plain
     # rows and grouped here, so no task has to build one list per group.
+    # A header comes once per distinct one, a path with its header's number.
     groups: dict[tuple, list[str]] = {}
-    for r in ok.select("header", "is_gzip", "path").collect():
-        groups.setdefault((tuple(r["header"]), bool(r["is_gzip"])), []).append(r["path"])
+    number = F.xxhash64("header")
+    headers = {r["number"]: tuple(r["header"])
+               for r in ok.groupBy(number.alias("number")).agg(F.first("header").alias("header")).collect()}
+    for r in ok.select(number.alias("number"), "is_gzip", "path").collect():
+        groups.setdefault((headers[r["number"]], bool(r["is_gzip"])), []).append(r["path"])
     frames = [_read_group(spark, sorted(paths), list(header), is_gzip, compression)
               for (header, is_gzip), paths in sorted(groups.items(), key=lambda kv: min(kv[1]))]
     if not frames:
@@ -323,13 +332,16 @@ def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff")
 
 
 def load_events(spark: SparkSession, root: str | list[str], compression: str = "sniff",
-                verify_gzip: bool = True, date: str | None = None, hour: str | None = None,
+                verify_gzip: bool = True, date: str | None = None, hour: str | int | None = None,
                 tenants: list[str] | None = None, hash_bytes: bool = False,
                 required_columns: list[str] | None = None) -> ScanResult:
     """List -> window -> probe -> classify -> scan. The per-file classification
-    is small (one row per file) and is cached because both the scan planning
-    and the quarantine use it. ``required_columns`` (cleaned names) sends files
+    is small (one row per file) and is written to the shared scratch folder
+    because both the scan planning and the quarantine use it. ``required_columns`` (cleaned names) sends files
     whose header lacks any of them to quarantine as ``MISSING_COLUMNS: ...``."""
-    listing = source_window(list_source_files(spark, root), date, hour, tenants)
-    files = classify_files(probe_files(listing, verify_gzip, hash_bytes), required_columns).cache()
-    return scan_csv(spark, files, compression)
+    listed = list_source_files(spark, root, name_glob=window_glob(C.SOURCE_SUFFIX, date, hour))
+    listing = source_window(listed, date, hour, tenants)
+    probed = classify_files(probe_files(listing, verify_gzip, hash_bytes), required_columns)
+    path = scratch_path(spark, "files")
+    probed.write.parquet(path)
+    return scan_csv(spark, spark.read.schema(probed.schema).parquet(path), compression)

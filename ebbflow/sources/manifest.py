@@ -9,8 +9,8 @@
   and malformed together (one aggregate per file, combined map-side);
 * ``raw_content``    = the decompressed text (``text`` reader, ``wholetext``),
   only when ``include_content``; files are at most a few hundred MB each, one
-  cell per file. Without content the manifest still validates: the content
-  flag then comes from the file length.
+  cell per file. Without content there is ``content_bytes``, the length of a
+  readable file, and the content flag comes from that.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbflow.session import scratch_path
 from ebbflow.sources.files import PASSTHROUGH_OPTIONS, STATUS_OK, ScanResult
+from ebbflow.sources.paths import glob_escape, plain_path
 
 
 def _content(spark: SparkSession, files: DataFrame, compression: str) -> DataFrame:
@@ -31,8 +33,8 @@ def _content(spark: SparkSession, files: DataFrame, compression: str) -> DataFra
         reader = spark.read
         if compression == "none" or (compression == "sniff" and not is_gzip):
             reader = reader.options(**PASSTHROUGH_OPTIONS)
-        frames.append(reader.text(sorted(paths), wholetext=True).select(
-            F.regexp_replace("_metadata.file_path", r"^file:///", "file:/").alias("path"),
+        frames.append(reader.text([glob_escape(p) for p in sorted(paths)], wholetext=True).select(
+            plain_path(F.col("_metadata.file_path")).alias("path"),
             F.col("value").alias("raw_content")))
     if not frames:
         return spark.createDataFrame([], "path string, raw_content string")
@@ -44,21 +46,23 @@ def _content(spark: SparkSession, files: DataFrame, compression: str) -> DataFra
 
 def build_manifest(spark: SparkSession, scan: ScanResult, include_content: bool = True,
                    compression: str = "sniff") -> DataFrame:
-    good = scan.rows.groupBy(F.col("filename").alias("path")).agg(F.count(F.lit(1)).alias("n_good"))
-    bad = scan.bad_rows.groupBy(F.col("filename").alias("path")).agg(F.count(F.lit(1)).alias("n_bad"))
     files = scan.files.select("path", "file_name", "length", "modification_time", "file_hash", "status")
-    m = files.join(good, "path", "left").join(bad, "path", "left")
-    readable = F.col("status") == F.lit(STATUS_OK)
-    record_count = F.when(readable, F.coalesce(F.col("n_good"), F.lit(0)) + F.coalesce(F.col("n_bad"), F.lit(0)))
+    if scan.flagged is None:
+        counts = spark.createDataFrame([], "path string, n bigint")
+    else:  # good and malformed rows in one pass
+        counts = scan.flagged.groupBy(F.col("filename").alias("path")).agg(
+            F.count(F.when(F.col("__malformed").isNotNull(), 1)).alias("n"))
+    m = files.join(counts, "path", "left")
+    record_count = F.when(F.col("status") == F.lit(STATUS_OK), F.coalesce(F.col("n"), F.lit(0)))
+    columns = ["file_name", F.col("modification_time").alias("load_timestamp"), "file_hash",
+               record_count.cast("bigint").alias("record_count")]
     if include_content:
         m = m.join(_content(spark, scan.files, compression), "path", "left")
-        content = F.when(F.col("length") == 0, F.lit("")).otherwise(F.col("raw_content"))
+        columns.append(F.when(F.col("length") == 0, F.lit("")).otherwise(F.col("raw_content")).alias("raw_content"))
     else:
-        content = F.lit(None).cast("string")
-    return m.select(
-        "file_name",
-        F.col("modification_time").alias("load_timestamp"),
-        "file_hash",
-        record_count.cast("bigint").alias("record_count"),
-        content.alias("raw_content"),
-    )
+        columns += [F.lit(None).cast("string").alias("raw_content"),
+                    F.when(F.col("status") == F.lit(STATUS_OK), F.col("length")).alias("content_bytes")]
+    made = m.select(*columns)
+    path = scratch_path(spark, "manifest")  # both marts read it, so it is made once
+    made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
