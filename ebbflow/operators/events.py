@@ -17,6 +17,9 @@ REFERENCED_COLUMNS = ["adid", "created_at", "installed_at", "activity_kind", "pu
                       "country", "os_name", "device_type", "app_version_short"]
 
 
+FILTER_COLUMNS = ["created_at", "activity_kind"]  # what process_events filters on
+
+
 def ensure_columns(df: DataFrame, columns=REFERENCED_COLUMNS) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if not missing:

@@ -29,11 +29,15 @@ def stage_raw_files(manifest: DataFrame, clock: C.RunClock,
     """Keep files loaded since midnight ``retention_days`` ago (P9); add content
     length and the content flag (P11)."""
     cutoff = F.date_sub(_run_date(clock), retention_days).cast("timestamp")
+    if "content_bytes" in manifest.columns:  # a manifest without contents carries their size
+        length, valid = F.col("content_bytes"), F.coalesce(F.col("content_bytes") > 0, F.lit(False))
+    else:
+        length, valid = F.char_length("raw_content").cast("bigint"), X.content_is_valid("raw_content")
     return manifest.where(F.col("load_timestamp") >= cutoff).select(
         "file_name", "load_timestamp", "file_hash", "record_count", "raw_content",
-        F.char_length("raw_content").cast("bigint").alias("content_length"),
+        length.alias("content_length"),
         _ts(clock).alias("processed_at"),
-        X.content_is_valid("raw_content").alias("is_valid_content"),
+        valid.alias("is_valid_content"),
     )
 
 
@@ -77,7 +81,7 @@ def processed_files(validated: DataFrame, clock: C.RunClock) -> DataFrame:
 
 
 def failed_files(validated: DataFrame, clock: C.RunClock,
-                 dlq_location: str = C.DEFAULT_DLQ_LOCATION, layout: str = "day") -> DataFrame:
+                 dlq_location: str, layout: str = "day") -> DataFrame:
     """Dead-letter mart (P15 bad side + P16) with the DLQ location."""
     bad = validated.where(~F.col("is_valid_file") | (F.col("processing_status") == F.lit(C.STATUS_FAILED)))
     return bad.select(

@@ -75,23 +75,30 @@ def freshness(frame: DataFrame, clock: C.RunClock, column: str = "load_timestamp
                       status.alias("status"))
 
 
-def run_checks(processed: DataFrame) -> DataFrame:
-    """The declared tests of the good-file mart, as one tidy result frame."""
-    nn = not_null_counts(processed).select(
-        F.lit("not_null").alias("check_name"), "column_name", F.col("null_count").alias("violations"))
-    uq = unique_violations(processed).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("unique").alias("check_name"), F.lit("file_name").alias("column_name"), "violations")
-    av = accepted_values_violations(processed).agg(
-        F.coalesce(F.sum("n_records"), F.lit(0)).alias("violations")).select(
-        F.lit("accepted_values").alias("check_name"), F.lit("processing_status").alias("column_name"),
-        "violations")
-    gz = greater_than_zero_violations(processed).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("assert_greater_than_zero").alias("check_name"), F.lit("record_count").alias("column_name"),
-        "violations")
-    nd = duplicate_files(processed).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("no_duplicate_files").alias("check_name"), F.lit("file_name").alias("column_name"),
-        "violations")
-    out = nn.unionByName(uq).unionByName(av).unionByName(gz).unionByName(nd)
-    v = F.col("violations").cast("bigint")
-    return out.select("check_name", "column_name", v.alias("violations"),
-                      F.when(v == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))
+def run_checks(processed: DataFrame, values=(C.STATUS_READY,)) -> DataFrame:
+    """The declared tests of the good-file mart, as one tidy result frame.
+
+    The mart is read once: everything is counted per file name first, and the
+    file names' counts are then added up.
+    """
+    one = F.lit(1)
+    status, records = F.col("processing_status"), F.col("record_count")
+    by_file = processed.groupBy("file_name").agg(
+        F.count(one).alias("n"),
+        *[F.count(F.when(F.col(c).isNull(), one)).alias(f"null_{c}") for c in PROCESSED_NOT_NULL if c != "file_name"],
+        F.count(F.when(status.isNotNull() & ~status.isin(list(values)), one)).alias("other_status"),
+        F.count(F.when((records <= 0) | records.isNull(), one)).alias("no_records"))
+    named, repeated = F.col("file_name").isNotNull(), F.col("n") > 1
+    sums = by_file.agg(
+        F.sum(F.when(~named, F.col("n"))).alias("null_file_name"),
+        *[F.sum(f"null_{c}").alias(f"null_{c}") for c in PROCESSED_NOT_NULL if c != "file_name"],
+        F.count(F.when(named & repeated, one)).alias("repeated_names"),
+        F.sum("other_status").alias("other_status"), F.sum("no_records").alias("no_records"),
+        F.count(F.when(repeated, one)).alias("repeated"))
+    checks = [("not_null", c, f"null_{c}") for c in PROCESSED_NOT_NULL] + [
+        ("unique", "file_name", "repeated_names"), ("accepted_values", "processing_status", "other_status"),
+        ("assert_greater_than_zero", "record_count", "no_records"), ("no_duplicate_files", "file_name", "repeated")]
+    rows = [F.struct(F.lit(name).alias("check_name"), F.lit(column).alias("column_name"),
+                     F.coalesce(F.col(count), F.lit(0)).cast("bigint").alias("violations")) for name, column, count in checks]
+    v = F.col("violations")
+    return sums.select(F.inline(F.array(*rows))).withColumn("status", F.when(v == 0, F.lit("pass")).otherwise(F.lit("fail")))

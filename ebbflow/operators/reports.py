@@ -10,27 +10,27 @@ from ebbflow.functions import columns as X
 
 
 def processing_stats(processed: DataFrame, failed: DataFrame) -> DataFrame:
-    """Daily success / failure rollup joined on date (R1 = A4 + A5 + J1 + X5 + X6).
+    """Daily success / failure rollup by date (R1 = A4 + A5 + J1 + X5 + X6).
 
-    Both sides are aggregated to one row per date before the full outer join,
-    so the join input is bounded by the number of dates. Failures are grouped
-    by the date of their failure timestamp.
+    Both sides are aggregated to one row per date; their rows are then brought
+    together by date with a union and one more aggregate, which is the full
+    outer join of two keyed sides and needs no join. Failures are grouped by
+    the date of their failure timestamp.
     """
     ok = processed.groupBy("load_date").agg(
         F.count(F.lit(1)).alias("total_files"),
         F.sum("record_count").alias("total_records"),
-        F.min("load_timestamp").alias("first_load"),
-        F.max("load_timestamp").alias("last_load"),
     )
-    bad = failed.groupBy(F.to_date("failed_timestamp").alias("failure_date")).agg(
+    bad = failed.groupBy(F.to_date("failed_timestamp").alias("load_date")).agg(
         F.count(F.lit(1)).alias("failed_files"),
         F.countDistinct("failure_reason").alias("distinct_failures"),
     )
-    j = ok.join(bad, ok["load_date"] == bad["failure_date"], "full_outer")
+    j = ok.unionByName(bad, allowMissingColumns=True).groupBy("load_date").agg(
+        *[F.sum(c).alias(c) for c in ("total_files", "total_records", "failed_files", "distinct_failures")])
     s = F.coalesce(F.col("total_files"), F.lit(0)).cast("bigint")
     f = F.coalesce(F.col("failed_files"), F.lit(0)).cast("bigint")
     combined = j.select(
-        F.coalesce(F.col("load_date"), F.col("failure_date")).alias("date"),
+        F.col("load_date").alias("date"),
         s.alias("successful_files"),
         f.alias("failed_files"),
         F.coalesce(F.col("total_records"), F.lit(0)).cast("bigint").alias("total_records"),

@@ -6,8 +6,8 @@ the row's tenant. Routing is non-exclusive: a row can reach several tables.
 
 Plan: every row is unpivoted into one ``(filter_column, value)`` candidate per
 column the rules filter on (a codegen'd ``explode``, no extra scan), then
-equi-joined to the rules with a broadcast hash join. Rules are configuration
-(tens of rows); their count is checked before they are broadcast.
+equi-joined to the rules. Rules are a literal relation of known size, so Spark
+broadcasts them by its own threshold and shuffles beyond it.
 """
 
 from __future__ import annotations
@@ -23,9 +23,17 @@ class RuleSet:
 
     def __init__(self, rules=C.DEFAULT_RULES):
         self.rules = [(s, c, v, list(a) if a is not None else None) for s, c, v, a in rules]
-        if len(self.rules) > C.MAX_BROADCAST_RULES:
-            raise ValueError(f"{len(self.rules)} routing rules exceed the broadcast bound "
-                             f"{C.MAX_BROADCAST_RULES}")
+
+    @classmethod
+    def from_frame(cls, rules: DataFrame) -> RuleSet:
+        """Rules kept as data: ``suffix, filter_column, filter_value, allowed``
+        (an array of tenants, NULL for all), e.g. a Parquet or JSON file. They
+        are configuration, so they are read on the driver."""
+        rows = rules.select("suffix", "filter_column", "filter_value", "allowed").collect()
+        bad = [r for r in rows if not r["suffix"] or not r["filter_column"] or r["filter_value"] is None]
+        if bad:
+            raise ValueError(f"rules without a suffix, column or value: {bad}")
+        return cls([tuple(r) for r in rows])
 
     @property
     def filter_columns(self) -> list[str]:
@@ -76,7 +84,7 @@ def routed_rows(processed: DataFrame, rules: RuleSet, tenant_col: str = "prefix"
     ``_<suffix>``); ``route_empty_tenant=False`` leaves them unrouted.
     """
     spark = processed.sparkSession
-    rf = F.broadcast(rules.frame(spark))
+    rf = rules.frame(spark)
     cand = _candidates(processed, rules, tenant_col, normalize_activity, route_empty_tenant)
     joined = cand.join(
         rf,
@@ -85,7 +93,7 @@ def routed_rows(processed: DataFrame, rules: RuleSet, tenant_col: str = "prefix"
         "inner",
     ).where(rf["allowed"].isNull() | F.array_contains(rf["allowed"], F.col(tenant_col)))
     return joined.select(
-        *[F.col(c) for c in processed.columns],
+        *[F.col(f"`{c}`") for c in processed.columns],
         rf["suffix"].alias("suffix"),
         X.table_name(F.col(tenant_col), rf["suffix"]).alias("table_name"),
     )
@@ -98,7 +106,7 @@ def route_events(processed: DataFrame, rules: RuleSet | None = None,
     rules = rules or RuleSet()
     r = routed_rows(processed, rules, "prefix", normalize_activity, route_empty_tenant)
     keep = [c for c in processed.columns if c not in set(excluded)]
-    return r.select(*keep, "table_name")
+    return r.select(*[F.col(f"`{c}`") for c in keep], "table_name")
 
 
 def permitted_tables(tenants: DataFrame, rules: RuleSet, tenant_col: str = "prefix") -> DataFrame:
@@ -113,14 +121,15 @@ def permitted_tables(tenants: DataFrame, rules: RuleSet, tenant_col: str = "pref
     suffixes = sorted({s for s, _, _, _ in rules.rules})
     t = tenants.select(F.col(tenant_col).alias("prefix")).where(F.col("prefix").isNotNull())
     pairs = t.select("prefix", F.explode(F.array(*[F.lit(x) for x in suffixes])).alias("suffix"))
-    rf = F.broadcast(rules.frame(spark).select("suffix", "allowed"))
+    rf = rules.frame(spark).select("suffix", "allowed")
     ok = pairs.join(rf, "suffix").where(F.col("allowed").isNull()
                                          | F.array_contains("allowed", F.col("prefix")))
     return ok.select("prefix", "suffix").distinct()
 
 
 def routing_coverage(processed: DataFrame, rules: RuleSet | None = None,
-                     tenant_col: str = "prefix") -> DataFrame:
+                     tenant_col: str = "prefix", normalize_activity: bool = False,
+                     route_empty_tenant: bool = True) -> DataFrame:
     """Per permitted (tenant, rule): rows routed and ``written`` / ``empty``.
 
     The data is first reduced to counts per (tenant, filter values): one
@@ -128,17 +137,27 @@ def routing_coverage(processed: DataFrame, rules: RuleSet | None = None,
     (tenants x distinct event kinds). Routing and the tenant list are computed
     from that aggregate, so the rules are never joined against raw rows here.
 
-    Output: prefix, suffix, table_name, routed_rows, status.
+    Output: prefix, suffix, table_name, routed_rows, status. The input is read
+    once: every combination of values meets every rule, and adds its count to
+    the rules that it matches.
     """
     rules = rules or RuleSet()
-    combos = (processed.where(F.col(tenant_col).isNotNull())
+    keep = F.col(tenant_col).isNotNull()
+    if not route_empty_tenant:
+        keep = keep & (F.col(tenant_col) != F.lit(""))
+    combos = (processed.where(keep)
               .groupBy(tenant_col, *rules.filter_columns)
               .agg(F.count(F.lit(1)).alias("__n")))
-    counts = (routed_rows(combos, rules, tenant_col)
-              .groupBy(F.col(tenant_col).alias("prefix"), "suffix")
-              .agg(F.sum("__n").alias("routed_rows")))
-    pairs = permitted_tables(combos.select(tenant_col).distinct(), rules, tenant_col)
-    cov = pairs.join(counts, ["prefix", "suffix"], "left")
+    suffixes = sorted({s for s, _, _, _ in rules.rules})
+    pairs = combos.withColumn("suffix", F.explode(F.array(*[F.lit(x) for x in suffixes])))
+    met = pairs.join(rules.frame(processed.sparkSession), "suffix").where(
+        F.col("allowed").isNull() | F.array_contains("allowed", F.col(tenant_col)))
+    value = F.lit(None).cast("string")
+    for c in rules.filter_columns:
+        own = X.normalized_activity(c) if normalize_activity and c == "activity_kind" else F.col(f"`{c}`").cast("string")
+        value = F.when(F.col("filter_column") == c, own).otherwise(value)
+    cov = met.groupBy(F.col(tenant_col).alias("prefix"), "suffix").agg(
+        F.sum(F.when(value == F.col("filter_value"), F.col("__n"))).alias("routed_rows"))
     rows = F.coalesce(F.col("routed_rows"), F.lit(0)).cast("bigint")
     return cov.select(
         "prefix", "suffix",
@@ -148,23 +167,15 @@ def routing_coverage(processed: DataFrame, rules: RuleSet | None = None,
     )
 
 
-def routed_partition_counts(processed: DataFrame, rules: RuleSet | None = None,
-                            partition_cols=("date",), tenant_col: str = "prefix") -> DataFrame:
-    """Rows each routed (table_name, partition) will receive, computed from a
-    pre-aggregate of (tenant, partition, filter values) rather than by routing
-    every row: the input to the write layout, at the cost of one small
-    aggregate. Output: table_name, *partition_cols, __rows."""
-    rules = rules or RuleSet()
-    combos = (processed.where(F.col(tenant_col).isNotNull())
-              .groupBy(tenant_col, *partition_cols, *rules.filter_columns)
-              .agg(F.count(F.lit(1)).alias("__n")))
-    return (routed_rows(combos, rules, tenant_col)
-            .groupBy("table_name", *partition_cols)
-            .agg(F.sum("__n").alias("__rows")))
+def no_tenant_rows(processed: DataFrame, tenant_col: str = "prefix") -> DataFrame:
+    """Rows whose file name has no tenant, with the reason they are set aside."""
+    none = F.col(tenant_col).isNull() | (F.col(tenant_col) == F.lit(""))
+    return processed.where(none).withColumn("reason", F.lit("NO_TENANT"))
 
 
 def unrouted_rows(processed: DataFrame, rules: RuleSet | None = None,
-                  tenant_col: str = "prefix") -> DataFrame:
+                  tenant_col: str = "prefix", normalize_activity: bool = False,
+                  route_empty_tenant: bool = True) -> DataFrame:
     """Rows with a tenant that no rule routes anywhere (e.g. an accepted
     activity kind without a rule), counted from the same small pre-aggregate.
     Output: one row, ``rows_unrouted``."""
@@ -172,7 +183,7 @@ def unrouted_rows(processed: DataFrame, rules: RuleSet | None = None,
     keys = [tenant_col, *rules.filter_columns]
     combos = (processed.where(F.col(tenant_col).isNotNull())
               .groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")))
-    hit = routed_rows(combos, rules, tenant_col).select(*keys).distinct()
+    hit = routed_rows(combos, rules, tenant_col, normalize_activity, route_empty_tenant).select(*keys).distinct()
     cond = [combos[k].eqNullSafe(hit[k]) for k in keys]
     miss = combos.join(hit, cond, "left_anti")
     return miss.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("rows_unrouted"))

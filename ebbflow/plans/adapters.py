@@ -24,6 +24,7 @@ FILES_CLOCK = RunClock("2024-01-31 15:00:00")
 ADAPTER_TENANTS = ["ko69zatkf75s", "17ohic5adt6o", "ezkr0rrexnnk", "y2ybrph3py4g", "1ietrnrp8xq8"]
 NOMATCH_USER = 149
 SOURCE_ROOT = "s3://src"
+DLQ_LOCATION = "/dlq"
 MANIFEST_BASE_EPOCH = 1706702400  # 2024-01-31 12:00:00 UTC
 
 

@@ -144,7 +144,7 @@ def good_files(spark, sf):
 
 @_shared
 def bad_files(spark, sf):
-    return V.failed_files(validated(spark, sf), A.FILES_CLOCK)
+    return V.failed_files(validated(spark, sf), A.FILES_CLOCK, A.DLQ_LOCATION)
 
 
 def _daily_by_load_date(spark, sf) -> DataFrame:
@@ -175,7 +175,7 @@ def q_failed_files(spark, sf):
 
 def q_dlq_path(spark, sf):
     f = bad_files(spark, sf)
-    base = F.lit(V.C.DEFAULT_DLQ_LOCATION)
+    base = F.lit(A.DLQ_LOCATION)
     return f.select(
         "file_name",
         X.dlq_path(base, "failed_timestamp", "file_name", "flat").alias("dlq_flat"),
@@ -309,7 +309,6 @@ QUERIES: dict[str, Query] = {
 
 WINDOW_DATE = "2024-01-05"
 WINDOW_TENANTS = [A.ADAPTER_TENANTS[0], A.ADAPTER_TENANTS[3]]
-PLAIN_TENANTS = [t for t in A.ADAPTER_TENANTS if t not in XP.GZIP_TENANTS] + [""]
 
 
 def _root(spark, sf):
@@ -350,8 +349,10 @@ def q_malformed_rows(spark, sf):
 
 
 def q_misnamed_gz_scan(spark, sf):
-    rows = _scan(spark, sf, compression="none", tenants=PLAIN_TENANTS).rows
-    return rows.groupBy(_basename().alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Files named ``.gz`` are told apart by their bytes: rows of each, and whether it is gzip."""
+    scan = _scan(spark, sf)
+    rows = scan.rows.groupBy(_basename().alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.join(scan.files.select("file_name", "is_gzip"), "file_name")
 
 
 def q_file_provenance(spark, sf):
@@ -377,7 +378,7 @@ def q_file_isolation(spark, sf):
 
 
 def q_quarantine_files(spark, sf):
-    q = QN.quarantine_frame(_scan(spark, sf).files, A.EVENTS_CLOCK)
+    q = QN.quarantine_frame(_scan(spark, sf).files, A.EVENTS_CLOCK, A.DLQ_LOCATION)
     q = QN.with_content(spark, q)
     return q.select("file_name", "dlq_path", "reason", "length",
                     F.length("content").cast("bigint").alias("content_bytes"))
@@ -389,16 +390,22 @@ def q_source_window(spark, sf):
 
 
 def q_empty_input(spark, sf):
-    rows = _scan(spark, sf, date="2030-01-01").rows
-    p = E.process_events(rows, A.EVENTS_CLOCK)
-    return p.select("adid", "created_at", "activity_kind", "prefix", "pp_event_name", "date")
+    """Processed rows of a window without files, of one with files, and of all files."""
+    def processed(window: str, **kw) -> DataFrame:
+        p = E.process_events(_scan(spark, sf, **kw).rows, A.EVENTS_CLOCK)
+        return p.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("prefix").alias("n_tenants")).select(
+            F.lit(window).alias("window"), "n_rows", "n_tenants")
+
+    return processed("none", date="2030-01-01").unionByName(processed("day", date=WINDOW_DATE)).unionByName(processed("all"))
 
 
 def q_file_manifest(spark, sf):
     m = EL.manifest_from_sources(spark, _root(spark, sf))
+    lines = F.length("raw_content") - F.length(F.replace("raw_content", F.lit("\n"), F.lit("")))
     return m.select("file_name", "record_count",
                     F.col("file_hash").isNotNull().alias("has_hash"),
-                    F.coalesce(F.length("raw_content") > 0, F.lit(False)).alias("has_content"))
+                    F.when(F.col("raw_content") != "", F.length("raw_content").cast("bigint")).alias("content_chars"),
+                    F.when(F.col("raw_content") != "", lines.cast("bigint")).alias("content_lines"))
 
 
 def q_partitioned_write(spark, sf):
@@ -421,7 +428,7 @@ def q_clustered_write(spark, sf):
 
 def q_run_metrics(spark, sf):
     out = scratch_path(spark, "lake")
-    run = EL.run_event_lake(spark, _root(spark, sf), out, A.EVENTS_CLOCK)
+    run = EL.run_event_lake(spark, _root(spark, sf), out, A.EVENTS_CLOCK, A.DLQ_LOCATION)
     return run.metrics.select("*", F.size("failed_writes").cast("bigint").alias("n_failed_writes")).drop(
         "phase_seconds", "failed_writes")
 
@@ -429,7 +436,7 @@ def q_run_metrics(spark, sf):
 def q_governance_run(spark, sf):
     """Files -> manifest -> staged/validated -> both marts written and read back."""
     m = EL.manifest_from_sources(spark, _root(spark, sf))
-    run = EL.run_governance(spark, m, A.FILES_CLOCK, scratch_path(spark, "governance"))
+    run = EL.run_governance(spark, m, A.FILES_CLOCK, scratch_path(spark, "governance"), A.DLQ_LOCATION)
     return P.run_manifest(run.processed, run.failed, A.FILES_CLOCK).select(
         "file_name", "outcome", "failure_reason")
 
@@ -462,8 +469,8 @@ QUERIES.update({
 def q_incremental_ingest(spark, sf):
     root = _root(spark, sf)
     out, ckpt = scratch_path(spark, "ingest"), scratch_path(spark, "ingest-ckpt")
-    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, max_files_per_trigger=64)
-    again = INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, max_files_per_trigger=64)
+    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, A.DLQ_LOCATION, max_files_per_trigger=64)
+    again = INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, A.DLQ_LOCATION, max_files_per_trigger=64)
     rows = INC.read_ingested(spark, out)
     return (rows.groupBy(_basename().alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
             .withColumn("second_run_batches", F.lit(again).cast("bigint")))
@@ -472,10 +479,38 @@ def q_incremental_ingest(spark, sf):
 def q_incremental_routed(spark, sf):
     root = _root(spark, sf)
     out, ckpt = scratch_path(spark, "ingest-routed"), scratch_path(spark, "ingest-routed-ckpt")
-    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, max_files_per_trigger=64, route=True)
-    routed = spark.read.parquet(f"{out}/routed")
-    return routed.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, A.DLQ_LOCATION, max_files_per_trigger=64, route=True)
+    routed = INC.read_routed(spark, out)
+    return routed.select(*[c for c in routed.columns if c != "filename"], _basename().alias("file_name"))
+
+
+def q_incremental_aggregates(spark, sf):
+    """The ad pre-aggregate kept up by micro-batches, two runs over the same files."""
+    root = _root(spark, sf)
+    out, ckpt = scratch_path(spark, "ingest-agg"), scratch_path(spark, "ingest-agg-ckpt")
+    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, A.DLQ_LOCATION, max_files_per_trigger=64)
+    # A new checkpoint sees every file again; the ledger of files keeps them from counting twice.
+    INC.ingest_new_files(spark, root, out, scratch_path(spark, "ingest-agg-ckpt2"), A.EVENTS_CLOCK, A.DLQ_LOCATION)
+    return _round_revenue(G.ad_preagg_output(INC.read_aggregates(spark, out)))
+
+
+def q_route_rules_table(spark, sf):
+    """Routing with the rules read from a table."""
+    path = scratch_path(spark, "rules")
+    R.RuleSet().frame(spark).write.parquet(path)
+    return R.route_events(processed_events(spark, sf), R.RuleSet.from_frame(spark.read.parquet(path)))
+
+
+def q_no_tenant(spark, sf):
+    """Rows whose file has no tenant, set aside instead of routed."""
+    p = processed_events(spark, sf)
+    aside = R.no_tenant_rows(p).select("adid", "created_at", "activity_kind", "filename", "reason")
+    routed = R.route_events(p, route_empty_tenant=False)
+    return aside.withColumn("n_routed", F.lit(routed.where(F.col("table_name").startswith("_")).count()).cast("long"))
 
 
+QUERIES["incremental_aggregates"] = q_incremental_aggregates
+QUERIES["route_rules_table"] = q_route_rules_table
+QUERIES["no_tenant"] = q_no_tenant
 QUERIES["incremental_ingest"] = q_incremental_ingest
 QUERIES["incremental_routed"] = q_incremental_routed

@@ -3,21 +3,23 @@
 Event lake, as Spark jobs:
 
 1. list + probe + classify the source files (small, one row per file);
-2. quarantine the failed files (append-only table);
+2. quarantine the failed files (one folder per run);
 3. scan the good files once, process, and write the processed rows to a
    staging Parquet table under the shared checkpoint folder. This cuts the
    lineage (an executor lost later does not send the job back to the CSV
    files) and lets both branches read only the columns they need;
-4. branch 1: broadcast-join routing -> one partitioned write of every table;
+4. branch 1: rule-join routing -> one partitioned write of every table, or
+   table by table if that fails, so that one table's failure stays its own;
 5. branch 2: ad pre-aggregate -> one partitioned write (branches 1, 2 and the
    coverage counts run as concurrent jobs);
-6. a one-row metrics frame from ``Observation``s taken during the writes
-   (no extra counting scans) plus the routing coverage.
+6. a one-row metrics frame of what was read and of the tables whose write
+   succeeded.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -52,28 +54,37 @@ class EventLakeRun:
     quarantine_path: str
 
 
-def _count(obs: Observation, key: str = "n") -> int:
-    try:
-        return int(obs.get.get(key, 0) or 0)
-    except Exception:  # noqa: BLE001 - observation never fired (empty plan)
-        return 0
-
-
-def _fired(obs: Observation) -> bool:
-    try:
-        return bool(obs.get)
-    except Exception:  # noqa: BLE001
-        return False
+LAYOUTS = ("partitioned", "table_folders")
 
 
 def run_event_lake(spark: SparkSession, source_root: str | list[str], output_root: str,
-                   clock: C.RunClock, rules: R.RuleSet | None = None, compression: str = "sniff",
-                   date: str | None = None, hour: str | None = None,
+                   clock: C.RunClock, dlq_location: str, rules: R.RuleSet | None = None, compression: str = "sniff",
+                   date: str | None = None, hour: str | int | None = None,
                    tenants: list[str] | None = None,
-                   dlq_location: str = C.DEFAULT_DLQ_LOCATION,
                    quarantine_bytes: bool = True,
-                   events_layout: str = "partitioned") -> EventLakeRun:
-    rules = rules or R.RuleSet()
+                   events_layout: str = "partitioned",
+                   route_empty_tenant: bool = True,
+                   normalize_activity: bool = False) -> EventLakeRun:
+    """One run over the source files. Arguments are checked before any work.
+
+    ``route_empty_tenant=False`` sets rows without a tenant aside in the
+    quarantine folder (``no_tenant``) instead of routing them;
+    ``normalize_activity=True`` routes on the trimmed, lower-case activity.
+    """
+    if events_layout not in LAYOUTS:
+        raise ValueError(f"events_layout must be one of {LAYOUTS}")
+    if hour is not None:
+        S.parse_hour(hour)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        return _run(spark, source_root, output_root, clock, dlq_location, rules or R.RuleSet(), compression, date, hour,
+                    tenants, quarantine_bytes, events_layout, route_empty_tenant, normalize_activity)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def _run(spark, source_root, output_root, clock, dlq_location, rules, compression, date, hour, tenants,
+         quarantine_bytes, events_layout, route_empty_tenant, normalize_activity) -> EventLakeRun:
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
     scan = S.load_events(spark, source_root, compression=compression, date=date, hour=hour, tenants=tenants)
@@ -88,94 +99,124 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     q = Qn.quarantine_frame(scan.files, clock, dlq_location)
     if quarantine_bytes:  # keep a copy of each failed file, as the DLQ copy did
         q = Qn.with_content(spark, q)
-    Qn.write_quarantine(q, quarantine_path)
+    Qn.write_quarantine(q, quarantine_path, clock.as_of)
     timings["discover_and_load_plan"] = time.perf_counter() - t0
 
     t1 = time.perf_counter()
-    read_obs = Observation("rows_read")
+    processed_path = scratch_path(spark, "processed")
     if scan.flagged is not None:
         # Good and malformed rows are counted in the same pass that stages the data.
+        read = Observation("rows_read")
         flagged = scan.flagged.observe(
-            read_obs, F.count(F.when(~F.col("__malformed"), 1)).alias("n"),
+            read, F.count(F.when(~F.col("__malformed"), 1)).alias("n"),
             F.count(F.when(F.col("__malformed"), 1)).alias("bad"))
         rows = (flagged.where(~F.col("__malformed")).drop("_corrupt_record", "__malformed")
                 .withColumn("prefix", X.tenant_from_path("filename")))
+        if set(E.FILTER_COLUMNS) <= set(rows.columns):
+            _stage(E.process_events(rows, clock), processed_path)
+            counted = read.get  # the write succeeded, so its plan ran and the counts are there
+            read_counts = (int(counted["n"]), int(counted["bad"]))
+        else:
+            # No file has a column that the filters need: no row passes, the
+            # optimizer may skip the scan, and the rows are counted directly.
+            _stage(E.process_events(scan.rows, clock), processed_path)
+            r = scan.flagged.agg(F.count(F.when(~F.col("__malformed"), 1)).alias("n"),
+                                 F.count(F.when(F.col("__malformed"), 1)).alias("bad")).first()
+            read_counts = (int(r["n"]), int(r["bad"]))
     else:
-        rows = scan.rows.observe(read_obs, F.count(F.lit(1)).alias("n"), F.lit(0).alias("bad"))
-    processed = E.process_events(rows, clock)
-    processed_path = scratch_path(spark, "processed")
-    processed.write.mode("overwrite").option("compression", "zstd").parquet(processed_path)
+        _stage(E.process_events(scan.rows, clock), processed_path)
+        read_counts = (0, 0)
     staged = spark.read.parquet(processed_path)
-    read_counts = (_count(read_obs), _count(read_obs, "bad"))
-    if scan.flagged is not None and not _fired(read_obs):
-        # The optimizer removed the scan (e.g. a filter column absent from every
-        # file makes the filter constant false), so count the rows directly.
-        r = scan.flagged.agg(F.count(F.when(~F.col("__malformed"), 1)).alias("n"),
-                             F.count(F.when(F.col("__malformed"), 1)).alias("bad")).first()
-        read_counts = (int(r["n"]), int(r["bad"]))
+    routing = {"normalize_activity": normalize_activity, "route_empty_tenant": route_empty_tenant}
+    if not route_empty_tenant:
+        Qn.write_quarantine(R.no_tenant_rows(staged), f"{quarantine_path}/no_tenant", clock.as_of)
     timings["process"] = time.perf_counter() - t1
 
-    failed_writes: list[str] = []
-
-    def attempt(label: str, fn) -> None:
-        # Like the per-table isolation of the original: a failed write is
-        # recorded and the run goes on to the next output.
-        try:
-            fn()
-        except Exception as e:  # noqa: BLE001
-            failed_writes.append(f"{label}: {type(e).__name__}: {str(e)[:300]}")
-
-    # The three branches read the staged table independently; they are
-    # submitted as concurrent Spark jobs from driver threads, so small jobs
-    # overlap instead of leaving executors idle between them.
-    routed_obs, agg_obs = Observation("routed"), Observation("aggregates")
     events_path = f"{output_root}/events"
     aggregates_path = f"{output_root}/aggregates"
-    results: dict[str, object] = {}
 
-    def branch_route() -> None:
+    def route() -> dict[str, str]:
+        """Error by table of the tables that could not be written."""
         t = time.perf_counter()
-        routed = R.route_events(staged, rules).observe(routed_obs, F.count(F.lit(1)).alias("n"))
-        attempt("events", lambda: W.write_routed(
-            routed, events_path, layout=events_layout, counts=R.routed_partition_counts(staged, rules)))
+        routed = R.route_events(staged, rules, **routing)
+        failed = isolated_write(routed, lambda part: W.write_routed(part, events_path, layout=events_layout))
         timings["route_and_write"] = time.perf_counter() - t
+        return failed
 
-    def branch_coverage() -> None:
+    def cover() -> tuple[DataFrame, int]:
         t = time.perf_counter()
-        coverage = R.routing_coverage(staged, rules).cache()
-        results["coverage"] = coverage
-        results["unrouted"] = int(R.unrouted_rows(staged, rules).first()["rows_unrouted"])
-        results["cov"] = coverage.groupBy().agg(
-            F.sum(F.when(F.col("status") == "written", 1).otherwise(0)).alias("tables_written"),
-            F.sum(F.when(F.col("status") == "empty", 1).otherwise(0)).alias("empty_tables")).first()
+        path = scratch_path(spark, "coverage")
+        _stage(R.routing_coverage(staged, rules, **routing), path)
+        unrouted = int(R.unrouted_rows(staged, rules, **routing).first()["rows_unrouted"])
         timings["coverage"] = time.perf_counter() - t
+        return spark.read.parquet(path), unrouted
 
-    def branch_aggregate() -> None:
+    def aggregate() -> tuple[int, dict[str, str]]:
+        """Rows written, and the error by table."""
         t = time.perf_counter()
-        agg = G.ad_preagg_output(G.ad_preaggregate(staged, clock)).observe(
-            agg_obs, F.count(F.lit(1)).alias("n"))
-        attempt("aggregates", lambda: W.write_aggregates(agg, aggregates_path))
+        path = scratch_path(spark, "aggregates")
+        _stage(G.ad_preagg_output(G.ad_preaggregate(staged, clock)), path)
+        made = spark.read.parquet(path)
+        failed = isolated_write(made, lambda part: W.write_aggregates(part, aggregates_path))
+        n = made.where(~F.col("table_name").isin(list(failed))).count() if failed else made.count()
         timings["aggregate_and_write"] = time.perf_counter() - t
+        return n, failed
 
+    # The three branches read the staged table independently; they are
+    # submitted as concurrent Spark jobs from driver threads, so small jobs
+    # overlap instead of leaving executors idle between them.
     with ThreadPoolExecutor(max_workers=3) as pool:
-        for fut in [pool.submit(b) for b in (branch_route, branch_coverage, branch_aggregate)]:
-            fut.result()
-    coverage, unrouted, cov = results["coverage"], results["unrouted"], results["cov"]
+        routed, covered, aggregated = [pool.submit(b) for b in (route, cover, aggregate)]
+        failed_events, (coverage, unrouted), (aggregate_rows, failed_aggregates) = routed.result(), covered.result(), aggregated.result()
+
+    if failed_events:
+        lost = F.col("table_name").isin(list(failed_events)) & (F.col("status") == "written")
+        coverage = coverage.withColumn("status", F.when(lost, F.lit("failed")).otherwise(F.col("status")))
+    by_status = {r["status"]: r for r in coverage.groupBy("status").agg(
+        F.count(F.lit(1)).alias("tables"), F.sum("routed_rows").alias("rows")).collect()}
+
+    def of(status: str, what: str) -> int:
+        return int(by_status[status][what] or 0) if status in by_status else 0
 
+    failed_writes = [f"events {t}: {e}" for t, e in sorted(failed_events.items())]
+    failed_writes += [f"aggregates {t}: {e}" for t, e in sorted(failed_aggregates.items())]
     metrics = spark.createDataFrame([(
         int(file_stats["files_total"] or 0), int(file_stats["files_ok"] or 0),
         int((file_stats["files_total"] or 0) - (file_stats["files_ok"] or 0)),
-        read_counts[0], read_counts[1], _count(routed_obs), unrouted, _count(agg_obs),
-        int(cov["tables_written"] or 0), int(cov["empty_tables"] or 0), failed_writes,
+        read_counts[0], read_counts[1], of("written", "rows"), unrouted, aggregate_rows,
+        of("written", "tables"), of("empty", "tables"), of("failed", "tables"), failed_writes,
         {k: float(v) for k, v in timings.items()},
     )], "files_total bigint, files_ok bigint, files_failed bigint, rows_read bigint, "
         "rows_malformed bigint, partitioned_rows_written bigint, rows_unrouted bigint, "
         "aggregate_rows_written bigint, "
-        "tables_written bigint, empty_tables bigint, failed_writes array<string>, "
+        "tables_written bigint, empty_tables bigint, failed_tables bigint, failed_writes array<string>, "
         "phase_seconds map<string,double>")
     return EventLakeRun(metrics, coverage, processed_path, events_path, aggregates_path, quarantine_path)
 
 
+def _stage(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def isolated_write(df: DataFrame, write: Callable[[DataFrame], None]) -> dict[str, str]:
+    """Write all tables of ``df`` in one job; if that fails, table by table.
+
+    Returns the error of each table that could not be written. A table that can
+    be written is, whatever happens to the others.
+    """
+    try:
+        write(df)
+        return {}
+    except Exception:  # noqa: BLE001 - told apart by table below
+        failed: dict[str, str] = {}
+        for (t,) in df.select("table_name").distinct().collect():  # tables of one run, no rows
+            try:
+                write(df.where(F.col("table_name").eqNullSafe(F.lit(t))))
+            except Exception as e:  # noqa: BLE001 - recorded, and the next table is tried
+                failed[t] = f"{type(e).__name__}: {e}"
+        return failed
+
+
 @dataclass
 class GovernanceRun:
     processed_path: str
@@ -185,7 +226,7 @@ class GovernanceRun:
 
 
 def run_governance(spark: SparkSession, manifest: DataFrame, clock: C.RunClock, output_root: str,
-                   dlq_location: str = C.DEFAULT_DLQ_LOCATION,
+                   dlq_location: str,
                    previous_failed: DataFrame | None = None) -> GovernanceRun:
     """stage -> validate -> good-file mart (partitioned by load_date, clustered
     by file_name) and dead-letter mart (partitioned by failure_date, keeping

@@ -201,7 +201,7 @@ ffiles AS (
   SELECT file_name, load_timestamp, CAST(validation_timestamp AS DATE) AS failure_date, file_hash,
     record_count, validation_error AS failure_reason, processing_status,
     validation_timestamp AS failed_timestamp,
-    concat('{C.DEFAULT_DLQ_LOCATION}', '/', strftime(validation_timestamp, '%Y/%m/%d'), '/', file_name)
+    concat('{A.DLQ_LOCATION}', '/', strftime(validation_timestamp, '%Y/%m/%d'), '/', file_name)
       AS file_location_dlq,
     TIMESTAMP '{FS_AS_OF}' AS dlq_inserted_at,
     false AS is_resolved
@@ -311,9 +311,9 @@ WHERE created_at IS NULL
     q["failed_files"] = _with(MANIFEST, "SELECT * FROM ffiles")
     q["dlq_path"] = _with(MANIFEST, f"""
 SELECT file_name,
-  concat('{C.DEFAULT_DLQ_LOCATION}', '/', file_name) AS dlq_flat,
-  concat('{C.DEFAULT_DLQ_LOCATION}', '/', strftime(failed_timestamp, '%Y/%m/%d'), '/', file_name) AS dlq_day,
-  concat('{C.DEFAULT_DLQ_LOCATION}', '/', strftime(failed_timestamp, '%Y/%m/%d/%H'), '/', file_name) AS dlq_hour
+  concat('{A.DLQ_LOCATION}', '/', file_name) AS dlq_flat,
+  concat('{A.DLQ_LOCATION}', '/', strftime(failed_timestamp, '%Y/%m/%d'), '/', file_name) AS dlq_day,
+  concat('{A.DLQ_LOCATION}', '/', strftime(failed_timestamp, '%Y/%m/%d/%H'), '/', file_name) AS dlq_hour
 FROM ffiles""")
     q["content_checks"] = _with(MANIFEST, f"""
 SELECT file_name, (n_errors = 0) AS is_valid, n_errors, error_list, warning_list FROM (
@@ -455,6 +455,11 @@ scanned AS (
     CASE WHEN day % 2 = 0 THEN device_type END AS device_type, app_version_short,
     CASE WHEN day % 2 = 1 THEN 'x' END AS extra, file_name, prefix
   FROM exp WHERE NOT is_malformed
+),
+cut AS (
+  SELECT DISTINCT replace(file_name, '{XP.GZIP_TENANTS[0]}_', '{XP.GZIP_TENANTS[0]}-cut_') AS file_name,
+    '{XP.GZIP_TENANTS[0]}-cut' AS prefix
+  FROM exp WHERE prefix = '{XP.GZIP_TENANTS[0]}' AND day % 7 = 3
 )"""
 
 
@@ -465,6 +470,7 @@ def _broken_values(cols: str, row) -> str:
 def file_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["discover_files"] = _with(EXPORTS, "SELECT DISTINCT file_name, prefix, false AS is_empty FROM exp\nUNION ALL\n"
+                                "SELECT file_name, prefix, false AS is_empty FROM cut\nUNION ALL\n"
                                 + _broken_values("file_name, prefix, is_empty", lambda n, b, st:
                                                  f"({_q(n)}, {_q(_TENANT_OF[n])}, {'true' if not b else 'false'})"))
     q["csv_scan"] = _with(EXPORTS, "SELECT * FROM scanned")
@@ -474,7 +480,7 @@ FROM scanned GROUP BY file_name""")
     q["malformed_rows"] = _with(EXPORTS, """
 SELECT file_name, COUNT(*) AS malformed_rows FROM exp WHERE is_malformed GROUP BY file_name""")
     q["misnamed_gz_scan"] = _with(EXPORTS, f"""
-SELECT file_name, COUNT(*) AS n_rows FROM scanned WHERE prefix NOT IN ({_GZ_LIST}) GROUP BY file_name""")
+SELECT file_name, COUNT(*) AS n_rows, any_value(prefix IN ({_GZ_LIST})) AS is_gzip FROM scanned GROUP BY file_name""")
     q["file_provenance"] = _with(EXPORTS, """
 SELECT file_name, prefix, COUNT(*) AS n_rows FROM scanned GROUP BY file_name, prefix""")
     cols = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters", "country", "city",
@@ -489,39 +495,81 @@ SELECT file_name, prefix, COUNT(*) AS n_rows FROM scanned GROUP BY file_name, pr
     q["file_isolation"] = _with(EXPORTS, f"""
 SELECT DISTINCT file_name, 'OK' AS status, prefix IN ({_GZ_LIST}) AS is_gzip FROM exp
 UNION ALL
+SELECT file_name, 'CORRUPT_GZIP' AS status, true AS is_gzip FROM cut
+UNION ALL
 {status_rows}""")
     failed = [(n, b, st) for n, (b, st) in _BROKEN if st != "OK"]
-    q["quarantine_files"] = "SELECT * FROM (VALUES " + ", ".join(
-        f"({_q(n)}, {_q(C.DEFAULT_DLQ_LOCATION + '/' + n)}, {_q(st)}, CAST({len(b)} AS BIGINT), CAST({len(b)} AS BIGINT))"
-        for n, b, st in failed) + ") AS t(file_name, dlq_path, reason, length, content_bytes)"
+    q["quarantine_files"] = _with(EXPORTS, f"""
+SELECT file_name, {_q(A.DLQ_LOCATION + '/')} || file_name AS dlq_path, 'CORRUPT_GZIP' AS reason,
+  CAST({XP.CUT_BYTES} AS BIGINT) AS length, CAST({XP.CUT_BYTES} AS BIGINT) AS content_bytes FROM cut
+UNION ALL
+SELECT * FROM (VALUES """ + ", ".join(
+        f"({_q(n)}, {_q(A.DLQ_LOCATION + '/' + n)}, {_q(st)}, CAST({len(b)} AS BIGINT), CAST({len(b)} AS BIGINT))"
+        for n, b, st in failed) + ") AS t(file_name, dlq_path, reason, length, content_bytes)")
     from ebbflow.plans.catalog import WINDOW_DATE, WINDOW_TENANTS
     q["source_window"] = _with(EXPORTS, f"""
 SELECT adid, created_at, activity_kind, file_name, prefix FROM scanned
 WHERE file_name LIKE '%\\_{WINDOW_DATE}T%' ESCAPE '\\' AND prefix IN ({", ".join(_q(t) for t in WINDOW_TENANTS)})""")
-    q["empty_input"] = """
-SELECT CAST(NULL AS VARCHAR) AS adid, CAST(NULL AS VARCHAR) AS created_at, CAST(NULL AS VARCHAR) AS activity_kind,
-  CAST(NULL AS VARCHAR) AS prefix, CAST(NULL AS VARCHAR) AS pp_event_name, CAST(NULL AS DATE) AS date
-FROM events WHERE false"""
-    manifest_rows = _broken_values("file_name, record_count, has_hash, has_content", lambda n, b, st: (
+    q["empty_input"] = _with(EXPORTS + "," + processed_cte("sp", "scanned"), f"""
+SELECT 'none' AS "window", CAST(0 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_tenants
+UNION ALL
+SELECT 'day', COUNT(*), COUNT(DISTINCT prefix) FROM sp WHERE file_name LIKE '%\\_{WINDOW_DATE}T%' ESCAPE '\\'
+UNION ALL
+SELECT 'all', COUNT(*), COUNT(DISTINCT prefix) FROM sp""")
+    manifest_rows = _broken_values("file_name, record_count, has_hash, content_chars, content_lines", lambda n, b, st: (
         f"({_q(n)}, " + ("CAST(0 AS BIGINT)" if st == "OK" else "CAST(NULL AS BIGINT)") + ", "
-        + ("true" if b else "false") + ", " + ("true" if st == "OK" and b else "false") + ")"))
+        + ("true" if b else "false") + ", " + (f"CAST({len(b)} AS BIGINT), CAST({b.count(10)} AS BIGINT)" if st == "OK" and b else
+                                               "CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)") + ")"))
+
+    def line(layout: list[str], chars: str) -> str:
+        """Characters (or line ends) of a record: quoted fields with doubled quotes, commas between, a line end."""
+        def field(c: str) -> str:
+            n = c.strip("{}")
+            if n == "extra":
+                return "3" if chars == "chars" else "0"
+            v = f"replace({n}, '\"', '\"\"')"
+            return (f"COALESCE(length({v}) + 2, 0)" if chars == "chars"
+                    else f"COALESCE(length({n}) - length(replace({n}, chr(10), '')), 0)")
+        short = " + ".join(field(c) for c in layout[:-1])
+        sep = len(layout) - 2 if chars == "chars" else 0
+        last = field(layout[-1]) + (" + 1" if chars == "chars" else "")
+        return f"{short} + {sep} + 1 + CASE WHEN is_malformed THEN 0 ELSE {last} END"
+
+    def total(chars: str) -> str:
+        a, b = line(XP.LAYOUT_A, chars), line(XP.LAYOUT_B, chars)
+        ha, hb = ((len(",".join(x)) + 1) if chars == "chars" else 1 for x in (XP.LAYOUT_A, XP.LAYOUT_B))
+        return (f"CAST(SUM(CASE WHEN day % 2 = 0 THEN {a} ELSE {b} END) + "
+                f"any_value(CASE WHEN day % 2 = 0 THEN {ha} ELSE {hb} END) AS BIGINT)")
+
     q["file_manifest"] = _with(EXPORTS, f"""
-SELECT file_name, CAST(COUNT(*) AS BIGINT) AS record_count, true AS has_hash, true AS has_content
+SELECT file_name, CAST(COUNT(*) AS BIGINT) AS record_count, true AS has_hash,
+  {total("chars")} AS content_chars, {total("lines")} AS content_lines
 FROM exp GROUP BY file_name
 UNION ALL
+SELECT file_name, CAST(NULL AS BIGINT), true, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM cut
+UNION ALL
 {manifest_rows}""")
+
     def _gov(n, b, st):
         reason = "INVALID_CONTENT" if st != "OK" else "EMPTY_FILE"
         return f"({_q(n)}, 'failed', {_q(reason)})"
     q["governance_run"] = _with(EXPORTS, "SELECT DISTINCT file_name, 'processed' AS outcome, "
                                 "CAST(NULL AS VARCHAR) AS failure_reason FROM exp\nUNION ALL\n"
+                                "SELECT file_name, 'failed', 'INVALID_CONTENT' FROM cut\nUNION ALL\n"
                                 + _broken_values("file_name, outcome, failure_reason", _gov))
     q["incremental_ingest"] = _with(EXPORTS + "," + processed_cte("sp", "scanned"), """
 SELECT file_name, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS second_run_batches FROM sp GROUP BY file_name""")
     q["incremental_routed"] = _with(
         EXPORTS + "," + processed_cte("sp", "scanned") + ",\n" + rules_cte() + "," + routed_cte("sr", "sp"),
-        "SELECT table_name, COUNT(*) AS n_rows FROM sr GROUP BY table_name")
+        "SELECT _time, activity_kind, adid, app_version_short, city, country, created_at, date, device_type, extra, file_name, "
+        "installed_at, os_name, pp_event_name, publisher_parameters, table_name FROM sr")
     base = sql()
+    q["incremental_aggregates"] = _with(
+        EXPORTS + "," + processed_cte("sp", "scanned") + "," + adagg_cte("adagg", "sp"), base["ad_preagg_output"].split("SELECT prefix ||", 1)[1].join(["SELECT prefix ||", ""]))
+    q["route_rules_table"] = base["route_events"]
+    q["no_tenant"] = _with(PROCESSED, """
+SELECT adid, created_at, activity_kind, filename, 'NO_TENANT' AS reason, CAST(0 AS BIGINT) AS n_routed
+FROM processed WHERE prefix IS NULL OR prefix = ''""")
     q["partitioned_write"] = base["route_events"]
     q["agg_write"] = base["ad_preagg_output"]
     q["clustered_write"] = base["processed_files"]
@@ -535,9 +583,9 @@ counts AS (SELECT prefix, suffix, COUNT(*) AS n FROM lr GROUP BY prefix, suffix)
 cov AS (SELECT COALESCE(counts.n, 0) AS n FROM pairs LEFT JOIN counts
         ON pairs.prefix = counts.prefix AND pairs.suffix = counts.suffix)
 SELECT
-  CAST((SELECT COUNT(DISTINCT file_name) FROM exp) + {len(_BROKEN)} AS BIGINT) AS files_total,
+  CAST((SELECT COUNT(DISTINCT file_name) FROM exp) + (SELECT COUNT(*) FROM cut) + {len(_BROKEN)} AS BIGINT) AS files_total,
   CAST((SELECT COUNT(DISTINCT file_name) FROM exp) + {sum(1 for _, (_, st) in _BROKEN if st == 'OK')} AS BIGINT) AS files_ok,
-  CAST({sum(1 for _, (_, st) in _BROKEN if st != 'OK')} AS BIGINT) AS files_failed,
+  CAST((SELECT COUNT(*) FROM cut) + {sum(1 for _, (_, st) in _BROKEN if st != 'OK')} AS BIGINT) AS files_failed,
   CAST((SELECT COUNT(*) FROM scanned) AS BIGINT) AS rows_read,
   CAST((SELECT COUNT(*) FROM exp WHERE is_malformed) AS BIGINT) AS rows_malformed,
   CAST((SELECT COUNT(*) FROM lr) AS BIGINT) AS partitioned_rows_written,
@@ -549,5 +597,5 @@ SELECT
   CAST((SELECT COUNT(*) FROM la WHERE prefix IS NOT NULL) AS BIGINT) AS aggregate_rows_written,
   CAST((SELECT COUNT(*) FROM cov WHERE n > 0) AS BIGINT) AS tables_written,
   CAST((SELECT COUNT(*) FROM cov WHERE n = 0) AS BIGINT) AS empty_tables,
-  CAST(0 AS BIGINT) AS n_failed_writes""")
+  CAST(0 AS BIGINT) AS failed_tables, CAST(0 AS BIGINT) AS n_failed_writes""")
     return q

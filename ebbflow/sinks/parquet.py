@@ -1,83 +1,47 @@
 """Parquet sinks.
 
 All writes are single jobs: one ``partitionBy`` write covers every routed
-table instead of one statement per (tenant, rule).
-
-File layout vs. skew: a key-only aggregate first counts the rows of every
-output partition (e.g. (table_name, date)); each partition then gets
-``ceil(rows / target_rows_per_file)`` salt buckets. Rows are shuffled on
-(partition columns, salt) into an explicit number of tasks, so
-
-* a small output partition lands in one task and becomes one file;
-* a hot output partition (say a third of all rows) is spread over as many
-  tasks as its size needs, each writing one file of about the target size;
-* tiny inputs still write in parallel (AQE does not merge an explicitly sized
-  shuffle down to one task, which would write every file serially);
-* the number of write tasks follows the data: at least the session's shuffle
-  partitions and at least total rows / target rows per file, so a 100 TB run
-  does not squeeze into 200 tasks while a small run does not launch a task
-  per tiny output partition.
-
-The per-partition count frame has one row per output partition (bounded by
-tables x dates); its size is checked before it is broadcast, otherwise the
-join falls back to a shuffle. Callers pass staged (columnar) input, so the
-counting pass reads only the partition columns.
+table instead of one statement per (tenant, rule), and the input is computed
+once.
+
+File layout vs. skew: rows are rebalanced on the output partition's columns
+(a ``REBALANCE`` hint), which Spark sizes at run time from what the shuffle
+holds: small output partitions share a task, each in one file; one that is
+larger than the advisory partition size is split over several tasks and
+files, so a hot (table, date) does not land in one task.
+
+A clustered table is range-partitioned on (partition column, cluster columns)
+instead, so the files of one partition hold ranges that do not overlap and
+min/max statistics prune on the cluster key.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_TARGET_ROWS_PER_FILE = 2_000_000
-MAX_BROADCAST_PARTITIONS = 1_000_000
-
-
-def _layout(df: DataFrame, partition_cols: list[str], target_rows: int,
-            num_partitions: int | None, counts: DataFrame | None = None) -> DataFrame:
-    spark = df.sparkSession
-    if counts is None:
-        counts = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("__rows"))
-    counts = (counts
-              .select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols], "__rows",
-                      F.greatest(F.lit(1), F.ceil(F.col("__rows") / F.lit(target_rows))).cast("int")
-                      .alias("__buckets"))
-              .cache())  # one row per output partition; computed once, reused by the join
-    stats = counts.agg(F.count(F.lit(1)).alias("parts"), F.sum("__rows").alias("rows")).first()
-    n_parts, n_rows = int(stats["parts"]), int(stats["rows"] or 0)
-    by_volume = -(-n_rows // target_rows)
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_volume)
-    side = F.broadcast(counts) if n_parts <= MAX_BROADCAST_PARTITIONS else counts
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in partition_cols])
-    joined = df.join(side.drop("__rows"), cond, "left")
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__buckets"))
-    out = (joined.repartition(n, *[F.col(c) for c in partition_cols], salt)
-           .select(*[F.col(f"`{c}`") for c in df.columns]))
-    return out, counts
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
-                      target_rows_per_file: int = DEFAULT_TARGET_ROWS_PER_FILE,
-                      num_partitions: int | None = None,
-                      sort_within: list[str] | None = None,
-                      counts: DataFrame | None = None) -> None:
-    """zstd Parquet, hive-partitioned; ``overwrite`` replaces only the partitions
-    present in ``df`` (dynamic partition overwrite), others are kept.
-
-    ``counts`` (partition columns + ``__rows``) may be supplied when the caller
-    can compute them more cheaply than a count over ``df``."""
-    out, counts = _layout(df, partition_cols, target_rows_per_file, num_partitions, counts)
-    if sort_within:
-        out = out.sortWithinPartitions(*partition_cols, *sort_within)
+def _write(out: DataFrame, path: str, partition_cols: list[str], mode: str, target_rows_per_file: int) -> None:
     (out.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd")
      .option("maxRecordsPerFile", int(target_rows_per_file))
      .partitionBy(*partition_cols)
      .parquet(path))
-    counts.unpersist()
+
+
+def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
+                      target_rows_per_file: int = DEFAULT_TARGET_ROWS_PER_FILE,
+                      num_partitions: int | None = None) -> None:
+    """zstd Parquet, hive-partitioned; ``overwrite`` replaces only the partitions
+    present in ``df`` (dynamic partition overwrite), others are kept."""
+    keys = [F.col(f"`{c}`") for c in partition_cols]
+    out = df.hint("rebalance", *([num_partitions] if num_partitions else []), *keys)
+    _write(out, path, partition_cols, mode, target_rows_per_file)
 
 
 def write_routed(routed: DataFrame, path: str, layout: str = "partitioned", **kw) -> None:
@@ -95,8 +59,6 @@ def write_routed(routed: DataFrame, path: str, layout: str = "partitioned", **kw
         return
     if layout != "table_folders":
         raise ValueError("layout must be 'partitioned' or 'table_folders'")
-    import uuid
-
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
     write_partitioned(routed, staging, ["table_name", "date"], mode="errorifexists", **kw)
     publish_table_folders(routed.sparkSession, staging, path)
@@ -124,10 +86,15 @@ def publish_table_folders(spark, staging: str, target: str) -> int:
             if not d.isDirectory() or not d.getPath().getName().startswith("date="):
                 continue
             dest = Path(table_dir, d.getPath().getName())
-            if fs.exists(dest):
-                fs.delete(dest, True)
+            # The old folder is set aside first and only goes once the new one is in place.
+            aside = Path(table_dir, f"_old-{d.getPath().getName()}-{uuid.uuid4().hex[:12]}")
+            held = fs.exists(dest) and fs.rename(dest, aside)
             if not fs.rename(d.getPath(), dest):
+                if held:
+                    fs.rename(aside, dest)
                 raise RuntimeError(f"could not move {d.getPath()} to {dest}")
+            if held:
+                fs.delete(aside, True)
             moved += 1
     fs.delete(Path(staging), True)
     return moved
@@ -138,10 +105,12 @@ def write_aggregates(agg_output: DataFrame, path: str, **kw) -> None:
     write_partitioned(agg_output, path, ["table_name", "date"], **kw)
 
 
-def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_cols: list[str], **kw) -> None:
-    """Partitioned by ``partition_col`` and sorted by ``cluster_cols`` inside
-    each file, so min/max statistics prune on the cluster key (S15)."""
-    write_partitioned(df, path, [partition_col], sort_within=cluster_cols, **kw)
+def write_clustered(df: DataFrame, path: str, partition_col: str, cluster_cols: list[str], mode: str = "overwrite",
+                    target_rows_per_file: int = DEFAULT_TARGET_ROWS_PER_FILE) -> None:
+    """Partitioned by ``partition_col``; each file holds its own range of
+    ``cluster_cols``, in order, so min/max statistics prune on them (S15)."""
+    order = [F.col(f"`{c}`") for c in (partition_col, *cluster_cols)]
+    _write(df.repartitionByRange(*order).sortWithinPartitions(*order), path, [partition_col], mode, target_rows_per_file)
 
 
 def read_partitioned(spark, path: str, partition_types: dict[str, str] | None = None) -> DataFrame:

@@ -103,12 +103,13 @@ def test_routing_flags(spark):
     assert norm == ["t1_session"]
 
 
-def test_routed_partition_counts_match_routed_rows(spark):
+def test_coverage_counts_match_routed_rows(spark):
     p = catalog.processed_events(spark, SF)
-    exp = {(r["table_name"], r["date"]): r["count"]
-           for r in R.route_events(p).groupBy("table_name", "date").count().collect()}
-    got = {(r["table_name"], r["date"]): r["__rows"] for r in R.routed_partition_counts(p).collect()}
+    exp = {r["table_name"]: r["count"] for r in R.route_events(p).groupBy("table_name").count().collect()}
+    cov = R.routing_coverage(p)
+    got = {r["table_name"]: r["routed_rows"] for r in cov.where("status = 'written'").collect()}
     assert got == exp
+    assert cov._jdf.queryExecution().optimizedPlan().toString().count("] parquet") == 1  # one scan of the events
 
 
 def test_unrouted_rows(spark):

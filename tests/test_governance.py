@@ -49,7 +49,7 @@ def test_good_and_bad_partition_the_input(spark, rows):
     m = _manifest(spark, [(f"f{i}.csv", ts, "h", n, c) for i, n, c in rows])
     val = V.validate_files(V.stage_raw_files(m, CLOCK), CLOCK)
     good = V.processed_files(val, CLOCK).count()
-    bad = V.failed_files(val, CLOCK).count()
+    bad = V.failed_files(val, CLOCK, "/dlq").count()
     assert good + bad == len(rows)
 
 
@@ -79,7 +79,7 @@ def test_reports_and_checks(spark):
     m = _manifest(spark, [("a.csv", ts, "h", 3, "a,b"), ("a.csv", ts, "h2", 3, "a,b"),
                           ("z.csv", ts, "h", 0, "a,b")])
     val = V.validate_files(V.stage_raw_files(m, CLOCK), CLOCK)
-    good, bad = V.processed_files(val, CLOCK), V.failed_files(val, CLOCK)
+    good, bad = V.processed_files(val, CLOCK), V.failed_files(val, CLOCK, "/dlq")
     stats = P.processing_stats(good, bad).collect()
     assert len(stats) == 1 and stats[0]["successful_files"] == 2 and stats[0]["failed_files"] == 1
     assert abs(stats[0]["success_rate"] - 66.67) < 1e-9 and stats[0]["quality_rating"] == "POOR"
@@ -94,7 +94,7 @@ def test_reports_and_checks(spark):
 def test_carry_resolution_keeps_flag(spark):
     ts = dt.datetime(2024, 1, 31, 12)
     m = _manifest(spark, [("z.csv", ts, "h", 0, "a,b"), ("y.csv", ts, "h", 0, "a,b")])
-    failed = V.failed_files(V.validate_files(V.stage_raw_files(m, CLOCK), CLOCK), CLOCK)
+    failed = V.failed_files(V.validate_files(V.stage_raw_files(m, CLOCK), CLOCK), CLOCK, "/dlq")
     prev = failed.withColumn("is_resolved", F.col("file_name") == "z.csv")
     again = {r["file_name"]: r["is_resolved"] for r in V.carry_resolution(failed, prev).collect()}
     assert again == {"z.csv": True, "y.csv": False}
