@@ -24,6 +24,8 @@ any others. A null id stays null. An empty table gives no rows.
 
 from __future__ import annotations
 
+import bisect
+
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -61,11 +63,11 @@ class Packer:
     def __init__(self, max_tokens: int, min_tier: int = MIN_TIER):
         self.max_tokens = max_tokens
         self.tiers = [t for t in (1 << k for k in range(max_tokens.bit_length())) if min(min_tier, max_tokens) <= t <= max_tokens]
-        self.pools: dict[int, list[Piece]] = {t: [] for t in self.tiers}
+        self.pools: dict[int, list[Piece]] = {t: [] for t in self.tiers}  # each by length
         self.pending = 0
 
     def route(self, piece: Piece) -> None:
-        self.pools[next(t for t in self.tiers if len(piece) <= t)].append(piece)
+        bisect.insort(self.pools[next(t for t in self.tiers if len(piece) <= t)], piece, key=len)
         self.pending += len(piece)
 
     def add(self, piece: Piece) -> list[list[Piece]]:
@@ -78,16 +80,14 @@ class Packer:
             self.route(piece)
         return full
 
-    def _take(self, gap: int) -> Piece | None:
-        """A piece for a gap: the longest tier that surely fits, else any piece, cut to size."""
+    def _take(self, gap: int) -> Piece:
+        """The longest piece that fits a gap, or else part of a piece."""
         for tier in reversed(self.tiers):
-            if tier <= gap and self.pools[tier]:
+            if at := bisect.bisect_right(self.pools[tier], gap, key=len):
+                piece = self.pools[tier].pop(at - 1)
                 break
         else:
-            tier = next((t for t in self.tiers if self.pools[t]), None)
-            if tier is None:
-                return None
-        piece = self.pools[tier].pop()
+            piece = next(self.pools[t] for t in self.tiers if self.pools[t]).pop()
         self.pending -= len(piece)
         if len(piece) > gap:
             piece, rest = piece.cut(gap)
