@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 import zlib
 
 import pyarrow as pa
@@ -12,8 +13,14 @@ from ebbflow.session import apply_base_conf, scratch_path, ship_package
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings and code that every operator's tasks rely on."""
+    """Session settings and code that every operator's tasks rely on.
+
+    Rows with whole texts go to Python in small batches, so a worker holds few
+    texts at a time however long they are.
+    """
     apply_base_conf(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     ship_package(spark)
 
 
@@ -22,9 +29,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: a lost executor never sends work back past this table.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    # The driver then knows that the job's shuffle files serve no one, and executors drop them.
+    spark.sparkContext._jvm.System.gc()
+    staged = spark.read.schema(df.schema).parquet(path)
+    _STAGED[id(staged)] = path
+    weakref.finalize(staged, _STAGED.pop, id(staged), None)
+    return staged
+
+
+_STAGED: dict[int, str] = {}
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in staged:
+        path = _STAGED.pop(id(df))
+        sc = df.sparkSession.sparkContext
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
