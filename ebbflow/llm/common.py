@@ -32,14 +32,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    # The driver then knows that the job's shuffle files serve no one, and executors drop them.
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
     staged = spark.read.schema(df.schema).parquet(path)
     _STAGED[id(staged)] = path
     weakref.finalize(staged, _STAGED.pop, id(staged), None)
     return staged
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver see that finished jobs' shuffle files serve no one, so that executors drop them."""
+    spark.sparkContext._jvm.System.gc()
+
+
 _STAGED: dict[int, str] = {}
 
 

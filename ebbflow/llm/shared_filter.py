@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ebbflow.llm.common import record
+from ebbflow.llm.common import record, release
 
 BUCKET_BITS, REST_BITS = 12, 32
 FLUSH = 3_000_000
@@ -77,4 +77,5 @@ def shared_filter(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterabl
     bits = np.zeros((1 << BUCKET_BITS, (1 << slice_bits) // 8), np.uint8)
     for r in parts.groupBy("bucket").applyInPandas(merge, "bucket int, bits binary").toLocalIterator():
         bits[r.bucket] = np.frombuffer(r.bits, np.uint8)
+    release(rows.sparkSession)
     return SharedFilter(bits.reshape(-1), log_bits)
