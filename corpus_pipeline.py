@@ -19,6 +19,8 @@ from ebbflow.llm import exact_dedup, jaccard_join, mixing, packing, quality
 from ebbflow.llm.common import stage, table
 from ebbflow.llm.queries import LABEL_DOMAIN, TARGETS, WORD_BPE
 
+WANTED = "quality1_toxic0"  # the class that mixing keeps whole
+
 
 def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts as label 1."""
@@ -40,10 +42,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at rates that move the label classes to their targets.
 
-    Rates are at most one and no document is repeated: the wanted class stays
-    whole, and documents of classes above their target go as their rates say.
+    Rates are at most one and no document is repeated: documents most likely of
+    the wanted class all stay, and documents of classes above their target, as a
+    ratio to the wanted class, go as their rates say.
     """
-    return mixing.mix(docs, table(spark, sf_dir, "labels"), LABEL_DOMAIN, TARGETS, repeat=False, max_rate=1.0)
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), LABEL_DOMAIN, TARGETS, repeat=False, max_rate=1.0, whole=WANTED)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,12 @@ from its posterior and the steps so far, so rates are never stored or sent.
 Rates stay between ``min_rate``, 0 or more, and ``max_rate``; targets that
 cannot be met within are met as nearly as least squares says.
 
+With ``whole``, a domain's name, the documents most likely of that domain have a
+rate of one, whatever share of the input they are. Its tokens, sum(tokens *
+posterior), then set the other domains' goals by the ratios of the targets, and a
+domain that has less than its goal has all that it has as goal. Only the other
+documents' rates are fitted, to the other domains' goals.
+
 ``copies`` rounds a document's rate by a hash of its id, so that the expected
 number of copies is the rate, and a rate of one or more is never rounded to 0.
 
@@ -22,7 +28,8 @@ number of copies is the rate, and a rate of one or more is never rounded to 0.
 Results by case: a null or empty text has no tokens and the posterior of a
 text without any of the chosen tokens. Repeated rows are rated each. Labels of
 no domain (null) are left out; a document with several labels counts for each.
-Without labels there is one domain, ``all``, and every rate is one. Targets are
+Without labels there is one domain, ``all``, and every rate is one; a ``whole``
+that no label has is left out, and one without a target raises. Targets are
 weights by domain name: missing ones are 0, those of unknown domains are left
 out, and if none is left every rate is one. Extra columns are kept by ``mix``
 and ignored by ``domain_rates``. An empty table gives no rows.
@@ -138,8 +145,9 @@ def with_domains(docs: DataFrame, domains: Domains, keep: list[str] | None = Non
     return source.mapInArrow(run, ddl)
 
 
-def rate_column(steps: list[list[float]], domains: int, min_rate: float = 0.0, max_rate: float = float("inf")) -> Column:
-    """A document's rate after the steps, each a number per domain."""
+def rate_column(steps: list[list[float]], domains: int, min_rate: float = 0.0, max_rate: float = float("inf"),
+                whole: int | None = None) -> Column:
+    """A document's rate after the steps, each a number per domain; one if ``whole`` is its likeliest domain."""
     if not steps:
         return F.lit(1.0)
     moves = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
@@ -148,12 +156,18 @@ def rate_column(steps: list[list[float]], domains: int, min_rate: float = 0.0, m
         along = sum((F.col("__posterior")[k] * step[k] for k in range(domains)), F.lit(0.0))
         return F.least(F.lit(float(max_rate)), F.greatest(F.lit(float(min_rate)), rate - along))
 
-    return F.aggregate(moves, F.lit(1.0), moved)
+    rate = F.aggregate(moves, F.lit(1.0), moved)
+    return rate if whole is None else F.when(_likeliest(whole), F.lit(1.0)).otherwise(rate)
+
+
+def _likeliest(domain: int) -> Column:
+    return F.col("__posterior")[domain] >= F.array_max("__posterior")
 
 
 def fit_rates(soft: DataFrame, names: list[str], targets: dict[str, float], total_tokens: float | None = None,
-              most_steps: int = 60, tolerance: float = 1e-4, **bounds: float) -> list[list[float]]:
+              most_steps: int = 60, tolerance: float = 1e-4, whole: str | None = None, **bounds: float) -> list[list[float]]:
     """Steps of the projected gradient; ``soft`` comes from ``with_domains``.
+    With ``whole`` the totals follow from that domain's.
 
     Least squares of the domains' token totals, whitened by how the documents'
     tokens move them (the domains' Gram matrix), so that small domains converge
@@ -161,24 +175,33 @@ def fit_rates(soft: DataFrame, names: list[str], targets: dict[str, float], tota
     """
     k = len(names)
     weights = np.array([max(0.0, float(targets.get(n, 0.0))) for n in names])
+    at = _place(names, whole)
+    if at is not None and (not weights[at] or total_tokens is not None):
+        raise ValueError("whole needs a target, and sets the totals itself")
+    fitted = np.array([i != at for i in range(k)], float)
     p = [F.col("__posterior")[i] for i in range(k)]
-    sums = soft.agg(F.coalesce(F.sum("__n_tokens"), F.lit(0)), *[F.coalesce(F.sum(F.col("__n_tokens") * a * b), F.lit(0.0)) for a in p for b in p]).first()
-    tokens = float(sums[0])
+    moved = F.col("__n_tokens") if at is None else F.when(_likeliest(at), 0).otherwise(F.col("__n_tokens"))
+    sums = soft.agg(F.coalesce(F.sum("__n_tokens"), F.lit(0)), *[F.coalesce(F.sum(F.col("__n_tokens") * a), F.lit(0.0)) for a in p],
+                    *[F.coalesce(F.sum(moved * a * b), F.lit(0.0)) for a in p for b in p]).first()
+    tokens, have = float(sums[0]), np.array(sums[1:k + 1], float)
     if not tokens or not weights.sum():
         return []
-    gram = np.array(sums[1:], float).reshape(k, k)
-    goal = weights / weights.sum() * (tokens if total_tokens is None else total_tokens)
+    gram = np.array(sums[k + 1:], float).reshape(k, k) * np.outer(fitted, fitted)
+    if at is None:
+        goal = weights / weights.sum() * (tokens if total_tokens is None else total_tokens)
+    else:
+        goal = np.minimum(have, have[at] * weights / weights[at])
     whiten = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     steps: list[list[float]] = []
     last = None
     for _ in range(most_steps):
-        rate = rate_column(steps, k, **bounds)
+        rate = rate_column(steps, k, whole=at, **bounds)
         now = np.array(soft.select("__n_tokens", "__posterior", rate.alias("rate")).agg(
             *[F.coalesce(F.sum(F.col("rate") * F.col("__n_tokens") * a), F.lit(0.0)) for a in p]).first(), float)
-        if np.abs(now - goal).max() <= tolerance * goal.sum() or last is not None and np.abs(now - last).max() <= 0.01 * tolerance * goal.sum():
+        if np.abs((now - goal) * fitted).max() <= tolerance * goal.sum() or last is not None and np.abs(now - last).max() <= 0.01 * tolerance * goal.sum():
             break
         last = now
-        steps.append([float(x) for x in whiten @ (now - goal)])
+        steps.append([float(x) for x in whiten @ ((now - goal) * fitted)])
     return steps
 
 
@@ -190,13 +213,17 @@ def domain_rates(docs: DataFrame, labels: DataFrame, domain: str, targets: dict[
     domains = fit_domains(source, labels, domain)
     soft = stage(with_domains(source, domains, ["doc_id"]), "mix-posteriors")
     steps = fit_rates(soft, domains.names, targets, **options)
-    rated = soft.withColumn("rate", rate_column(steps, len(domains.names), **_bounds(options)))
+    rated = soft.withColumn("rate", rate_column(steps, len(domains.names), **_bounds(options, domains.names)))
     rated = rated.withColumn("copies", copies("rate"))
     return rated.withColumnsRenamed({"__n_tokens": "n_tokens", "__posterior": "posterior"}), domains.names, steps
 
 
-def _bounds(options: dict) -> dict:
-    return {k: v for k, v in options.items() if k in ("min_rate", "max_rate")}
+def _place(names: list[str], whole: str | None) -> int | None:
+    return names.index(whole) if whole in names else None
+
+
+def _bounds(options: dict, names: list[str]) -> dict:
+    return {k: v for k, v in options.items() if k in ("min_rate", "max_rate")} | {"whole": _place(names, options.get("whole"))}
 
 
 def copies(rate: str) -> Column:
@@ -211,7 +238,7 @@ def mix(docs: DataFrame, labels: DataFrame, domain: str, targets: dict[str, floa
     domains = fit_domains(docs, labels, domain)
     soft = stage(with_domains(id_and_text(docs), domains, ["doc_id"]), "mix-posteriors")
     steps = fit_rates(soft, domains.names, targets, **options)
-    rated = (with_domains(docs, domains).withColumn("__rate", rate_column(steps, len(domains.names), **_bounds(options)))
+    rated = (with_domains(docs, domains).withColumn("__rate", rate_column(steps, len(domains.names), **_bounds(options, domains.names)))
              .withColumn("__copies", copies("__rate")).where("__copies > 0"))
     if repeat:
         rated = rated.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))

@@ -161,6 +161,36 @@ def test_mixing_odd(spark):
     assert mixing.mix(frame(spark, []), known, queries.LABEL_DOMAIN, queries.TARGETS).count() == 0
 
 
+@pytest.mark.parametrize("clean", [0.99, 0.6])
+def test_the_pipelines_mixing_keeps_every_clean_document(spark, tmp_path, clean):
+    kinds = {i: "clean" if i < 2000 * clean else ("toxic", "poor")[i % 2] for i in range(2000)}
+    words = {"clean": "plain", "toxic": "vile", "poor": "junk"}
+    d = docs(spark, [(i, f"{words[k]} text number n{i % 9}") for i, k in kinds.items()])
+    labels(spark, [(i, int(k != "poor"), int(k == "toxic")) for i, k in kinds.items()]).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = Counter(kinds[r.doc_id] for r in corpus_pipeline.mix_domains(spark, d, str(tmp_path)).collect())
+    have = Counter(kinds.values())
+    assert kept["clean"] == have["clean"]
+    for k, target in (("toxic", 0.03), ("poor", 0.02)):
+        goal = min(have[k], have["clean"] * target / 0.95)
+        assert abs(kept[k] - goal) <= (0 if goal == have[k] else 4 * goal ** 0.5)
+
+
+def test_rates_with_a_whole_domain(spark):
+    rng = np.random.default_rng(8)
+    n, p = rng.integers(1, 100, 600), rng.dirichlet([0.3, 0.1, 0.1], 600)
+    soft = spark.createDataFrame([(i, int(a), [float(x) for x in b]) for i, (a, b) in enumerate(zip(n, p, strict=True))],
+                                 "doc_id long, __n_tokens long, __posterior array<double>")
+    steps = mixing.fit_rates(soft, ["a", "b", "c"], {"a": 0.6, "b": 0.25, "c": 0.15}, tolerance=1e-6, whole="a", max_rate=1.0)
+    rates = np.array([r[0] for r in soft.orderBy("doc_id").select(mixing.rate_column(steps, 3, max_rate=1.0, whole=0)).collect()])
+    mine = p[:, 0] >= p.max(1)
+    assert (rates[mine] == 1).all() and (rates <= 1).all() and (rates >= 0).all()
+    have = (p * n[:, None]).sum(0)
+    goal = np.minimum(have, have[0] * np.array([0.6, 0.25, 0.15]) / 0.6)
+    assert np.abs((p * n[:, None]).T @ rates - goal)[1:].max() < 2e-3 * n.sum()
+    with pytest.raises(ValueError):
+        mixing.fit_rates(soft, ["a", "b", "c"], {"b": 1.0}, whole="a")
+
+
 # ------------------------------------------------------------------ nearest neighbours
 def plain_nearest(vectors, asked, k):
     x = {i: np.array(v, float) for i, v in vectors}
