@@ -5,9 +5,11 @@ routed to context-size tiers, powers of two up to ``max_tokens``: full long
 windows are cut off directly, the rest of a document goes to the shortest tier
 that holds it. Tiers are packed from the longest down. The gap that a window
 of a tier leaves is filled from the shorter tiers, longest fitting piece
-first, and at last by cutting a piece, so every window is full. What remains
-at the end of a task is less than one long window; its binary digits give
-windows of smaller powers of two, which need no padding either.
+first, and at last by cutting a piece, so every window is full. Every flush of
+``buffer_tokens`` packs all tiers like this and keeps what fills no window of its
+tier for the next one, so tiers do not change with the size of a task. What
+remains at the end of a task is less than one long window; its binary digits
+give windows of smaller powers of two, which need no padding either.
 
 Windows of a tier are then dealt into step groups of equal token counts,
 balanced by attention cost (the sum of squared piece lengths): within a group
@@ -107,8 +109,7 @@ class Packer:
         windows = []
         for tier in reversed(self.tiers):
             pool = self.pools[tier]
-            # A short tier's own windows are kept for the end: until then its pieces fill gaps.
-            while pool and (tier == self.max_tokens or last) and self.pending >= tier:
+            while pool and self.pending >= tier:
                 first = pool.pop()
                 self.pending -= len(first)
                 if len(first) > tier:
@@ -117,11 +118,7 @@ class Packer:
                 windows.append(self._fill(tier, first))
                 pool = self.pools[tier]
         if not last:
-            while self.pending >= 2 * self.max_tokens:
-                windows.append(self._fill(self.max_tokens))
             return windows
-        while self.pending >= self.max_tokens:
-            windows.append(self._fill(self.max_tokens))
         for k in reversed(range(self.max_tokens.bit_length())):
             if self.pending >= 1 << k:
                 windows.append(self._fill(1 << k))

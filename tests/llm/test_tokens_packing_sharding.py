@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_fixtures import frame, odd_rows
+from llm_fixtures import docs, frame, odd_rows
 
 from ebbflow.llm import packing, sharding, token_counts
 from ebbflow.llm.word_tokens import TokenIds, load_tokenizer, prove_whole_tokens
@@ -94,6 +94,22 @@ def test_packing_fills_long_gaps_from_short_tiers():
     assert p.pack(last=True) == []
 
 
+def test_packing_tiers_do_not_depend_on_the_buffer(spark):
+    rng = random.Random(9)
+    sizes = [min(int(rng.lognormvariate(5.5, 1)) + 1, 6000) for _ in range(4000)]
+    source = docs(spark, [(i, "a " * n) for i, n in enumerate(sizes)]).coalesce(1)
+    shares = []
+    for buffer in (60_000, 10**9):
+        rows = packing.pack_documents(source, PATH, buffer_tokens=buffer).collect()
+        tokens = Counter()
+        for r in rows:
+            tokens[r.tier] += r.length
+        shares.append({t: tokens[t] / sum(tokens.values()) for t in (256, 512, 1024, 2048)})
+        assert sum(tokens.values()) == sum({r.doc_id: r.doc_tokens for r in rows}.values())
+    assert all(abs(shares[0][t] - shares[1][t]) < 0.03 for t in shares[0]), shares
+    assert min(shares[1].values()) > 0.05
+
+
 def test_step_groups_are_balanced():
     rng = random.Random(3)
     windows = [(1024, rng.randint(1, 1000)) for _ in range(64)] + [(256, 5)] * 3
