@@ -10,7 +10,7 @@ from llm_fixtures import docs, frame, odd_rows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ebbflow.llm import language_model, mixing, multi_index, quality, queries
+from ebbflow.llm import language_model, mixing, multi_index, quality, queries, word_tokens
 from ebbflow.llm.common import table
 from ebbflow.llm.shared_filter import shared_filter
 from ebbflow.llm.text_features import NAMES, statistics
@@ -280,6 +280,56 @@ def test_pipeline(spark):
     assert {p.doc_id for p in pieces} == kept
 
 
+def test_pipeline_is_the_plain_one(spark, tmp_path):
+    rng = random.Random(13)
+    made = {}  # id: text, quality, toxic
+    for i in range(400):
+        words = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('lmnrst')}{rng.choice('aeiou')}" for _ in range(rng.randint(30, 90))]
+        kind = "poor" if i % 10 == 0 else "toxic" if i % 10 < 3 else "clean"
+        if kind == "poor":
+            words = [w.upper() + "!!%" for w in words]
+        elif kind == "toxic":
+            words = [x for w in words for x in (w, rng.choice(["vile", "nasty"]))]
+        made[i] = (" ".join(words), int(kind != "poor"), int(kind == "toxic"))
+    for k, i in enumerate(rng.sample(sorted(made), 60)):
+        text, *kinds = made[i]
+        made[1000 + k] = (text.upper() if k % 3 == 0 and kinds[0] == 0 else text + " end" if k % 2 else text, *kinds)
+    docs(spark, [(i, t) for i, (t, _, _) in made.items()]).write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark, [(i, q, x) for i, (_, q, x) in made.items()]).write.parquet(f"{tmp_path}/labels.parquet")
+    known = table(spark, str(tmp_path), "labels")
+
+    scored = quality.score_quality(table(spark, str(tmp_path), "documents"), known).collect()
+    good = {r.doc_id: made[r.doc_id][0] for r in scored if r.predicted}
+    by_text = {}
+    for i in sorted(good):
+        by_text[good[i].lower()] = i  # the largest id stays
+    single = {i: good[i] for i in by_text.values()}
+    sets = {i: {tuple(w[k:k + 5]) for w in [t.lower().split()] for k in range(len(w) - 4)} for i, t in single.items()}
+    root = {i: i for i in single}
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if r == b else r for k, r in root.items()}
+    apart = {i: t for i, t in single.items() if root[i] == i}
+    rates, _, _ = mixing.domain_rates(docs(spark, apart.items()), known, queries.LABEL_DOMAIN, queries.TARGETS, max_rate=1.0, whole=corpus_pipeline.WANTED)
+    drawn = {r.doc_id for r in rates.collect() if r.copies}
+    assert len(made) > len(good) > len(single) > len(apart) > len(drawn)
+
+    library, pieces = word_tokens.load_tokenizer(queries.WORD_BPE), {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+    assert set(pieces) == drawn
+    for i, found in pieces.items():
+        ids, at = np.array([*library.encode(made[i][0], add_special_tokens=False).ids, 1], "<u4"), 0
+        for r in sorted(found, key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at:at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+    clean = {i for i in apart if made[i][1:] == (1, 0)}
+    assert clean and clean <= drawn
+
+
 def queries_stage(df):
     from ebbflow.llm.common import stage
     return stage(df, "test-pipeline")
