@@ -12,7 +12,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import exact_dedup, jaccard_join, language_model, mixing, multi_index, packing, quality, repeated_text, sharding, token_counts
+from ebbflow.llm import (exact_dedup, jaccard_join, language_model, mixing, multi_index, packing, quality, ranked_search, repeated_text,
+                         secret_scan, sharding, square_runs, token_counts)
 from ebbflow.llm.common import prepare, table
 
 WORD_BPE = tokenizer_path("word_bpe_49k.json")
@@ -71,13 +72,31 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.summary(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op12_square_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document gets a repeated stretch before its runs are caught."""
+    docs = square_runs.with_repeated_stretches(table(spark, sf_dir, "documents"))
+    return square_runs.summary(square_runs.periodic_runs(docs, least_length=6, exponent=4))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_multi_index, op3_mixing, op4_language_model, op5_jaccard_join, op6_exact_dedup,
-                            op7_repeated_text, op8_sharding, op9_quality, op10_token_counts)}
+                            op7_repeated_text, op8_sharding, op9_quality, op10_token_counts,
+                            op11_secret_scan, op12_square_runs, op13_ranked_search)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
 def oracle_sql() -> dict[str, str]:
     words = f"[w FOR w IN string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+') IF w <> '']"
     owner = ",".join(map(str, sharding.fill_table(SHARDS)))
@@ -100,6 +119,18 @@ def oracle_sql() -> dict[str, str]:
                  g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
             SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.norm) AS text_sha256
             FROM t JOIN g USING (norm)""",
+        "op13_ranked_search": f"""
+            WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS t FROM documents),
+                 g AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+                 q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark),
+                 o AS (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d),
+                 f AS (SELECT doc_id, n, term, count(*) AS tf FROM o WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+                 w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, g GROUP BY term),
+                 s AS (SELECT item_id, doc_id,
+                              sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+                       FROM q JOIN f USING (term) JOIN w USING (term), g GROUP BY item_id, doc_id),
+                 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+            SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10""",
         "op8_sharding": f"""
             WITH t AS (SELECT doc_id, lang, source, n_chars,
                               ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % {sharding.TABLE_SIZE} AS slot FROM documents)
