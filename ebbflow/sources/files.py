@@ -2,20 +2,25 @@
 
 Flow (S1-S9, S16):
 
-1. ``list_source_files``: one ``binaryFile`` listing job (content column pruned,
-   so no file is read). Zero-byte files do not produce listing rows, so they
-   are added back from the scan's own file index (``inputFiles``). Paths are
-   kept as they are, not percent-encoded (``paths``).
-2. ``probe_files``: one task per batch of files opens each file (paths that are
-   not ``file:`` through Spark's ``binaryFile`` source), sniffs the gzip magic, reads the header
-   line and (for gzip) streams the rest through zlib to prove the stream is
-   complete. One output row per *file*; nothing about the rows goes through
-   Python.
+1. ``list_source_files``: the ``ebbflow_files`` source (``listing``) lists names that
+   start with ``_`` or ``.`` and zero-byte files too. Roots that it cannot reach
+   (globs, schemes unknown to Arrow) go to Spark's ``binaryFile`` listing (content
+   column pruned), which leaves hidden names out. Paths are kept as they are, not
+   percent-encoded (``paths``).
+2. ``probe_files``: one task per batch of files opens each file (``blocks.open_file``;
+   paths that workers cannot open come through Spark's ``binaryFile`` source), sniffs
+   the gzip magic, reads the header record and (for gzip) streams the rest through
+   zlib to prove the stream is complete. One output row per *file*; nothing about the
+   rows goes through Python.
 3. ``classify_files``: OK / EMPTY_FILE / UNREADABLE / CORRUPT_GZIP / NO_HEADER.
 4. ``scan_csv``: OK files are grouped by (header, compression); one Spark CSV
    read per group with an all-string schema taken from that header, so columns
    map by *name* across drifting headers, then ``unionByName``. Rows with too
    few or too many fields are split off via ``_corrupt_record`` (PERMISSIVE).
+   Files that this reader cannot split or open well are read as records by
+   ``blocks`` and parsed by ``from_csv``, Spark's parser: plain files longer than
+   ``split_bytes`` (many tasks for one file), hidden names, and gzip members
+   followed by padding.
 """
 
 from __future__ import annotations
@@ -23,7 +28,9 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import re
 import zlib
+from collections import defaultdict
 from dataclasses import dataclass
 
 import pandas as pd
@@ -35,6 +42,7 @@ from ebbflow import config as C
 from ebbflow.functions import columns as X
 from ebbflow.functions.names import unique_clean_names
 from ebbflow.session import scratch_path, ship_package
+from ebbflow.sources import blocks, listing
 from ebbflow.sources.paths import glob_escape, norm_path, plain, plain_path
 
 # Reads plain text even when the file name ends in .gz. The bundled Hadoop
@@ -62,12 +70,16 @@ PROBE_SCHEMA = T.StructType([
     T.StructField("intact", T.BooleanType()),
     T.StructField("file_hash", T.StringType()),
     T.StructField("probe_error", T.StringType()),
+    T.StructField("line_sep", T.StringType()),
+    T.StructField("padded", T.BooleanType()),
 ])
 
 STATUS_OK = "OK"
+MAX_CELL = 1 << 30  # bytes of a file that one cell takes
+SPLIT_BYTES = 128 << 20  # a longer plain file is read by several tasks
 
 # Names that the scan and the processing add; a source column of such a name gets a suffix.
-RESERVED_COLUMNS = ("filename", "prefix", "date", "_time", "table_name", "_corrupt_record", "__malformed",
+RESERVED_COLUMNS = ("filename", "prefix", "date", "_time", "table_name", "_corrupt_record", "__malformed", "batch_id", "reason",
                     *(name for _, name in C.PUBLISHER_PARAM_KEYS))
 
 
@@ -76,14 +88,28 @@ def list_source_files(spark: SparkSession, root: str | list[str],
     """``path, file_name, length, modification_time`` for every file under
     ``root`` whose name ends with ``suffix`` (S1), or matches ``name_glob``. Listing errors raise."""
     roots = [root] if isinstance(root, str) else list(root)
-    listing = (spark.read.format("binaryFile")
-               .option("pathGlobFilter", name_glob or f"*{suffix}")
-               .option("recursiveFileLookup", "true")
-               .load(roots))
-    rows = listing.select(norm_path(F.col("path")).alias("path"), "length",
-                          F.col("modificationTime").alias("modification_time"))
+    pattern = name_glob or f"*{suffix}"
+    if all(listing.can_list(r) for r in roots):
+        rows = listing.list_files(spark, roots).where(F.col("path").endswith(suffix)).select(
+            "path", file_name("path").alias("file_name"), "length", "modification_time")
+        return rows.where(F.col("file_name").rlike(_glob_regex(pattern)))
+    return _spark_listing(spark, roots, suffix, pattern)
+
+
+def _glob_regex(pattern: str) -> str:
+    """The file-name patterns that ``window_glob`` makes: text and ``*``."""
+    return "^" + ".*".join(re.escape(x) for x in pattern.split("*")) + "$"
+
+
+def _spark_listing(spark: SparkSession, roots: list[str], suffix: str, pattern: str) -> DataFrame:
+    found = (spark.read.format("binaryFile")
+             .option("pathGlobFilter", pattern)
+             .option("recursiveFileLookup", "true")
+             .load(roots))
+    rows = found.select(norm_path(F.col("path")).alias("path"), "length",
+                        F.col("modificationTime").alias("modification_time"))
     # Zero-byte files never become rows; the same index of files still has them.
-    indexed = [plain(p) for p in listing.inputFiles()]
+    indexed = [plain(p) for p in found.inputFiles()]
     indexed = [(p,) for p in indexed if p.endswith(suffix)]
     if indexed:
         every = spark.createDataFrame(indexed, "path string")
@@ -150,89 +176,104 @@ def window_glob(suffix: str, date: str | None, hour: str | int | None) -> str:
 
 
 # ----------------------------------------------------------------- probe
+HEADER_BYTES = 16 << 20  # a file whose first record is longer has no header
+
+
 def _header_fields(line: bytes) -> list[str]:
-    text = line.decode("utf-8", errors="replace").lstrip("﻿").rstrip("\r\n")
+    text = line.decode("utf-8", errors="replace").lstrip("\ufeff").rstrip("\r\n")
     if not text:
         return []
-    return next(csv.reader(io.StringIO(text), quotechar='"', doublequote=True))
+    return next(csv.reader(io.StringIO(text, newline=""), quotechar='"', doublequote=True))
 
 
 def _probe_stream(f, verify_gzip: bool, hash_bytes: bool, chunk: int = 1 << 20):
-    """(is_gzip, header, intact, sha256-or-None) for one file-like object,
-    streamed in ``chunk``s.
+    """(is_gzip, header, intact, sha256-or-None, line end, padded) for one
+    file-like object, streamed in ``chunk``s.
 
-    Reads only until the header line is complete unless the gzip stream has to
+    Reads only until the header record is complete unless the gzip stream has to
     be verified or the stored bytes hashed, in which case the whole file is
-    streamed once (constant memory)."""
+    streamed once (constant memory). Zero bytes after a gzip member are padding;
+    anything else there that is no further member is not intact."""
     h = hashlib.sha256() if hash_bytes else None
     buf = f.read(chunk)
     if not buf:
-        return False, [], True, (h.hexdigest() if h else None)
+        return False, [], True, (h.hexdigest() if h else None), None, False
     is_gzip = buf[:2] == b"\x1f\x8b"
     full = hash_bytes or (is_gzip and verify_gzip)
     d = zlib.decompressobj(31) if is_gzip else None
-    head = b""
-    intact = not is_gzip
+    head, end = b"", None
+    intact, padded = True, False
+    fresh, broken = False, False  # between two gzip members; the stream does not inflate
+
+    def take(out: bytes) -> None:
+        nonlocal head, end
+        if end is None and len(head) <= HEADER_BYTES:
+            head += out
+            end = blocks.header_end(head, whole=False)
+
     while buf:
         if h is not None:
             h.update(buf)
-        if d is not None:
-            data = buf
-            while data:
-                out = d.decompress(data)
-                if b"\n" not in head:
-                    head += out
-                if d.eof:
-                    intact = True
-                    data = d.unused_data
-                    if data:  # another gzip member follows
-                        d = zlib.decompressobj(31)
-                        intact = False
-                else:
-                    if out or data:
-                        intact = False
-                    data = b""
-        elif b"\n" not in head:
-            head += buf
-        if b"\n" in head and not full:
+        if d is None:
+            take(buf)
+        data = buf if d is not None and not broken else b""
+        while data:
+            if fresh:
+                rest = data.lstrip(b"\0")
+                padded = padded or len(rest) < len(data)
+                if not rest:
+                    break
+                d, data, fresh = zlib.decompressobj(31), rest, False
+            try:
+                for out in blocks.inflated(d, data, chunk):
+                    take(out)
+            except zlib.error:
+                broken = True
+            data, fresh = d.unused_data, d.eof
+        if end is not None and not full:
             break
         buf = f.read(chunk)
-    if is_gzip and not full:
-        intact = True
-    return is_gzip, _header_fields(head.split(b"\n", 1)[0]), intact, (h.hexdigest() if h else None)
-
+    if d is not None and full:
+        intact = d.eof and not broken
+    if end is None and not buf and len(head) <= HEADER_BYTES:
+        end = blocks.header_end(head, whole=True)
+    header, line_sep = (_header_fields(head[:end[0]]), end[1]) if end else ([], None)
+    return is_gzip, header, intact, (h.hexdigest() if h else None), line_sep, padded
 
-def _probe_one(path: str, verify_gzip: bool, hash_bytes: bool):
-    with open(path.removeprefix("file:"), "rb") as f:
-        return _probe_stream(f, verify_gzip, hash_bytes)
 
+PROBE_COLUMNS = [f.name for f in PROBE_SCHEMA]
 
-PROBE_COLUMNS = ["path", "is_gzip", "header", "intact", "file_hash", "probe_error"]
 
 def _probe_rows(items):
     out = []
     for path, opener in items:
         try:
-            g, hd, ok, digest = opener()
+            g, hd, ok, digest, sep, padded = opener()
             err = None
         except Exception as e:  # noqa: BLE001 - any failure quarantines the file
-            g, hd, ok, digest, err = None, None, False, None, f"{type(e).__name__}: {e}"
-        out.append((path, g, hd, ok, digest, err))
+            g, hd, ok, digest, err, sep, padded = None, None, False, None, f"{type(e).__name__}: {e}", None, None
+        out.append((path, g, hd, ok, digest, err, sep, padded))
     return pd.DataFrame(out, columns=PROBE_COLUMNS)
 
 
+def _probe_one(path: str, verify_gzip: bool, hash_bytes: bool):
+    with blocks.open_file(path) as f:
+        return _probe_stream(f, verify_gzip, hash_bytes)
+
+
 def probe_files(listing: DataFrame, verify_gzip: bool = True, hash_bytes: bool = False) -> DataFrame:
-    """Listing + ``is_gzip, header, intact, file_hash, probe_error`` (one row per file).
+    """Listing + ``is_gzip, header, intact, file_hash, probe_error, line_sep, padded`` (one row per file).
 
-    Every path is opened by its own scheme: ``file:`` paths are streamed; all
-    others are read by Spark's ``binaryFile`` source, so with the Hadoop
-    credentials and endpoints that the scan itself uses (one file per cell, up
-    to the 2 GB that a cell holds).
+    Files are opened by the task, ``file:`` paths as they are and others through
+    Arrow's file systems, and streamed. Files of a scheme that Arrow cannot open
+    (tried on one file of it) are read by Spark's ``binaryFile`` source, so with
+    the Hadoop credentials that the scan itself uses, one file per cell and up to
+    the 2 GB that a cell holds; longer ones are unreadable.
     """
     spark = listing.sparkSession
     ship_package(spark)
-    paths = listing.where(F.col("length") > 0).select("path")
-    local = F.col("path").startswith("file:")
+    paths = listing.where(F.col("length") > 0).select("path", "length")
+    scheme = F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
 
     def run(batches):
         for pdf in batches:
@@ -245,13 +286,22 @@ def probe_files(listing: DataFrame, verify_gzip: bool = True, hash_bytes: bool =
                 [(p, (lambda c=c: _probe_stream(io.BytesIO(c), verify_gzip, hash_bytes)))
                  for p, c in zip(pdf["path"], pdf["content"])])
 
+    # One file of each scheme tells whether tasks can open it; local ones need no look.
+    tried = paths.where(~F.col("path").startswith("file:")).groupBy(scheme.alias("scheme")).agg(F.min("path").alias("path")).collect()
+    closed = [r["scheme"] for r in tried if not blocks.reachable(r["path"])]
+    cells = scheme.isin(closed) if closed else F.lit(False)
     # Spread files over tasks; the listing is one small row per file.
     n = max(1, spark.sparkContext.defaultParallelism)
-    probed = paths.where(local).repartition(n).mapInPandas(run, PROBE_SCHEMA)
-    remote = [glob_escape(r["path"]) for r in paths.where(~local).collect()]  # file metadata, one row per file
-    if remote:
-        blobs = spark.read.format("binaryFile").load(remote).select(norm_path(F.col("path")).alias("path"), "content")
-        probed = probed.unionByName(blobs.mapInPandas(run_bytes, PROBE_SCHEMA))
+    probed = paths.where(~cells).select("path").repartition(n).mapInPandas(run, PROBE_SCHEMA)
+    if closed:
+        remote = paths.where(cells)
+        fits = [glob_escape(r["path"]) for r in remote.where(F.col("length") <= MAX_CELL).collect()]  # file metadata, one row per file
+        if fits:
+            blobs = spark.read.format("binaryFile").load(fits).select(norm_path(F.col("path")).alias("path"), "content")
+            probed = probed.unionByName(blobs.mapInPandas(run_bytes, PROBE_SCHEMA))
+        too_long = remote.where(F.col("length") > MAX_CELL).select("path", F.lit(False).alias("intact"),
+                                                                   F.lit("too long for a cell").alias("probe_error"))
+        probed = probed.unionByName(too_long, allowMissingColumns=True)
     return listing.join(probed, "path", "left")
 
 
@@ -260,7 +310,7 @@ def classify_files(probed: DataFrame, required: list[str] | None = None) -> Data
     status = (F.when(F.col("length") == 0, F.lit("EMPTY_FILE"))
               .when(F.col("probe_error").isNotNull(), F.concat(F.lit("UNREADABLE: "), F.col("probe_error")))
               .when(~F.col("intact"), F.lit("CORRUPT_GZIP"))
-              .when(F.size("header") == 0, F.lit("NO_HEADER")))
+              .when(F.col("header").isNull() | (F.size("header") == 0), F.lit("NO_HEADER")))
     if required:
         clean = F.transform("header", lambda h: F.lower(F.trim(F.regexp_replace(h, r"[{}]", ""))))
         missing = F.array_except(F.array(*[F.lit(c) for c in required]), clean)
@@ -300,25 +350,57 @@ def _read_group(spark: SparkSession, paths: list[str], header: list[str], is_gzi
                      plain_path(F.col("_metadata.file_path")).alias("filename"))
 
 
-def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff") -> ScanResult:
+def _read_split(spark: SparkSession, files: DataFrame, header: list[str], split_bytes: int) -> DataFrame:
+    """The same rows from records: ``files (path, length, line_sep, gzipped)`` of one header."""
+    names = unique_clean_names(header, RESERVED_COLUMNS)
+    plain_files = files.where(~F.col("gzipped"))
+    whole = files.where(F.col("gzipped")).select("path", "line_sep", F.lit(0).cast("long").alias("begin"), F.col("length").alias("end"), "gzipped")
+    ranges = blocks.record_ranges(plain_files, split_bytes).withColumn("gzipped", F.lit(False)).unionByName(whole)
+    found = blocks.read_records(ranges, blocks.n_tasks(files, split_bytes))
+    ddl = ", ".join(f"c{i} string" for i in range(len(names))) + ", _corrupt_record string"
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+    row = F.from_csv("value", ddl, options).alias("row")
+    parsed = found.select("filename", row)
+    return parsed.select(*[F.col(f"row.c{i}").alias(n) for i, n in enumerate(names)], F.col("row._corrupt_record").alias("_corrupt_record"),
+                         F.col("row._corrupt_record").isNotNull().alias("__malformed"), "filename")
+
+
+def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff", split_bytes: int = SPLIT_BYTES) -> ScanResult:
     """Read every OK file once, union by column name.
 
     ``compression``: ``sniff`` (gzip magic decides per file), ``none`` (every
-    file is plain text whatever its name) or ``gzip``.
+    file is plain text whatever its name) or ``gzip``. Plain files longer than
+    ``split_bytes`` are read by several tasks.
     """
-    ok = files.where(F.col("status") == STATUS_OK)
+    gzipped = F.lit(False) if compression == "none" else F.lit(True) if compression == "gzip" else F.coalesce("is_gzip", F.lit(False))
+    hidden = F.col("file_name").rlike("^[_.]")
+    # A reader that needs the file in whole takes those that tasks cannot open themselves.
+    by_records = (hidden | (gzipped & F.coalesce("padded", F.lit(False))) | (~gzipped & (F.col("length") > split_bytes)))
+    ok = files.where(F.col("status") == STATUS_OK).withColumns({"gzipped": gzipped, "by_records": by_records})
     # The readers need path lists. Paths are file metadata the driver already
     # listed (one row per file, never rows of data); they are fetched as plain
     # rows and grouped here, so no task has to build one list per group.
     # A header comes once per distinct one, a path with its header's number.
-    groups: dict[tuple, list[str]] = {}
+    groups: dict[tuple, list[str]] = defaultdict(list)
     number = F.xxhash64("header")
     headers = {r["number"]: tuple(r["header"])
                for r in ok.groupBy(number.alias("number")).agg(F.first("header").alias("header")).collect()}
-    for r in ok.select(number.alias("number"), "is_gzip", "path").collect():
-        groups.setdefault((headers[r["number"]], bool(r["is_gzip"])), []).append(r["path"])
+    split = set()
+    opened: dict[str, bool] = {}
+    for r in ok.select(number.alias("number"), "gzipped", "by_records", "path").collect():
+        scheme = r["path"].split(":", 1)[0]
+        if r["by_records"] and opened.setdefault(scheme, blocks.reachable(r["path"])):
+            split.add(r["number"])
+        else:
+            groups[headers[r["number"]], r["gzipped"]].append(r["path"])
     frames = [_read_group(spark, sorted(paths), list(header), is_gzip, compression)
               for (header, is_gzip), paths in sorted(groups.items(), key=lambda kv: min(kv[1]))]
+    closed = [s for s, is_open in opened.items() if not is_open]
+    records = ok.where(F.col("by_records"))
+    if closed:
+        records = records.where(~F.split("path", ":")[0].isin(closed))
+    frames += [_read_split(spark, records.where(number == n).select("path", "length", "line_sep", "gzipped"), list(headers[n]), split_bytes)
+               for n in sorted(split)]
     if not frames:
         empty = empty_events(spark)
         return ScanResult(empty, spark.createDataFrame([], "filename string, _corrupt_record string"), files)
@@ -334,14 +416,14 @@ def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff")
 def load_events(spark: SparkSession, root: str | list[str], compression: str = "sniff",
                 verify_gzip: bool = True, date: str | None = None, hour: str | int | None = None,
                 tenants: list[str] | None = None, hash_bytes: bool = False,
-                required_columns: list[str] | None = None) -> ScanResult:
+                required_columns: list[str] | None = None, split_bytes: int = SPLIT_BYTES) -> ScanResult:
     """List -> window -> probe -> classify -> scan. The per-file classification
     is small (one row per file) and is written to the shared scratch folder
     because both the scan planning and the quarantine use it. ``required_columns`` (cleaned names) sends files
     whose header lacks any of them to quarantine as ``MISSING_COLUMNS: ...``."""
     listed = list_source_files(spark, root, name_glob=window_glob(C.SOURCE_SUFFIX, date, hour))
-    listing = source_window(listed, date, hour, tenants)
-    probed = classify_files(probe_files(listing, verify_gzip, hash_bytes), required_columns)
+    windowed = source_window(listed, date, hour, tenants)
+    probed = classify_files(probe_files(windowed, verify_gzip, hash_bytes), required_columns)
     path = scratch_path(spark, "files")
     probed.write.parquet(path)
-    return scan_csv(spark, spark.read.schema(probed.schema).parquet(path), compression)
+    return scan_csv(spark, spark.read.schema(probed.schema).parquet(path), compression, split_bytes)
