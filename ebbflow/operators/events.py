@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow import config as C
@@ -50,6 +50,26 @@ def process_events(raw: DataFrame, clock: C.RunClock) -> DataFrame:
     )
 
 
+BAD_CREATED_AT, BAD_JSON = "BAD_CREATED_AT", "BAD_JSON"
+
+
+def reject_reason() -> Column:
+    """Why a row's values do not parse (H4): the first of an epoch that is no number and parameters that are no JSON."""
+    bad_epoch = F.col("created_at").isNotNull() & X.epoch_to_date("created_at").isNull()
+    text = F.col("publisher_parameters")
+    return F.when(bad_epoch, F.lit(BAD_CREATED_AT)).when(text.isNotNull() & F.try_parse_json(text).isNull(), F.lit(BAD_JSON))
+
+
+def rejected_rows(raw: DataFrame) -> DataFrame:
+    """Rows that pass the filters and whose values do not parse, with ``reject_reason``.
+
+    Upstream ends the whole run at the first such row. Here processing goes on with NULLs, and these rows tell which.
+    """
+    df = ensure_columns(normalize_columns(raw))
+    kept = df.where(F.col("created_at").isNotNull() & X.activity_allowed("activity_kind"))
+    return kept.select("*", reject_reason().alias("reject_reason")).where(F.col("reject_reason").isNotNull())
+
+
 def json_params(raw: DataFrame) -> DataFrame:
     """The five publisher parameters for every raw row (X1), unfiltered."""
     df = normalize_columns(raw)

@@ -141,12 +141,24 @@ def content_checks(manifest: DataFrame, max_size: int = C.CONTENT_WARN_CHARS) ->
 
 def dedupe_latest(frame: DataFrame, key: str = "file_name",
                   order=("load_timestamp", "file_hash")) -> DataFrame:
-    """Latest row per key (by ``order``, descending), as a max_by aggregate.
-
-    Unlike a window over the key, the aggregate combines map-side, so a key
-    holding a third of all rows is reduced before the shuffle.
+    """Latest row per key (by ``order``, descending).
+
+    The winner is found on narrow columns: the order and a hash of the whole
+    row, as a ``max`` aggregate that combines map-side, so a key holding a third
+    of all rows is reduced before the shuffle and no content is sorted. The
+    content is then read again and joined to the winners. Rows alike in all
+    columns are one: among them a second aggregate, on those keys only, keeps
+    one.
     """
-    cols = [c for c in frame.columns if c != key]
-    picked = (frame.groupBy(key)
-              .agg(F.max_by(F.struct(*cols), F.struct(*[F.col(o) for o in order])).alias("__row")))
-    return picked.select(key, *[F.col(f"__row.{c}").alias(c) for c in cols])
+    cols = frame.columns
+    rank = F.struct(*[F.col(f"`{o}`") for o in order], F.xxhash64(*[F.col(f"`{c}`") for c in cols]),
+                    F.hash(*[F.col(f"`{c}`") for c in cols]))
+    parts = frame.select(F.col(f"`{key}`").alias("k0"), rank.alias("rank"))
+    best = parts.groupBy("k0", "rank").agg(F.count(F.lit(1)).alias("n")).groupBy("k0").agg(
+        F.max(F.struct("rank", "n")).alias("best"))
+    winners = best.select("k0", F.col("best.rank").alias("rank"), F.col("best.n").alias("n"))
+    row = frame.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(f"`{key}`").alias("own"), rank.alias("own_rank"))
+    found = row.join(winners, F.col("own").eqNullSafe(F.col("k0")) & F.col("own_rank").eqNullSafe(F.col("rank")))
+    alone = found.where("n = 1").select("row")
+    alike = found.where("n > 1").groupBy("k0", "rank").agg(F.any_value("row").alias("row")).select("row")
+    return alone.unionByName(alike).select(*[F.col("row").getField(c).alias(c) for c in cols])

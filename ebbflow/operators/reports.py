@@ -14,8 +14,9 @@ def processing_stats(processed: DataFrame, failed: DataFrame) -> DataFrame:
 
     Both sides are aggregated to one row per date; their rows are then brought
     together by date with a union and one more aggregate, which is the full
-    outer join of two keyed sides and needs no join. Failures are grouped by
-    the date of their failure timestamp.
+    outer join of two keyed sides and needs no join. Rows without a date match
+    nothing, so those of either side stay apart. Failures are grouped by the
+    date of their failure timestamp.
     """
     ok = processed.groupBy("load_date").agg(
         F.count(F.lit(1)).alias("total_files"),
@@ -25,7 +26,11 @@ def processing_stats(processed: DataFrame, failed: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("failed_files"),
         F.countDistinct("failure_reason").alias("distinct_failures"),
     )
-    j = ok.unionByName(bad, allowMissingColumns=True).groupBy("load_date").agg(
+    def undated(side: str):
+        return F.when(F.col("load_date").isNull(), F.lit(side)).alias("undated")
+
+    ok, bad = ok.select("*", undated("processed")), bad.select("*", undated("failed"))
+    j = ok.unionByName(bad, allowMissingColumns=True).groupBy("load_date", "undated").agg(
         *[F.sum(c).alias(c) for c in ("total_files", "total_records", "failed_files", "distinct_failures")])
     s = F.coalesce(F.col("total_files"), F.lit(0)).cast("bigint")
     f = F.coalesce(F.col("failed_files"), F.lit(0)).cast("bigint")

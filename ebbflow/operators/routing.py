@@ -4,10 +4,12 @@ A row goes to every table whose rule matches exactly (case-sensitive) on the
 rule's filter column and whose tenant list is NULL (all tenants) or contains
 the row's tenant. Routing is non-exclusive: a row can reach several tables.
 
-Plan: every row is unpivoted into one ``(filter_column, value)`` candidate per
-column the rules filter on (a codegen'd ``explode``, no extra scan), then
-equi-joined to the rules. Rules are a literal relation of known size, so Spark
-broadcasts them by its own threshold and shuffles beyond it.
+Plan: for each column that rules filter on, the row looks up its value in the
+rules of that column, grouped by value (one left equi-join each; rules are a
+literal relation of known size, so Spark broadcasts them by its own threshold
+and shuffles beyond it). Only then the rules found, less those not allowed for
+the tenant, are exploded, so a wide row is repeated once for each table that it
+goes to. Names added on the way are never those of source columns.
 """
 
 from __future__ import annotations
@@ -54,49 +56,50 @@ class RuleSet:
         values = ", ".join(f"({q(s)}, {q(c)}, {q(v)}, {arr(a)})" for s, c, v, a in self.rules)
         return spark.sql(f"SELECT * FROM VALUES {values} AS rules(suffix, filter_column, filter_value, allowed)")
 
+    def by_value(self, spark: SparkSession, column: str) -> DataFrame:
+        """``(value, found)``: the rules of a filter column, in an array by value."""
+        own = self.frame(spark).where(F.col("filter_column") == column)
+        return own.groupBy(F.col("filter_value").alias("value")).agg(F.collect_list(F.struct("suffix", "allowed")).alias("found"))
 
-def _candidates(processed: DataFrame, rules: RuleSet, tenant_col: str,
-                normalize_activity: bool, route_empty_tenant: bool) -> DataFrame:
-    def value(c: str):
-        v = F.col(c).cast("string")
-        # The activity filter is trim/case-insensitive while routing is exact;
-        # normalize_activity=True routes on the normalised value instead.
-        return X.normalized_activity(c) if (normalize_activity and c == "activity_kind") else v
-    cands = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("filter_column"), value(c).alias("filter_value"))
-        for c in rules.filter_columns
-    ]))
-    keep = F.col(tenant_col).isNotNull()
-    if not route_empty_tenant:
-        keep = keep & (F.col(tenant_col) != F.lit(""))
-    return (processed
-            .where(keep)
-            .select("*", cands.alias("__cand"))
-            .where(F.col("__cand.filter_value").isNotNull()))
+
+def fresh_names(taken: list[str], *wanted: str) -> list[str]:
+    """Names that no column has, in Spark's case-insensitive sense."""
+    seen, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in seen:
+            name = "_" + name
+        seen.add(name.lower())
+        out.append(name)
+    return out
 
 
 def routed_rows(processed: DataFrame, rules: RuleSet, tenant_col: str = "prefix",
-                normalize_activity: bool = False, route_empty_tenant: bool = True) -> DataFrame:
-    """Processed rows x matching rules, with ``suffix`` and ``table_name``.
+                normalize_activity: bool = False, route_empty_tenant: bool = True, table_col: str = "table_name") -> DataFrame:
+    """Processed rows x matching rules, with the table's name in ``table_col``.
 
     Defaults reproduce the original behaviour: exact activity match, and rows
     whose file name yields the empty tenant ``''`` are routed too (tables named
     ``_<suffix>``); ``route_empty_tenant=False`` leaves them unrouted.
     """
     spark = processed.sparkSession
-    rf = rules.frame(spark)
-    cand = _candidates(processed, rules, tenant_col, normalize_activity, route_empty_tenant)
-    joined = cand.join(
-        rf,
-        (F.col("__cand.filter_column") == rf["filter_column"])
-        & (F.col("__cand.filter_value") == rf["filter_value"]),
-        "inner",
-    ).where(rf["allowed"].isNull() | F.array_contains(rf["allowed"], F.col(tenant_col)))
-    return joined.select(
-        *[F.col(f"`{c}`") for c in processed.columns],
-        rf["suffix"].alias("suffix"),
-        X.table_name(F.col(tenant_col), rf["suffix"]).alias("table_name"),
-    )
+    source = [c for c in processed.columns if c != table_col]
+    tenant = F.col(f"`{tenant_col}`")
+    keep = tenant.isNotNull()
+    if not route_empty_tenant:
+        keep = keep & (tenant != F.lit(""))
+    out, matches = processed.where(keep), []
+    for c in rules.filter_columns:
+        # The activity filter is trim/case-insensitive while routing is exact;
+        # normalize_activity=True routes on the normalised value instead.
+        value = X.normalized_activity(f"`{c}`") if normalize_activity and c == "activity_kind" else F.col(f"`{c}`").cast("string")
+        key, found = fresh_names(out.columns, "__rule_value", "__rules_found")
+        out = out.join(rules.by_value(spark, c).toDF(key, found), value == F.col(key), "left")
+        matches.append(F.coalesce(F.col(found), F.expr("CAST(array() AS ARRAY<STRUCT<suffix: STRING, allowed: ARRAY<STRING>>>)")))
+    if not matches:
+        return processed.where("false").select(*[F.col(f"`{c}`") for c in source], F.lit("").alias(table_col))
+    fits = F.filter(F.concat(*matches), lambda r: r["allowed"].isNull() | F.array_contains(r["allowed"], tenant))
+    tables = F.transform(fits, lambda r: X.table_name(tenant, r["suffix"]))
+    return out.select(*[F.col(f"`{c}`") for c in source], F.explode(tables).alias(table_col))
 
 
 def route_events(processed: DataFrame, rules: RuleSet | None = None,
@@ -105,7 +108,7 @@ def route_events(processed: DataFrame, rules: RuleSet | None = None,
     """Routed table rows: processed columns minus the excluded ones, plus ``table_name``."""
     rules = rules or RuleSet()
     r = routed_rows(processed, rules, "prefix", normalize_activity, route_empty_tenant)
-    keep = [c for c in processed.columns if c not in set(excluded)]
+    keep = [c for c in processed.columns if c not in set(excluded) and c != "table_name"]
     return r.select(*[F.col(f"`{c}`") for c in keep], "table_name")
 
 
@@ -142,22 +145,24 @@ def routing_coverage(processed: DataFrame, rules: RuleSet | None = None,
     the rules that it matches.
     """
     rules = rules or RuleSet()
-    keep = F.col(tenant_col).isNotNull()
+    tenant = F.col(f"`{tenant_col}`")
+    keep = tenant.isNotNull()
     if not route_empty_tenant:
-        keep = keep & (F.col(tenant_col) != F.lit(""))
-    combos = (processed.where(keep)
-              .groupBy(tenant_col, *rules.filter_columns)
-              .agg(F.count(F.lit(1)).alias("__n")))
+        keep = keep & (tenant != F.lit(""))
+    # Private names from here on: the tenant, each filter column's value, and the count.
+    values = {c: f"v{i}" for i, c in enumerate(rules.filter_columns)}
+    own = {c: X.normalized_activity(f"`{c}`") if normalize_activity and c == "activity_kind" else F.col(f"`{c}`").cast("string")
+           for c in rules.filter_columns}
+    combos = (processed.where(keep).select(tenant.alias("prefix"), *[own[c].alias(v) for c, v in values.items()])
+              .groupBy("prefix", *values.values()).agg(F.count(F.lit(1)).alias("n")))
     suffixes = sorted({s for s, _, _, _ in rules.rules})
     pairs = combos.withColumn("suffix", F.explode(F.array(*[F.lit(x) for x in suffixes])))
     met = pairs.join(rules.frame(processed.sparkSession), "suffix").where(
-        F.col("allowed").isNull() | F.array_contains("allowed", F.col(tenant_col)))
+        F.col("allowed").isNull() | F.array_contains(F.col("allowed"), F.col("prefix")))
     value = F.lit(None).cast("string")
-    for c in rules.filter_columns:
-        own = X.normalized_activity(c) if normalize_activity and c == "activity_kind" else F.col(f"`{c}`").cast("string")
-        value = F.when(F.col("filter_column") == c, own).otherwise(value)
-    cov = met.groupBy(F.col(tenant_col).alias("prefix"), "suffix").agg(
-        F.sum(F.when(value == F.col("filter_value"), F.col("__n"))).alias("routed_rows"))
+    for c, v in values.items():
+        value = F.when(F.col("filter_column") == c, F.col(v)).otherwise(value)
+    cov = met.groupBy("prefix", "suffix").agg(F.sum(F.when(value == F.col("filter_value"), F.col("n"))).alias("routed_rows"))
     rows = F.coalesce(F.col("routed_rows"), F.lit(0)).cast("bigint")
     return cov.select(
         "prefix", "suffix",
@@ -167,10 +172,17 @@ def routing_coverage(processed: DataFrame, rules: RuleSet | None = None,
     )
 
 
-def no_tenant_rows(processed: DataFrame, tenant_col: str = "prefix") -> DataFrame:
-    """Rows whose file name has no tenant, with the reason they are set aside."""
-    none = F.col(tenant_col).isNull() | (F.col(tenant_col) == F.lit(""))
-    return processed.where(none).withColumn("reason", F.lit("NO_TENANT"))
+def no_tenant_rows(processed: DataFrame, tenant_col: str = "prefix", reason_col: str = "reason") -> DataFrame:
+    """Rows whose file name has no tenant, with the reason they are set aside.
+
+    A source column named ``reason_col`` is kept as ``<reason_col>_2`` (or the next free number).
+    """
+    tenant = F.col(f"`{tenant_col}`")
+    names, k = {c.lower() for c in processed.columns}, 2
+    while f"{reason_col}_{k}".lower() in names:
+        k += 1
+    columns = [F.col(f"`{c}`").alias(f"{c}_{k}" if c.lower() == reason_col.lower() else c) for c in processed.columns]
+    return processed.where(tenant.isNull() | (tenant == F.lit(""))).select(*columns, F.lit("NO_TENANT").alias(reason_col))
 
 
 def unrouted_rows(processed: DataFrame, rules: RuleSet | None = None,
@@ -181,9 +193,11 @@ def unrouted_rows(processed: DataFrame, rules: RuleSet | None = None,
     Output: one row, ``rows_unrouted``."""
     rules = rules or RuleSet()
     keys = [tenant_col, *rules.filter_columns]
-    combos = (processed.where(F.col(tenant_col).isNotNull())
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")))
-    hit = routed_rows(combos, rules, tenant_col, normalize_activity, route_empty_tenant).select(*keys).distinct()
-    cond = [combos[k].eqNullSafe(hit[k]) for k in keys]
+    tenant = F.col(f"`{tenant_col}`")
+    combos = processed.where(tenant.isNotNull() if route_empty_tenant else tenant != F.lit("")).select(*[F.col(f"`{k}`") for k in keys])
+    n, table = fresh_names(keys, "__n", "__table")
+    combos = combos.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(n))
+    hit = routed_rows(combos, rules, tenant_col, normalize_activity, route_empty_tenant, table).select(*[F.col(f"`{k}`") for k in keys]).distinct()
+    cond = [combos[f"`{k}`"].eqNullSafe(hit[f"`{k}`"]) for k in keys]
     miss = combos.join(hit, cond, "left_anti")
-    return miss.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("rows_unrouted"))
+    return miss.agg(F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("rows_unrouted"))
