@@ -12,21 +12,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbflow.config import RunClock
 from ebbflow.functions import columns as X
 from ebbflow.operators import aggregates as G
+from ebbflow.operators import dead_letters as DL
 from ebbflow.operators import events as E
 from ebbflow.operators import governance as V
 from ebbflow.operators import quality as Q
 from ebbflow.operators import reports as P
 from ebbflow.operators import routing as R
+from ebbflow.operators import types as T
 from ebbflow.plans import adapters as A
 from ebbflow.plans import event_lake as EL
 from ebbflow.plans import exports as XP
 from ebbflow.session import apply_base_conf, scratch_path
+from ebbflow.sinks import compact as CP
 from ebbflow.sinks import parquet as W
 from ebbflow.sinks import quarantine as QN
 from ebbflow.sources import files as S
 from ebbflow.streaming import incremental as INC
+from ebbflow.streaming import rolling as ROLL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -404,6 +409,9 @@ def q_file_manifest(spark, sf):
     lines = F.length("raw_content") - F.length(F.replace("raw_content", F.lit("\n"), F.lit("")))
     return m.select("file_name", "record_count",
                     F.col("file_hash").isNotNull().alias("has_hash"),
+                    # The stored bytes of a plain file are its text.
+                    F.when(~F.regexp_extract("file_name", "^[^_-]*", 0).isin(XP.GZIP_TENANTS), F.col("file_hash")).alias("plain_hash"),
+                    F.when(F.col("raw_content") != "", F.sha2("raw_content", 256)).alias("content_sha256"),
                     F.when(F.col("raw_content") != "", F.length("raw_content").cast("bigint")).alias("content_chars"),
                     F.when(F.col("raw_content") != "", lines.cast("bigint")).alias("content_lines"))
 
@@ -428,7 +436,7 @@ def q_clustered_write(spark, sf):
 
 def q_run_metrics(spark, sf):
     out = scratch_path(spark, "lake")
-    run = EL.run_event_lake(spark, _root(spark, sf), out, A.EVENTS_CLOCK, A.DLQ_LOCATION)
+    run = EL.run_event_lake(spark, _root(spark, sf), out, A.EVENTS_CLOCK, A.DLQ_LOCATION, route_empty_tenant=True, normalize_activity=False)
     return run.metrics.select("*", F.size("failed_writes").cast("bigint").alias("n_failed_writes")).drop(
         "phase_seconds", "failed_writes")
 
@@ -514,3 +522,78 @@ QUERIES["route_rules_table"] = q_route_rules_table
 QUERIES["no_tenant"] = q_no_tenant
 QUERIES["incremental_ingest"] = q_incremental_ingest
 QUERIES["incremental_routed"] = q_incremental_routed
+
+
+# ------------------------------------------- tables kept up by runs, types, rejects
+
+
+def q_csv_scan_split(spark, sf):
+    """The scan with plain files read as many ranges of whole records."""
+    rows = _scan(spark, sf, split_bytes=4096).rows
+    return rows.select(*[c for c in rows.columns if c != "filename"], _basename().alias("file_name"))
+
+
+def q_rejected_rows(spark, sf):
+    return E.rejected_rows(raw_events(spark, sf)).select("adid", "created_at", "publisher_parameters", "filename", "reject_reason")
+
+
+def q_inferred_types(spark, sf):
+    """Types of each file's columns, merged to those of all files."""
+    rows = _scan(spark, sf).rows.drop("prefix")
+    return T.inferred_types(T.merge_type_bits(T.column_type_bits(rows, by=["filename"])))
+
+
+ROLLING_FIRST_CLOCK = RunClock("2024-01-10 00:00:00")  # 31 days before EVENTS_CLOCK
+
+
+def q_rolling_aggregates(spark, sf):
+    """Two runs 31 days apart, the second with late data for the first one's dates, and the second run repeated."""
+    p = processed_events(spark, sf)
+    first = (F.col("date") < F.lit("2024-01-21").cast("date")) & F.substring("created_at", -1, 1).isin("0", "2", "4", "6", "8")
+    root = scratch_path(spark, "rolling-state")
+    ROLL.merge_batch(spark, root, p.where(first), ROLLING_FIRST_CLOCK, "first")
+    for _ in range(2):
+        ROLL.merge_batch(spark, root, p.where(~F.coalesce(first, F.lit(False))), A.EVENTS_CLOCK, "second")
+    return _round_revenue(ROLL.read_rolling(spark, root))
+
+
+MARTS_FIRST_CLOCK = RunClock("2024-01-30 15:00:00")
+
+
+def q_incremental_marts(spark, sf):
+    """The good-file mart after two runs: the first one a day earlier, when some counts were other ones."""
+    m = manifest(spark, sf)
+    early = m.where(F.col("load_timestamp") <= F.lit(MARTS_FIRST_CLOCK.as_of).cast("timestamp")).withColumn(
+        "record_count", F.when(F.col("record_count") % 10 == 3, F.col("record_count") - 1).otherwise(F.col("record_count")))
+    out = scratch_path(spark, "incremental-marts")
+    EL.run_governance(spark, early, MARTS_FIRST_CLOCK, out, A.DLQ_LOCATION, incremental=True)
+    return EL.run_governance(spark, m, A.FILES_CLOCK, out, A.DLQ_LOCATION, incremental=True).processed
+
+
+def q_compacted_write(spark, sf):
+    """Routed tables written in many small files, then compacted."""
+    path = scratch_path(spark, "routed-small")
+    R.route_events(processed_events(spark, sf)).repartition(6).write.partitionBy("table_name", "date").parquet(path)
+    CP.compact(spark, path, target_bytes=1 << 20)
+    return W.read_partitioned(spark, path, {"date": "date", "table_name": "string"})
+
+
+def q_dead_letters(spark, sf):
+    """Ten documents are loads of one file; states of two halves of the loads are merged."""
+    def of(frame):
+        return frame.withColumn("file_name", F.regexp_replace("file_name", "[0-9].csv$", ".csv"))
+
+    events = DL.file_events(of(good_files(spark, sf)), of(bad_files(spark, sf)))
+    half = F.dayofmonth("at") % 2 == 0
+    return DL.dead_letters(DL.merge(DL.fold(events.where(half)).unionByName(DL.fold(events.where(~half)))))
+
+
+QUERIES.update({
+    "csv_scan_split": q_csv_scan_split,
+    "rejected_rows": q_rejected_rows,
+    "inferred_types": q_inferred_types,
+    "rolling_aggregates": q_rolling_aggregates,
+    "incremental_marts": q_incremental_marts,
+    "compacted_write": q_compacted_write,
+    "dead_letters": q_dead_letters,
+})

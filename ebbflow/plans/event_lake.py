@@ -36,6 +36,7 @@ from ebbflow.functions import columns as X
 from ebbflow.session import ensure_shuffle_partitions, scratch_path
 from ebbflow.sinks import parquet as W
 from ebbflow.sinks import quarantine as Qn
+from ebbflow.sinks import upsert as U
 from ebbflow.sources import files as S
 from ebbflow.sources.manifest import build_manifest
 
@@ -55,6 +56,7 @@ class EventLakeRun:
 
 
 LAYOUTS = ("partitioned", "table_folders")
+BAD_ROW_MODES = ("keep", "quarantine", "fail")
 
 
 def run_event_lake(spark: SparkSession, source_root: str | list[str], output_root: str,
@@ -63,14 +65,21 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
                    tenants: list[str] | None = None,
                    quarantine_bytes: bool = True,
                    events_layout: str = "partitioned",
-                   route_empty_tenant: bool = True,
-                   normalize_activity: bool = False) -> EventLakeRun:
+                   route_empty_tenant: bool = False,
+                   normalize_activity: bool = True, on_bad_row: str = "keep") -> EventLakeRun:
     """One run over the source files. Arguments are checked before any work.
 
-    ``route_empty_tenant=False`` sets rows without a tenant aside in the
-    quarantine folder (``no_tenant``) instead of routing them;
-    ``normalize_activity=True`` routes on the trimmed, lower-case activity.
+    Rows without a tenant are set aside in a quarantine folder of their own
+    (``_quarantine_no_tenant``), and rows are routed on the trimmed, lower-case activity;
+    ``route_empty_tenant=True, normalize_activity=False`` routes all of them by
+    their exact activity, as upstream does. Rows whose epoch or JSON does not
+    parse are noted with a reason in ``_quarantine_rejected``;
+    ``on_bad_row``: ``keep`` goes on with their values as NULL, ``quarantine``
+    leaves them out of the lake, ``fail`` ends the run before any table is
+    written.
     """
+    if on_bad_row not in BAD_ROW_MODES:
+        raise ValueError(f"on_bad_row must be one of {BAD_ROW_MODES}")
     if events_layout not in LAYOUTS:
         raise ValueError(f"events_layout must be one of {LAYOUTS}")
     if hour is not None:
@@ -78,13 +87,13 @@ def run_event_lake(spark: SparkSession, source_root: str | list[str], output_roo
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         return _run(spark, source_root, output_root, clock, dlq_location, rules or R.RuleSet(), compression, date, hour,
-                    tenants, quarantine_bytes, events_layout, route_empty_tenant, normalize_activity)
+                    tenants, quarantine_bytes, events_layout, route_empty_tenant, normalize_activity, on_bad_row)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 def _run(spark, source_root, output_root, clock, dlq_location, rules, compression, date, hour, tenants,
-         quarantine_bytes, events_layout, route_empty_tenant, normalize_activity) -> EventLakeRun:
+         quarantine_bytes, events_layout, route_empty_tenant, normalize_activity, on_bad_row) -> EventLakeRun:
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
     scan = S.load_events(spark, source_root, compression=compression, date=date, hour=hour, tenants=tenants)
@@ -98,6 +107,7 @@ def _run(spark, source_root, output_root, clock, dlq_location, rules, compressio
     quarantine_path = f"{output_root}/_quarantine"
     q = Qn.quarantine_frame(scan.files, clock, dlq_location)
     if quarantine_bytes:  # keep a copy of each failed file, as the DLQ copy did
+        Qn.write_parts(spark, q, f"{quarantine_path}_parts", clock.as_of)
         q = Qn.with_content(spark, q)
     Qn.write_quarantine(q, quarantine_path, clock.as_of)
     timings["discover_and_load_plan"] = time.perf_counter() - t0
@@ -127,9 +137,19 @@ def _run(spark, source_root, output_root, clock, dlq_location, rules, compressio
         _stage(E.process_events(scan.rows, clock), processed_path)
         read_counts = (0, 0)
     staged = spark.read.parquet(processed_path)
+    reason = E.reject_reason()
+    # Columns that name the row and its values; the staged rows are still there in whole.
+    rejected = staged.select("filename", "prefix", "adid", "created_at", "activity_kind", "publisher_parameters",
+                             reason.alias("reject_reason")).where(F.col("reject_reason").isNotNull())
+    Qn.write_quarantine(rejected, f"{quarantine_path}_rejected", clock.as_of)
+    rows_rejected = spark.read.schema(rejected.schema).parquet(Qn.run_folder(f"{quarantine_path}_rejected", clock.as_of)).count()
+    if rows_rejected and on_bad_row == "fail":
+        raise ValueError(f"{rows_rejected} rows do not parse; they are in {quarantine_path}_rejected")
+    if on_bad_row == "quarantine":
+        staged = staged.where(reason.isNull())
     routing = {"normalize_activity": normalize_activity, "route_empty_tenant": route_empty_tenant}
     if not route_empty_tenant:
-        Qn.write_quarantine(R.no_tenant_rows(staged), f"{quarantine_path}/no_tenant", clock.as_of)
+        Qn.write_quarantine(R.no_tenant_rows(staged), f"{quarantine_path}_no_tenant", clock.as_of)
     timings["process"] = time.perf_counter() - t1
 
     events_path = f"{output_root}/events"
@@ -183,11 +203,11 @@ def _run(spark, source_root, output_root, clock, dlq_location, rules, compressio
     metrics = spark.createDataFrame([(
         int(file_stats["files_total"] or 0), int(file_stats["files_ok"] or 0),
         int((file_stats["files_total"] or 0) - (file_stats["files_ok"] or 0)),
-        read_counts[0], read_counts[1], of("written", "rows"), unrouted, aggregate_rows,
+        read_counts[0], read_counts[1], rows_rejected, of("written", "rows"), unrouted, aggregate_rows,
         of("written", "tables"), of("empty", "tables"), of("failed", "tables"), failed_writes,
         {k: float(v) for k, v in timings.items()},
     )], "files_total bigint, files_ok bigint, files_failed bigint, rows_read bigint, "
-        "rows_malformed bigint, partitioned_rows_written bigint, rows_unrouted bigint, "
+        "rows_malformed bigint, rows_rejected bigint, partitioned_rows_written bigint, rows_unrouted bigint, "
         "aggregate_rows_written bigint, "
         "tables_written bigint, empty_tables bigint, failed_tables bigint, failed_writes array<string>, "
         "phase_seconds map<string,double>")
@@ -227,16 +247,24 @@ class GovernanceRun:
 
 def run_governance(spark: SparkSession, manifest: DataFrame, clock: C.RunClock, output_root: str,
                    dlq_location: str,
-                   previous_failed: DataFrame | None = None) -> GovernanceRun:
+                   previous_failed: DataFrame | None = None, incremental: bool = False) -> GovernanceRun:
     """stage -> validate -> good-file mart (partitioned by load_date, clustered
     by file_name) and dead-letter mart (partitioned by failure_date, keeping
-    ``is_resolved`` of an earlier run)."""
+    ``is_resolved`` of an earlier run). ``incremental`` merges both into what
+    the folder holds (``sinks.upsert``): only partitions of new or changed files
+    are rewritten, and what left the retention window stays."""
     validated = V.validate_files(V.stage_raw_files(manifest, clock), clock)
     good = V.processed_files(validated, clock)
     bad = V.carry_resolution(V.failed_files(validated, clock, dlq_location), previous_failed)
     ppath, fpath = f"{output_root}/processed_data", f"{output_root}/failed_files"
-    W.write_clustered(good, ppath, "load_date", ["file_name"])
-    W.write_partitioned(bad, fpath, ["failure_date"])
+    if incremental:
+        U.upsert(spark, good, ppath, ["file_name", "file_hash"], "load_date", ["load_timestamp", "record_count", "processing_status"],
+                 kept=("inserted_at",), cluster_cols=("file_name",))
+        U.upsert(spark, bad, fpath, ["file_name", "file_hash"], "failure_date", ["load_timestamp", "record_count", "failure_reason"],
+                 kept=("dlq_inserted_at", "is_resolved"))
+    else:
+        W.write_clustered(good, ppath, "load_date", ["file_name"])
+        W.write_partitioned(bad, fpath, ["failure_date"])
     p = W.read_partitioned(spark, ppath, {"load_date": "date"})
     f = W.read_partitioned(spark, fpath, {"failure_date": "date"})
     return GovernanceRun(ppath, fpath, p, f)

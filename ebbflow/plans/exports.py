@@ -102,8 +102,8 @@ def write_exports(spark: SparkSession, events: DataFrame, root: str | None = Non
     stage = root + "/_stage"
     for gz in (True, False):
         part = allrows.where(F.col("gz") == F.lit(gz)).select("file", "line", "ord")
-        # One task per file so each file is written once, header first.
-        (part.repartition("file").sortWithinPartitions("file", "ord")
+        # One task per file so each file is written once, header first, then its lines in order.
+        (part.repartition("file").sortWithinPartitions("file", "ord", "line")
          .select("file", "line").write.partitionBy("file")
          .option("compression", "gzip" if gz else "none")
          .mode("errorifexists").text(f"{stage}/{'gz' if gz else 'plain'}"))

@@ -9,6 +9,9 @@ the two sides do not share a formulation.
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from ebbflow import config as C
 from ebbflow.plans import adapters as A
 
@@ -516,9 +519,13 @@ UNION ALL
 SELECT 'day', COUNT(*), COUNT(DISTINCT prefix) FROM sp WHERE file_name LIKE '%\\_{WINDOW_DATE}T%' ESCAPE '\\'
 UNION ALL
 SELECT 'all', COUNT(*), COUNT(DISTINCT prefix) FROM sp""")
-    manifest_rows = _broken_values("file_name, record_count, has_hash, content_chars, content_lines", lambda n, b, st: (
+    def digests(n: str, b: bytes, st: str) -> str:
+        own = _q(hashlib.sha256(b).hexdigest())
+        return (own if b and _TENANT_OF[n] not in XP.GZIP_TENANTS else "NULL") + ", " + (own if st == "OK" else "NULL")
+
+    manifest_rows = _broken_values("file_name, record_count, has_hash, plain_hash, content_sha256, content_chars, content_lines", lambda n, b, st: (
         f"({_q(n)}, " + ("CAST(0 AS BIGINT)" if st == "OK" else "CAST(NULL AS BIGINT)") + ", "
-        + ("true" if b else "false") + ", " + (f"CAST({len(b)} AS BIGINT), CAST({b.count(10)} AS BIGINT)" if st == "OK" and b else
+        + ("true" if b else "false") + ", " + digests(n, b, st) + ", " + (f"CAST({len(b)} AS BIGINT), CAST({b.count(10)} AS BIGINT)" if st == "OK" and b else
                                                "CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)") + ")"))
 
     def line(layout: list[str], chars: str) -> str:
@@ -541,12 +548,29 @@ SELECT 'all', COUNT(*), COUNT(DISTINCT prefix) FROM sp""")
         return (f"CAST(SUM(CASE WHEN day % 2 = 0 THEN {a} ELSE {b} END) + "
                 f"any_value(CASE WHEN day % 2 = 0 THEN {ha} ELSE {hb} END) AS BIGINT)")
 
-    q["file_manifest"] = _with(EXPORTS, f"""
-SELECT file_name, CAST(COUNT(*) AS BIGINT) AS record_count, true AS has_hash,
-  {total("chars")} AS content_chars, {total("lines")} AS content_lines
-FROM exp GROUP BY file_name
+    def record(layout: list[str]) -> str:
+        """A record's text."""
+        def field(c: str) -> str:
+            n = c.strip("{}")
+            return "'\"x\"'" if n == "extra" else f"COALESCE('\"' || replace({n}, '\"', '\"\"') || '\"', '')"
+        return " || ',' || ".join(map(field, layout[:-1])) + f" || CASE WHEN is_malformed THEN '' ELSE ',' || {field(layout[-1])} END"
+
+    heads = f"CASE WHEN day % 2 = 0 THEN {_q(','.join(XP.LAYOUT_A))} ELSE {_q(','.join(XP.LAYOUT_B))} END"
+    q["file_manifest"] = _with(EXPORTS, f""",
+texts AS (
+  SELECT *, CASE WHEN day % 2 = 0 THEN {record(XP.LAYOUT_A)} ELSE {record(XP.LAYOUT_B)} END AS line, {heads} AS head FROM exp
+),
+whole AS (
+  SELECT file_name, any_value(prefix) AS prefix, CAST(COUNT(*) AS BIGINT) AS record_count,
+    sha256(any_value(head) || chr(10) || string_agg(line, chr(10) ORDER BY line) || chr(10)) AS digest,
+    {total("chars")} AS content_chars, {total("lines")} AS content_lines
+  FROM texts GROUP BY file_name
+)
+SELECT file_name, record_count, true AS has_hash, CASE WHEN prefix NOT IN ({_GZ_LIST}) THEN digest END AS plain_hash,
+  digest AS content_sha256, content_chars, content_lines
+FROM whole
 UNION ALL
-SELECT file_name, CAST(NULL AS BIGINT), true, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM cut
+SELECT file_name, CAST(NULL AS BIGINT), true, NULL, NULL, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM cut
 UNION ALL
 {manifest_rows}""")
 
@@ -588,6 +612,7 @@ SELECT
   CAST((SELECT COUNT(*) FROM cut) + {sum(1 for _, (_, st) in _BROKEN if st != 'OK')} AS BIGINT) AS files_failed,
   CAST((SELECT COUNT(*) FROM scanned) AS BIGINT) AS rows_read,
   CAST((SELECT COUNT(*) FROM exp WHERE is_malformed) AS BIGINT) AS rows_malformed,
+  CAST((SELECT COUNT(*) FROM lp WHERE date IS NULL OR NOT json_valid(publisher_parameters)) AS BIGINT) AS rows_rejected,
   CAST((SELECT COUNT(*) FROM lr) AS BIGINT) AS partitioned_rows_written,
   CAST((SELECT COUNT(*) FROM lp WHERE prefix IS NOT NULL AND NOT EXISTS (
      SELECT 1 FROM rules r
@@ -598,4 +623,68 @@ SELECT
   CAST((SELECT COUNT(*) FROM cov WHERE n > 0) AS BIGINT) AS tables_written,
   CAST((SELECT COUNT(*) FROM cov WHERE n = 0) AS BIGINT) AS empty_tables,
   CAST(0 AS BIGINT) AS failed_tables, CAST(0 AS BIGINT) AS n_failed_writes""")
+    q.update(run_sql(base))
+    return q
+
+
+def run_sql(base: dict[str, str]) -> dict[str, str]:
+    """Tables kept up by runs, types and rejected rows."""
+    from ebbflow.operators.types import GRAMMARS
+    from ebbflow.plans.catalog import MARTS_FIRST_CLOCK, ROLLING_FIRST_CLOCK
+
+    q = {"csv_scan_split": _with(EXPORTS, "SELECT * FROM scanned"), "compacted_write": base["route_events"]}
+    q["rejected_rows"] = _with(PROCESSED, """
+SELECT adid, created_at, publisher_parameters, filename,
+  CASE WHEN date IS NULL THEN 'BAD_CREATED_AT' ELSE 'BAD_JSON' END AS reject_reason
+FROM processed WHERE date IS NULL OR NOT json_valid(publisher_parameters)""")
+
+    def inferred(c: str) -> str:
+        whens = []
+        for name, grammar in GRAMMARS:
+            fits = f"regexp_matches({c}, {_q(grammar)})"
+            if name in ("date", "timestamp"):
+                fits += f" AND TRY_CAST(substr({c}, 1, 10) AS DATE) IS NOT NULL"
+            whens.append(f"WHEN bool_and({fits}) FILTER ({c} IS NOT NULL AND {c} <> '') THEN '{name}'")
+        return (f"SELECT '{c}' AS column_name, CASE {' '.join(whens)} ELSE 'string' END AS inferred_type, "
+                f"COUNT(*) FILTER ({c} IS NOT NULL AND {c} <> '') AS non_empty_values FROM scanned")
+
+    cols = ["adid", "created_at", "installed_at", "activity_kind", "publisher_parameters", "country", "city", "os_name",
+            "device_type", "app_version_short", "extra"]
+    q["inferred_types"] = _with(EXPORTS, "\nUNION ALL\n".join(map(inferred, cols)))
+    first = "date < DATE '2024-01-21' AND right(created_at, 1) IN ('0', '2', '4', '6', '8')"
+    rolling = adagg_cte().replace(f"'{EV_AS_OF}' AS _time",
+                                  f"MAX(CASE WHEN {first} THEN '{ROLLING_FIRST_CLOCK.as_of}' ELSE '{EV_AS_OF}' END) AS _time")
+    q["rolling_aggregates"] = _with(PROCESSED + "," + rolling, "SELECT * FROM adagg")
+
+    earlier = MANIFEST.replace(FS_AS_OF, MARTS_FIRST_CLOCK.as_of).replace(FS_DATE, MARTS_FIRST_CLOCK.as_of_date)
+    for name in ("manifest", "staged", "validated", "validated2", "pfiles", "ffiles"):
+        earlier = re.sub(rf"\b{name}\b", f"{name}_1", earlier)
+    earlier = earlier.replace("  FROM manifest_1\n", f"""  FROM (SELECT * REPLACE (CASE WHEN record_count % 10 = 3 THEN record_count - 1 ELSE record_count END AS record_count)
+        FROM manifest_1 WHERE load_timestamp <= TIMESTAMP '{MARTS_FIRST_CLOCK.as_of}')
+""")
+    q["incremental_marts"] = _with(MANIFEST + "," + earlier, """
+SELECT n.file_name, n.load_timestamp, n.load_date, n.file_hash, n.record_count, n.processing_status,
+  COALESCE(o.inserted_at, n.inserted_at) AS inserted_at,
+  CASE WHEN o.record_count = n.record_count THEN o.updated_at ELSE n.updated_at END AS updated_at
+FROM pfiles n LEFT JOIN pfiles_1 o USING (file_name, file_hash)
+UNION ALL
+SELECT o.* FROM pfiles_1 o ANTI JOIN pfiles n USING (file_name, file_hash)""")
+    q["dead_letters"] = _with(MANIFEST, """,
+loads AS (
+  SELECT regexp_replace(file_name, '[0-9].csv$', '.csv') AS file_name, load_timestamp AS moment, true AS ok, NULL AS reason FROM pfiles
+  UNION ALL
+  SELECT regexp_replace(file_name, '[0-9].csv$', '.csv'), load_timestamp, false, failure_reason FROM ffiles
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY file_name, ok ORDER BY moment DESC, reason DESC NULLS LAST) AS rn FROM loads),
+states AS (
+  SELECT file_name, COUNT(*) FILTER (NOT ok) AS failures, MIN(moment) FILTER (NOT ok) AS first_failed,
+    MAX(moment) FILTER (NOT ok) AS last_failed, MAX(reason) FILTER (NOT ok AND rn = 1) AS failure_reason,
+    MAX(moment) FILTER (ok) AS loaded
+  FROM ranked GROUP BY file_name HAVING COUNT(*) FILTER (NOT ok) > 0
+)
+SELECT file_name, failures, first_failed, last_failed, failure_reason,
+  CASE WHEN loaded > last_failed THEN loaded END AS resolved_at,
+  CASE WHEN loaded > last_failed THEN 'RESOLVED' WHEN failures > 1 THEN 'RETRIED' ELSE 'FAILED' END AS state,
+  COALESCE(loaded > last_failed, false) AS is_resolved
+FROM states""")
     return q
