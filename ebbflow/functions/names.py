@@ -38,3 +38,14 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     if new == df.columns:
         return df
     return df.toDF(*new)
+
+
+def fresh_names(taken: list[str], *wanted: str) -> list[str]:
+    """Names that no column has, in Spark's case-insensitive sense."""
+    seen, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in seen:
+            name = "_" + name
+        seen.add(name.lower())
+        out.append(name)
+    return out

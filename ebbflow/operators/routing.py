@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ebbflow import config as C
 from ebbflow.functions import columns as X
+from ebbflow.functions.names import fresh_names
 
 class RuleSet:
     """Routing rules held as configuration, materialised as a small DataFrame."""
@@ -62,17 +63,6 @@ class RuleSet:
         return own.groupBy(F.col("filter_value").alias("value")).agg(F.collect_list(F.struct("suffix", "allowed")).alias("found"))
 
 
-def fresh_names(taken: list[str], *wanted: str) -> list[str]:
-    """Names that no column has, in Spark's case-insensitive sense."""
-    seen, out = {c.lower() for c in taken}, []
-    for name in wanted:
-        while name.lower() in seen:
-            name = "_" + name
-        seen.add(name.lower())
-        out.append(name)
-    return out
-
-
 def routed_rows(processed: DataFrame, rules: RuleSet, tenant_col: str = "prefix",
                 normalize_activity: bool = False, route_empty_tenant: bool = True, table_col: str = "table_name") -> DataFrame:
     """Processed rows x matching rules, with the table's name in ``table_col``.

@@ -16,8 +16,10 @@ from ebbflow.config import RunClock
 from ebbflow.functions import columns as X
 from ebbflow.operators import aggregates as G
 from ebbflow.operators import dead_letters as DL
+from ebbflow.operators import distinct_state as DS
 from ebbflow.operators import events as E
 from ebbflow.operators import governance as V
+from ebbflow.operators import overlap as OV
 from ebbflow.operators import quality as Q
 from ebbflow.operators import reports as P
 from ebbflow.operators import routing as R
@@ -27,6 +29,7 @@ from ebbflow.plans import event_lake as EL
 from ebbflow.plans import exports as XP
 from ebbflow.session import apply_base_conf, scratch_path
 from ebbflow.sinks import compact as CP
+from ebbflow.sinks import curve as CU
 from ebbflow.sinks import parquet as W
 from ebbflow.sinks import quarantine as QN
 from ebbflow.sources import files as S
@@ -588,7 +591,33 @@ def q_dead_letters(spark, sf):
     return DL.dead_letters(DL.merge(DL.fold(events.where(half)).unionByName(DL.fold(events.where(~half)))))
 
 
+def q_curve_clustered_write(spark, sf):
+    """The good-file mart laid out along a curve through two columns."""
+    path = scratch_path(spark, "curve")
+    CU.write_curve(good_files(spark, sf), path, "load_date", ["file_name", "record_count"])
+    return W.read_partitioned(spark, path, {"load_date": "date"})
+
+
+def q_overlapping_files(spark, sf):
+    return OV.overlapping_files(OV.file_chunks(manifest(spark, sf)))
+
+
+def q_dlq_summary_from_state(spark, sf):
+    """The dead-letter summary from the states of two batches, the second of which numbers only new names."""
+    bad = bad_files(spark, sf).withColumn("failed_timestamp", F.col("load_timestamp"))  # failures of several days
+    early = bad.where(F.dayofmonth("failed_timestamp") < 28)
+    late = bad.where(F.dayofmonth("failed_timestamp") >= 27)
+    known = DS.number_names(early.select("file_name"))
+    numbers = DS.number_names(late.select("file_name"), known)
+    of_27 = F.col("day") == F.lit("2024-01-27").cast("date")
+    first = DS.failure_state(early, known)
+    return DS.dlq_summary(first.where(~of_27).unionByName(DS.failure_state(late, numbers)))
+
+
 QUERIES.update({
+    "curve_clustered_write": q_curve_clustered_write,
+    "overlapping_files": q_overlapping_files,
+    "dlq_summary_from_state": q_dlq_summary_from_state,
     "csv_scan_split": q_csv_scan_split,
     "rejected_rows": q_rejected_rows,
     "inferred_types": q_inferred_types,

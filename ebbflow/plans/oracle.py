@@ -669,6 +669,22 @@ SELECT n.file_name, n.load_timestamp, n.load_date, n.file_hash, n.record_count,
 FROM pfiles n LEFT JOIN pfiles_1 o USING (file_name, file_hash)
 UNION ALL
 SELECT o.* FROM pfiles_1 o ANTI JOIN pfiles n USING (file_name, file_hash)""")
+    q["curve_clustered_write"] = base["processed_files"]
+    q["overlapping_files"] = _with(MANIFEST, """,
+files AS (SELECT row_number() OVER () AS f, file_name, load_timestamp, string_split(raw_content, chr(10)) AS ls FROM manifest WHERE raw_content <> ''),
+lines AS (SELECT f, file_name, load_timestamp, i, ls[i] AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM files)),
+cut AS (
+  SELECT *, COALESCE(SUM(CASE WHEN CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) % 4 = 0 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY f ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM lines
+),
+texts AS (SELECT f, any_value(file_name) AS file_name, any_value(load_timestamp) AS load_timestamp, string_agg(line, chr(10) ORDER BY i) AS text
+          FROM cut GROUP BY f, chunk),
+chunks AS (SELECT file_name, load_timestamp, md5(text) AS digest, length(text) AS n_chars FROM texts WHERE text <> ''),
+owners AS (SELECT digest, first(file_name ORDER BY load_timestamp, file_name) AS earlier_file FROM chunks GROUP BY digest),
+sizes AS (SELECT file_name, COUNT(*) AS file_chunks FROM chunks GROUP BY file_name)
+SELECT file_name, earlier_file, COUNT(*) AS shared_chunks, CAST(SUM(n_chars) AS BIGINT) AS shared_chars, any_value(file_chunks) AS file_chunks
+FROM chunks JOIN owners USING (digest) JOIN sizes USING (file_name) WHERE file_name <> earlier_file GROUP BY file_name, earlier_file""")
+    q["dlq_summary_from_state"] = base["dlq_summary"].replace("(failed_timestamp)", "(load_timestamp)")
     q["dead_letters"] = _with(MANIFEST, """,
 loads AS (
   SELECT regexp_replace(file_name, '[0-9].csv$', '.csv') AS file_name, load_timestamp AS moment, true AS ok, NULL AS reason FROM pfiles

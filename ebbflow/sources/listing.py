@@ -108,7 +108,8 @@ class FileListingReader(DataSourceReader):
                     parts.append(_Part(e.path, []))
                 else:
                     single.append((e.path, e.length, e.time))
-        return parts + [_Part(None, single[i:i + _BATCH]) for i in range(0, len(single), _BATCH)]
+        parts += [_Part(None, single[i:i + _BATCH]) for i in range(0, len(single), _BATCH)]
+        return parts or [_Part(None, [])]
 
     def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
         held: list[tuple[str, int, float]] = []

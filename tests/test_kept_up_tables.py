@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 from ebbflow.config import RunClock
 from ebbflow.operators import aggregates as G
 from ebbflow.operators import dead_letters as DL
+from ebbflow.operators import distinct_state as DS
 from ebbflow.operators import events as E
 from ebbflow.operators import governance as V
+from ebbflow.operators import overlap as OV
 from ebbflow.operators import reports as P
 from ebbflow.operators import routing as R
 from ebbflow.operators import types as T
 from ebbflow.plans import event_lake as EL
 from ebbflow.sinks import compact as CP
+from ebbflow.sinks import curve as CU
+from ebbflow.sinks import parquet as W
 from ebbflow.sinks import quarantine as QN
 from ebbflow.sinks.versions import Commit, VersionedTable
 from ebbflow.streaming import incremental as INC
@@ -284,3 +288,59 @@ def test_files_too_long_for_a_cell_are_kept_in_parts(spark, tmp_dir):
     parts = spark.read.parquet(f"{tmp_dir}/parts").orderBy("part").collect()
     assert b"".join(r["content"] for r in parts) == b"\x1f\x8b" + data
     assert QN.with_content(spark, q).first()["content"] == b"\x1f\x8b" + data
+
+
+# ------------------------------------------------------------------ curve, overlap, distinct state
+def test_curve_lets_every_column_skip_files(spark, tmp_dir):
+    df = spark.range(40_000).select(F.lit("2024-01-01").alias("d"), F.pmod(F.xxhash64("id"), F.lit(10_000)).alias("a"),
+                                    F.format_string("f%05d", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10_000))).alias("b"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        CU.write_curve(df, f"{tmp_dir}/z", "d", ["a", "b"], num_partitions=64)
+        W.write_clustered(df.repartitionByRange(64, "a", "b"), f"{tmp_dir}/sorted", "d", ["a", "b"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+    def read(path, column, value):
+        """Share of files whose range holds the value: those that statistics cannot skip."""
+        ranges = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
+        return sum(r["lo"] <= value <= r["hi"] for r in ranges) / len(ranges)
+
+    shares = {c: read(f"{tmp_dir}/z", c, v) for c, v in (("a", 5000), ("b", "f05000"))}
+    assert max(shares.values()) < 0.4 and read(f"{tmp_dir}/sorted", "b", "f05000") > 0.9
+    assert rows_of(spark.read.parquet(f"{tmp_dir}/z").drop("d")) == rows_of(df.drop("d"))
+
+
+def test_z_key_interleaves_bits(spark):
+    r = spark.range(1).select(CU.z_key([F.lit(5).cast("long"), F.lit(3).cast("long")], 3).alias("k"), CU.rank(F.lit(None).cast("long"), [1, 2]).alias("r"),
+                              CU.rank(F.lit(2).cast("long"), [1, 2, 7]).alias("s")).first()
+    assert (r["k"], r["r"], r["s"]) == (0b100111, 0, 2)
+
+
+def test_overlap_follows_inserted_lines(spark):
+    rng = random.Random(8)
+    lines = [f"{rng.random()},{i}" for i in range(200)]
+    ts = [dt.datetime(2024, 1, d) for d in (1, 2, 3, 4)]
+    rows = [("a", ts[0], "h", 1, "\n".join(lines)), ("b", ts[1], "h", 1, "\n".join(lines[:90] + ["new,1"] + lines[90:])),
+            ("c", ts[2], "h", 1, "\n".join(f"{rng.random()},x" for _ in range(50))), ("d", ts[3], "h", 1, None), ("e", ts[3], "h", 1, "")]
+    found = OV.overlapping_files(OV.file_chunks(manifest(spark, rows))).collect()
+    assert [(r["file_name"], r["earlier_file"]) for r in found] == [("b", "a")]
+    assert found[0]["shared_chunks"] > 0.8 * found[0]["file_chunks"]
+
+
+def test_distinct_counts_merge_exactly(spark):
+    rng = random.Random(9)
+    rows = [(f"f{rng.randint(0, 300)}", dt.datetime(2024, 1, rng.randint(1, 6), 3), rng.choice(["A", "B", None]), rng.choice([None, 1, 2, 5]), rng.random() < 0.1)
+            for _ in range(2000)] + [(None, dt.datetime(2024, 1, 1), "A", 1, False)]
+    failed = spark.createDataFrame(rows, "file_name string, failed_timestamp timestamp, failure_reason string, record_count bigint, is_resolved boolean")
+    known, states = None, []
+    for day in range(1, 7):
+        own = failed.where(F.dayofmonth("failed_timestamp") == day)
+        known = DS.number_names(own.select("file_name"), known)
+        known = spark.createDataFrame(known.collect(), known.schema)
+        states.append(DS.failure_state(own, known))
+    state = states[0]
+    for s in states[1:]:
+        state = state.unionByName(s)
+    assert rows_of(DS.dlq_summary(state)) == rows_of(P.dlq_summary(failed))
+    assert known.count() == known.select("part", "number").distinct().count() == known.select("file_name").distinct().count()
