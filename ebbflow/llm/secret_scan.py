@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import id_and_text, prepare, record
+from ebbflow.llm.common import id_and_text, prepare, record, stage
 
 
 def _either_case(words: str) -> str:
@@ -252,7 +252,7 @@ def labelled(source: DataFrame, most: int, least_length: int) -> DataFrame:
             found = smallest(found)
             yield record(_LABELLED, kind=[kind] * len(found), hash=list(found.values()), value=list(found))
 
-    every = source.select("text").mapInArrow(run, "kind string, hash long, value string").distinct()
+    every = stage(source.select("text").mapInArrow(run, "kind string, hash long, value string").distinct(), "secrets-labelled")
     parts = [every.where(F.col("kind") == k).orderBy("hash", "value").limit(most) for k in (*KINDS, PLAIN)]
     out = parts[0]
     for p in parts[1:]:
