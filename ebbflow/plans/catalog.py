@@ -33,6 +33,7 @@ from ebbflow.sinks import curve as CU
 from ebbflow.sinks import parquet as W
 from ebbflow.sinks import quarantine as QN
 from ebbflow.sources import files as S
+from ebbflow.streaming import freshness as FR
 from ebbflow.streaming import incremental as INC
 from ebbflow.streaming import rolling as ROLL
 
@@ -614,7 +615,19 @@ def q_dlq_summary_from_state(spark, sf):
     return DS.dlq_summary(first.where(~of_27).unionByName(DS.failure_state(late, numbers)))
 
 
+def q_freshness_alerts(spark, sf):
+    """Alerts of each tenant's events as loads, replayed as a stream."""
+    apply_base_conf(spark)
+    path = scratch_path(spark, "loads")
+    (A.table(spark, sf, "events").select(F.concat(F.lit("t"), (F.col("user_id") % 5).cast("string")).alias("source"),
+                                         F.col("ts").cast("timestamp").alias("load_timestamp")).write.parquet(path))
+    out = scratch_path(spark, "alerts")
+    FR.run_alerts(spark, spark.readStream.schema("source string, load_timestamp timestamp").parquet(path), out, scratch_path(spark, "alerts-ckpt"))
+    return spark.read.schema(FR.ALERT_DDL).parquet(out)
+
+
 QUERIES.update({
+    "freshness_alerts": q_freshness_alerts,
     "curve_clustered_write": q_curve_clustered_write,
     "overlapping_files": q_overlapping_files,
     "dlq_summary_from_state": q_dlq_summary_from_state,

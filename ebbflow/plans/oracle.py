@@ -669,6 +669,12 @@ SELECT n.file_name, n.load_timestamp, n.load_date, n.file_hash, n.record_count,
 FROM pfiles n LEFT JOIN pfiles_1 o USING (file_name, file_hash)
 UNION ALL
 SELECT o.* FROM pfiles_1 o ANTI JOIN pfiles n USING (file_name, file_hash)""")
+    q["freshness_alerts"] = f"""
+WITH loads AS (SELECT DISTINCT 't' || CAST(user_id % 5 AS VARCHAR) AS source, epoch_us(ts) // 1000 AS ms FROM events WHERE ts IS NOT NULL),
+gaps AS (SELECT source, ms, COALESCE(lead(ms) OVER (PARTITION BY source ORDER BY ms), (SELECT max(ms) - 1 FROM loads)) - ms AS gap FROM loads)
+SELECT source, CAST(ms AS BIGINT) AS last_loaded_ms, 'warn' AS status FROM gaps WHERE gap > {C.FRESHNESS_WARN_HOURS * 3600000}
+UNION ALL
+SELECT source, CAST(ms AS BIGINT), 'error' FROM gaps WHERE gap > {C.FRESHNESS_ERROR_HOURS * 3600000}"""
     q["curve_clustered_write"] = base["processed_files"]
     q["overlapping_files"] = _with(MANIFEST, """,
 files AS (SELECT row_number() OVER () AS f, file_name, load_timestamp, string_split(raw_content, chr(10)) AS ls FROM manifest WHERE raw_content <> ''),
