@@ -491,7 +491,8 @@ def q_incremental_ingest(spark, sf):
 def q_incremental_routed(spark, sf):
     root = _root(spark, sf)
     out, ckpt = scratch_path(spark, "ingest-routed"), scratch_path(spark, "ingest-routed-ckpt")
-    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, A.DLQ_LOCATION, max_files_per_trigger=64, route=True)
+    INC.ingest_new_files(spark, root, out, ckpt, A.EVENTS_CLOCK, A.DLQ_LOCATION, max_files_per_trigger=64, route=True,
+                         normalize_activity=False, route_empty_tenant=True)
     routed = INC.read_routed(spark, out)
     return routed.select(*[c for c in routed.columns if c != "filename"], _basename().alias("file_name"))
 

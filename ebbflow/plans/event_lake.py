@@ -219,22 +219,31 @@ def _stage(df: DataFrame, path: str) -> None:
 
 
 def isolated_write(df: DataFrame, write: Callable[[DataFrame], None]) -> dict[str, str]:
-    """Write all tables of ``df`` in one job; if that fails, table by table.
+    """Write all tables of ``df`` in one job; if that fails, in halves, and so on.
 
     Returns the error of each table that could not be written. A table that can
-    be written is, whatever happens to the others.
+    be written is, whatever happens to the others; few bad tables among many
+    cost a few jobs each, not one for every table.
     """
-    try:
-        write(df)
-        return {}
-    except Exception:  # noqa: BLE001 - told apart by table below
-        failed: dict[str, str] = {}
-        for (t,) in df.select("table_name").distinct().collect():  # tables of one run, no rows
-            try:
-                write(df.where(F.col("table_name").eqNullSafe(F.lit(t))))
-            except Exception as e:  # noqa: BLE001 - recorded, and the next table is tried
-                failed[t] = f"{type(e).__name__}: {e}"
-        return failed
+    failed: dict[str, str] = {}
+
+    def attempt(part: DataFrame, tables: list | None) -> None:
+        try:
+            write(part)
+            return
+        except Exception as e:  # noqa: BLE001 - told apart by table below
+            if tables is None:
+                tables = sorted((r["table_name"] for r in df.select("table_name").distinct().collect()), key=str)  # tables of one run, no rows
+            if len(tables) == 1:
+                failed[tables[0]] = f"{type(e).__name__}: {e}"
+                return
+        for half in (tables[:len(tables) // 2], tables[len(tables) // 2:]):
+            if half:
+                own = F.col("table_name").isin([t for t in half if t is not None])
+                attempt(df.where(own | F.col("table_name").isNull() if None in half else own), half)
+
+    attempt(df, None)
+    return failed
 
 
 @dataclass

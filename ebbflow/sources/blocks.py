@@ -258,14 +258,16 @@ def records(pieces: Iterator[bytes], line_sep: str) -> Iterator[list[str]]:
         yield [text(held)]
 
 
-_RECORDS = pa.schema([("filename", pa.string()), ("value", pa.string())])
+_RECORDS = pa.schema([("filename", pa.string()), ("value", pa.string()), ("tag", pa.int64())])
 
 
 def read_records(ranges: DataFrame, tasks: int) -> DataFrame:
-    """``(filename, value)``: every record but the header of ``ranges (path, line_sep, begin, end, gzipped)``."""
+    """``(filename, value, tag)``: every record but the header of ``ranges (path, line_sep, begin, end, gzipped, tag)``."""
+    columns = ("path", "line_sep", "begin", "end", "gzipped", "tag")
+
     def run(batches):
         for b in batches:
-            for path, sep, begin, end, gzipped in zip(*(b.column(c).to_pylist() for c in ("path", "line_sep", "begin", "end", "gzipped")), strict=True):
+            for path, sep, begin, end, gzipped, tag in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
                 with open_file(path) as f:
                     f.seek(begin)
                     header = begin == 0
@@ -278,9 +280,9 @@ def read_records(ranges: DataFrame, tasks: int) -> DataFrame:
                         values = [v for v in values if v]
                         for at in range(0, len(values), 10_000):
                             part = values[at:at + 10_000]
-                            yield pa.RecordBatch.from_pydict({"filename": [path] * len(part), "value": part}, schema=_RECORDS)
+                            yield pa.RecordBatch.from_pydict({"filename": [path] * len(part), "value": part, "tag": [tag] * len(part)}, schema=_RECORDS)
 
-    return ranges.repartition(tasks).select("path", "line_sep", "begin", "end", "gzipped").mapInArrow(run, "filename string, value string")
+    return ranges.repartition(tasks).select(*columns).mapInArrow(run, "filename string, value string, tag long")
 
 
 def _without_mark(pieces: Iterator[bytes]) -> Iterator[bytes]:

@@ -77,6 +77,7 @@ PROBE_SCHEMA = T.StructType([
 STATUS_OK = "OK"
 MAX_CELL = 1 << 30  # bytes of a file that one cell takes
 SPLIT_BYTES = 128 << 20  # a longer plain file is read by several tasks
+MOST_HEADERS = 64  # distinct headers that get a plan each
 
 # Names that the scan and the processing add; a source column of such a name gets a suffix.
 RESERVED_COLUMNS = ("filename", "prefix", "date", "_time", "table_name", "_corrupt_record", "__malformed", "batch_id", "reason",
@@ -350,21 +351,50 @@ def _read_group(spark: SparkSession, paths: list[str], header: list[str], is_gzi
                      plain_path(F.col("_metadata.file_path")).alias("filename"))
 
 
-def _read_split(spark: SparkSession, files: DataFrame, header: list[str], split_bytes: int) -> DataFrame:
-    """The same rows from records: ``files (path, length, line_sep, gzipped)`` of one header."""
-    names = unique_clean_names(header, RESERVED_COLUMNS)
+def _file_records(files: DataFrame, split_bytes: int) -> DataFrame:
+    """``(filename, value, tag)`` of every record of ``files (path, length, line_sep, gzipped, tag)``."""
+    tags = files.select("path", "tag")
     plain_files = files.where(~F.col("gzipped"))
     whole = files.where(F.col("gzipped")).select("path", "line_sep", F.lit(0).cast("long").alias("begin"), F.col("length").alias("end"), "gzipped")
     ranges = blocks.record_ranges(plain_files, split_bytes).withColumn("gzipped", F.lit(False)).unionByName(whole)
-    found = blocks.read_records(ranges, blocks.n_tasks(files, split_bytes))
-    ddl = ", ".join(f"c{i} string" for i in range(len(names))) + ", _corrupt_record string"
+    return blocks.read_records(ranges.join(tags, "path"), blocks.n_tasks(files, split_bytes))
+
+
+def _parsed(records: DataFrame, width: int) -> DataFrame:
+    """``records`` with ``row``: a struct of ``c0, c1, ...`` and ``_corrupt_record``."""
+    ddl = ", ".join(f"c{i} string" for i in range(width)) + ", _corrupt_record string"
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
-    row = F.from_csv("value", ddl, options).alias("row")
-    parsed = found.select("filename", row)
+    return records.withColumn("row", F.from_csv("value", ddl, options))
+
+
+def _read_split(spark: SparkSession, files: DataFrame, header: list[str], split_bytes: int) -> DataFrame:
+    """The rows of files of one header, from their records."""
+    names = unique_clean_names(header, RESERVED_COLUMNS)
+    parsed = _parsed(_file_records(files, split_bytes), len(names))
     return parsed.select(*[F.col(f"row.c{i}").alias(n) for i, n in enumerate(names)], F.col("row._corrupt_record").alias("_corrupt_record"),
                          F.col("row._corrupt_record").isNotNull().alias("__malformed"), "filename")
 
 
+def _read_by_name(spark: SparkSession, files: DataFrame, headers: dict[int, tuple], split_bytes: int) -> list[DataFrame]:
+    """The same for files of many headers: one plan for each width of a header, columns picked by name.
+
+    ``files`` carries its header's number as ``tag``.
+    """
+    clean = {n: unique_clean_names(list(h), RESERVED_COLUMNS) for n, h in headers.items()}
+    union = list(dict.fromkeys(c for names in clean.values() for c in names))
+    frames = []
+    for width in sorted({len(h) for h in headers.values()}):
+        own = [(n, clean[n]) for n, h in headers.items() if len(h) == width]
+        table = spark.createDataFrame(own, "tag long, names array<string>")
+        rows = _parsed(_file_records(files.join(table.select("tag"), "tag", "left_semi"), split_bytes), width).join(table, "tag")
+        here = {c for _, names in own for c in names}
+        by_name = F.map_from_arrays("names", F.array(*[F.col(f"row.c{i}") for i in range(width)]))
+        rows = rows.select("filename", "row", by_name.alias("by_name"))
+        frames.append(rows.select(*[F.col("by_name")[c].alias(c) for c in union if c in here], F.col("row._corrupt_record").alias("_corrupt_record"),
+                                  F.col("row._corrupt_record").isNotNull().alias("__malformed"), "filename"))
+    return frames
+
+
 def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff", split_bytes: int = SPLIT_BYTES) -> ScanResult:
     """Read every OK file once, union by column name.
 
@@ -385,22 +415,25 @@ def scan_csv(spark: SparkSession, files: DataFrame, compression: str = "sniff",
     number = F.xxhash64("header")
     headers = {r["number"]: tuple(r["header"])
                for r in ok.groupBy(number.alias("number")).agg(F.first("header").alias("header")).collect()}
+    many = len(headers) > MOST_HEADERS  # then columns are picked by name, not by a plan for each header
     split = set()
     opened: dict[str, bool] = {}
     for r in ok.select(number.alias("number"), "gzipped", "by_records", "path").collect():
         scheme = r["path"].split(":", 1)[0]
-        if r["by_records"] and opened.setdefault(scheme, blocks.reachable(r["path"])):
+        if (many or r["by_records"]) and opened.setdefault(scheme, blocks.reachable(r["path"])):
             split.add(r["number"])
         else:
             groups[headers[r["number"]], r["gzipped"]].append(r["path"])
     frames = [_read_group(spark, sorted(paths), list(header), is_gzip, compression)
               for (header, is_gzip), paths in sorted(groups.items(), key=lambda kv: min(kv[1]))]
     closed = [s for s, is_open in opened.items() if not is_open]
-    records = ok.where(F.col("by_records"))
+    records = (ok if many else ok.where(F.col("by_records"))).select("path", "length", "line_sep", "gzipped", number.alias("tag"))
     if closed:
         records = records.where(~F.split("path", ":")[0].isin(closed))
-    frames += [_read_split(spark, records.where(number == n).select("path", "length", "line_sep", "gzipped"), list(headers[n]), split_bytes)
-               for n in sorted(split)]
+    if many:
+        frames += _read_by_name(spark, records, {n: headers[n] for n in split}, split_bytes)
+    else:
+        frames += [_read_split(spark, records.where(F.col("tag") == n), list(headers[n]), split_bytes) for n in sorted(split)]
     if not frames:
         empty = empty_events(spark)
         return ScanResult(empty, spark.createDataFrame([], "filename string, _corrupt_record string"), files)

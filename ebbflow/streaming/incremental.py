@@ -68,8 +68,8 @@ def _listed(spark: SparkSession, paths: list[str], suffix: str) -> DataFrame:
 
 def process_batch(spark: SparkSession, paths: list[str], batch_id: int | str, output_root: str,
                   clock: C.RunClock, dlq_location: str, suffix: str = C.SOURCE_SUFFIX, compression: str = "sniff",
-                  route: bool = False, rules: R.RuleSet | None = None, normalize_activity: bool = False,
-                  route_empty_tenant: bool = True) -> None:
+                  route: bool = False, rules: R.RuleSet | None = None, normalize_activity: bool = True,
+                  route_empty_tenant: bool = False) -> None:
     """One micro-batch: probe, quarantine, scan, process and aggregate the given
     files and (optionally) route them. Every output goes to this batch's own
     ``batch_id`` partition with overwrite, so running a batch again (as
@@ -102,8 +102,8 @@ def process_batch(spark: SparkSession, paths: list[str], batch_id: int | str, ou
 def ingest_new_files(spark: SparkSession, source_root: str, output_root: str, checkpoint: str,
                      clock: C.RunClock, dlq_location: str, max_files_per_trigger: int = 500,
                      suffix: str = C.SOURCE_SUFFIX, compression: str = "sniff",
-                     route: bool = False, rules: R.RuleSet | None = None, normalize_activity: bool = False,
-                     route_empty_tenant: bool = True) -> int:
+                     route: bool = False, rules: R.RuleSet | None = None, normalize_activity: bool = True,
+                     route_empty_tenant: bool = False) -> int:
     """Process every file not seen by earlier runs; returns micro-batches run.
 
     With ``route=True`` each micro-batch also writes its routed rows under

@@ -100,6 +100,27 @@ def test_split_file_gives_the_rows_of_spark_reader(spark, tmp_dir, sep):
     assert counts[0] == counts[1] == split.rows.count() + split.bad_rows.count()
 
 
+def test_many_headers_make_a_bounded_plan(spark, tmp_dir, monkeypatch):
+    rng = random.Random(3)
+    for k in range(30):
+        names = ["adid", "created_at", *rng.sample([f"c{i}" for i in range(6)] + ["Country", "{country}", "date"], rng.randint(0, 3))]
+        rng.shuffle(names)
+        body = ",".join(names) + "\n" + "".join(",".join(f'"{n}\n{i}"' if rng.random() < 0.3 else f"{k}{i}" for n in names) + "\n" for i in range(5)) + "short\n"
+        with (gzip.open if k % 3 else open)(f"{tmp_dir}/t{k}_2024-01-01T00.csv.gz", "wb") as f:
+            f.write(body.encode())
+    each = S.load_events(spark, tmp_dir)
+    monkeypatch.setattr(S, "MOST_HEADERS", 2)
+    by_name = S.load_events(spark, tmp_dir)
+
+    def rows(df):
+        return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+    assert rows(by_name.rows) == rows(each.rows) and by_name.rows.count() == 150
+    assert by_name.bad_rows.count() == each.bad_rows.count() == 30
+    # One read of records for each width of a header (three or four here), however many headers there are.
+    assert by_name.rows._jdf.queryExecution().optimizedPlan().toString().count("from_csv") <= 2 * 4
+
+
 def test_one_plain_file_is_read_by_many_tasks(spark, tmp_dir):
     with open(f"{tmp_dir}/ta_2024-01-01T00.csv.gz", "w") as f:
         f.write("adid,note\n" + "".join(f'u{i},"line\nbreak {i}"\n' for i in range(20_000)))
