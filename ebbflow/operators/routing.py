@@ -49,18 +49,25 @@ class RuleSet:
     def frame(self, spark: SparkSession) -> DataFrame:
         """Rules as an inline VALUES relation: one small local table, parsed
         once, no Python-side scan."""
-        def q(x: str) -> str:
-            return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-        def arr(a):
-            return "CAST(NULL AS ARRAY<STRING>)" if a is None else "array(" + ", ".join(q(t) for t in a) + ")"
-        values = ", ".join(f"({q(s)}, {q(c)}, {q(v)}, {arr(a)})" for s, c, v, a in self.rules)
+        values = ", ".join(f"({_text(s)}, {_text(c)}, {_text(v)}, {_texts(a)})" for s, c, v, a in self.rules)
         return spark.sql(f"SELECT * FROM VALUES {values} AS rules(suffix, filter_column, filter_value, allowed)")
 
     def by_value(self, spark: SparkSession, column: str) -> DataFrame:
-        """``(value, found)``: the rules of a filter column, in an array by value."""
-        own = self.frame(spark).where(F.col("filter_column") == column)
-        return own.groupBy(F.col("filter_value").alias("value")).agg(F.collect_list(F.struct("suffix", "allowed")).alias("found"))
+        """``(value, found)``: the rules of a filter column, in an array by value (an inline relation as well)."""
+        found: dict[str, list[str]] = {}
+        for s, c, v, a in self.rules:
+            if c == column:
+                found.setdefault(v, []).append(f"named_struct('suffix', {_text(s)}, 'allowed', {_texts(a)})")
+        values = ", ".join(f"({_text(v)}, array({', '.join(rules)}))" for v, rules in found.items())
+        return spark.sql(f"SELECT * FROM VALUES {values} AS rules(value, found)")
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _texts(a: list[str] | None) -> str:
+    return "CAST(NULL AS ARRAY<STRING>)" if a is None else "CAST(array(" + ", ".join(map(_text, a)) + ") AS ARRAY<STRING>)"
 
 
 def routed_rows(processed: DataFrame, rules: RuleSet, tenant_col: str = "prefix",
