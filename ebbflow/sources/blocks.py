@@ -291,6 +291,20 @@ def _without_mark(pieces: Iterator[bytes]) -> Iterator[bytes]:
     yield from pieces
 
 
+def whole_texts(files: DataFrame) -> DataFrame:
+    """``(path, raw_content)``: the text of files ``(path, gzipped)``, one cell each."""
+    schema = pa.schema([("path", pa.string()), ("raw_content", pa.string())])
+
+    def run(batches):
+        for b in batches:
+            for path, gzipped in zip(b.column("path").to_pylist(), b.column("gzipped").to_pylist(), strict=True):
+                with open_file(path) as f:
+                    text = b"".join(_pieces(f, None, gzipped)).decode("utf-8", "replace")
+                yield pa.RecordBatch.from_pydict({"path": [path], "raw_content": [text]}, schema=schema)
+
+    return files.select("path", "gzipped").mapInArrow(run, "path string, raw_content string")
+
+
 # ------------------------------------------------------------------ parts of files
 _PARTS = pa.schema([("source_path", pa.string()), ("part", pa.int64()), ("content", pa.binary())])
 

@@ -15,20 +15,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow.session import scratch_path
+from ebbflow.sources import blocks
 from ebbflow.sources.files import PASSTHROUGH_OPTIONS, STATUS_OK, ScanResult
 from ebbflow.sources.paths import glob_escape, plain_path
 
 
+def _read_by_tasks(name: Column, path: Column, padded: Column) -> Column:
+    """Files whose text tasks read themselves, of paths that they can open."""
+    return (name.rlike("^[_.]") | padded) & path.startswith("file:")
+
+
 def _content(spark: SparkSession, files: DataFrame, compression: str) -> DataFrame:
     ok = files.where(F.col("status") == F.lit(STATUS_OK))
+    # Spark's text source reads neither hidden names nor gzip members followed by padding.
+    own = _read_by_tasks(F.col("file_name"), F.col("path"), F.coalesce("padded", F.lit(False)))
     groups: dict[bool, list[str]] = {}
-    for r in ok.select("is_gzip", "path").collect():  # file metadata, one row per file
-        groups.setdefault(bool(r["is_gzip"]), []).append(r["path"])
+    by_tasks = 0
+    for r in ok.select("is_gzip", "path", own.alias("own")).collect():  # file metadata, one row per file
+        if r["own"]:
+            by_tasks += 1
+        else:
+            groups.setdefault(bool(r["is_gzip"]), []).append(r["path"])
     frames = []
+    if by_tasks:
+        gzipped = F.lit(False) if compression == "none" else F.coalesce("is_gzip", F.lit(False))
+        frames.append(blocks.whole_texts(ok.where(own).select("path", gzipped.alias("gzipped")).repartition(min(by_tasks, 10_000))))
     for is_gzip, paths in sorted(groups.items()):
         reader = spark.read
         if compression == "none" or (compression == "sniff" and not is_gzip):

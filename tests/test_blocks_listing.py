@@ -148,6 +148,15 @@ def test_hidden_and_padded_files_are_read(spark, tmp_dir):
         assert {r["file_name"]: r["file_hash"] for r in scan.files.collect()}["c_2024-01-01T00.csv.gz"] == hashlib.sha256(f.read()).hexdigest()
 
 
+def test_manifest_of_hidden_and_padded_files(spark, tmp_dir):
+    body = b"adid,created_at\nu1,1\nu2,2\n"
+    for name, data in {"_a": body, ".b": gzip.compress(body), "c": gzip.compress(body) + bytes(7), "d": body}.items():
+        with open(f"{tmp_dir}/{name}_2024-01-01T00.csv.gz", "wb") as f:
+            f.write(data)
+    rows = build_manifest(spark, S.load_events(spark, tmp_dir, hash_bytes=True)).collect()
+    assert len(rows) == 4 and {(r["raw_content"], r["record_count"]) for r in rows} == {(body.decode(), 2)}
+
+
 def test_header_is_bounded_and_may_hold_line_ends(monkeypatch):
     g, header, ok, _, sep, padded = S._probe_stream(io.BytesIO(b'a,"b\nc"\r1,2\r'), True, False)
     assert (g, header, ok, sep, padded) == (False, ["a", "b\nc"], True, "\r", False)
