@@ -29,7 +29,8 @@ MARKER = "_compaction"
 
 def plan(spark: SparkSession, path: str, target_bytes: int) -> DataFrame:
     """``(folder, path, length, bin)`` of the files to be rewritten; a bin number is one of the whole table."""
-    files = listing.list_files(spark, [path]).where(F.col("path").endswith(".parquet") & ~F.col("path").rlike("/[_.]"))
+    below = F.substring(F.col("path"), len(listing.qualified(spark, path).rstrip("/")) + 1, 1 << 20)
+    files = listing.list_files(spark, [path]).where(F.col("path").endswith(".parquet") & ~below.rlike("/[_.]"))
     files = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), "path", "length").where(F.col("length") < target_bytes)
     # One partition's files meet in one task: rows of two names and a number.
     order = Window.partitionBy("folder").orderBy(F.col("length").desc(), "path")

@@ -88,7 +88,7 @@ def list_source_files(spark: SparkSession, root: str | list[str],
                       suffix: str = C.SOURCE_SUFFIX, name_glob: str | None = None) -> DataFrame:
     """``path, file_name, length, modification_time`` for every file under
     ``root`` whose name ends with ``suffix`` (S1), or matches ``name_glob``. Listing errors raise."""
-    roots = [root] if isinstance(root, str) else list(root)
+    roots = [listing.qualified(spark, r) for r in ([root] if isinstance(root, str) else list(root))]
     pattern = name_glob or f"*{suffix}"
     if all(listing.can_list(r) for r in roots):
         rows = listing.list_files(spark, roots).where(F.col("path").endswith(suffix)).select(

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -127,6 +128,14 @@ def _batch(rows: list[tuple[str, int, float]]) -> pa.RecordBatch:
                                        pa.array(times, pa.timestamp("us", tz="UTC"))], schema=_ROWS)
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """A root with its scheme: one without is a path of the cluster's default file system."""
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", root):
+        return root
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def can_list(root: str) -> bool:
     """Whether this source reaches the root (a glob, or a scheme that Arrow does not know, is left to Spark)."""
     try:
@@ -140,4 +149,4 @@ def list_files(spark: SparkSession, roots: list[str]) -> DataFrame:
     """``path, length, modification_time`` of all files below the roots."""
     ship_package(spark)
     spark.dataSource.register(FileListing)
-    return spark.read.format(FileListing.name()).option("roots", json.dumps(roots)).load()
+    return spark.read.format(FileListing.name()).option("roots", json.dumps([qualified(spark, r) for r in roots])).load()

@@ -185,6 +185,11 @@ def test_listing_of_files_and_folders(spark, tmp_dir):
     assert L.can_list(tmp_dir) and not L.can_list(f"{tmp_dir}/no*")
 
 
+def test_roots_without_a_scheme_are_of_the_default_file_system(spark):
+    assert L.qualified(spark, "/tmp/a b%41") == "file:/tmp/a b%41"
+    assert L.qualified(spark, "s3a://bucket/x") == "s3a://bucket/x" and L.qualified(spark, "file:/x") == "file:/x"
+
+
 def test_other_schemes_open_through_arrow(tmp_dir):
     with open(f"{tmp_dir}/f", "w") as f:
         f.write("abc")
