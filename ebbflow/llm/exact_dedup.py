@@ -1,7 +1,7 @@
 """Exact deduplication by a stateful stream (operator 6).
 
 Texts are equal when identical after lower-casing A-Z. One narrow pass gives
-every row a locator (task and row number) and the SHA-256 digest of its
+every row a locator (run, task and row number) and the SHA-256 digest of its
 normalised text. These narrow rows are streamed through a keyed state on disk
 (RocksDB) that never expires: per digest it retains the stable identifier of
 the row that stays, its content locator and the number of rows seen. A later
@@ -32,6 +32,7 @@ from ebbflow.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+COMPARED = 256  # rows of a group that one task compares with the content that stays
 _PREALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("locator", pa.int64()), ("digest", pa.binary()), ("text_sha256", pa.string())])
 _DIGESTS_DDL = "doc_id long, locator long, digest binary, text_sha256 string"
@@ -43,9 +44,10 @@ def normalised(text: bytes) -> bytes:
     return text.lower()
 
 
-def digests(docs: DataFrame, digest_bytes: int = 32) -> DataFrame:
+def digests(docs: DataFrame, digest_bytes: int = 32, run_number: int = 0) -> DataFrame:
+    """``run_number`` tells the rows of several runs on one state apart; it is part of the locator."""
     def run(batches):
-        at = TaskContext.get().partitionId() << 33
+        at = (run_number << 54) | (TaskContext.get().partitionId() << 33)
         for b in batches:
             sha = [hashlib.sha256(normalised(t)) for t in text_bytes(b.column("text"))]
             yield record(_DIGESTS, doc_id=b.column("doc_id"), locator=range(at, at + len(sha)),
@@ -118,20 +120,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, columns as they are."""
     found = stage(exact_dedup(docs), "exact-dedup-found")
-    kept = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept"))
-
-    at = docs.columns.index("text")
+    kept = found.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha256"))
+    # The whole row goes along in one column, so no name of its columns clashes.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def run(batches):
         for b in batches:
-            sha = [hashlib.sha256(normalised(t)).hexdigest() for t in text_bytes(b.column(at))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sha, pa.string())], [*b.schema.names, "__sha"])
+            sha = [hashlib.sha256(normalised(t)).hexdigest() for t in text_bytes(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(sha, pa.string())], ["row", "doc_id", "sha256"])
 
-    rows = docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField("__sha", T.StringType())]))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__sha"] == kept["__kept"]), "left_semi")
+    rows = rows.mapInArrow(run, T.StructType([rows.schema["row"], rows.schema["doc_id"], T.StructField("sha256", T.StringType())]))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("sha256") == F.col("kept_sha256")), "left_semi")
     if not found.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id", "__sha"])  # a row that is there several times stays once
-    return rows.drop("__sha")
+        rows = rows.dropDuplicates(["doc_id", "sha256"])  # a row that is there several times stays once
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _contents(source: DataFrame) -> DataFrame:
@@ -151,14 +154,19 @@ def differing(source: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFram
     Only rows of groups take part: their texts are read back by identifier.
     """
     # A repeated identifier reads back as each of its texts, so the digest of the whole text picks the right one.
-    hits = rows.join(groups.where("group_size > 1"), "digest").select("doc_id", "text_sha256", "digest", F.col("stays.locator").alias("stays"), "locator")
-    hits = hits.groupBy("doc_id", "text_sha256", "digest", "stays").agg(F.max(F.col("locator") == F.col("stays")).alias("is_kept"))
+    hits = rows.join(groups.where("group_size > 1"), "digest").select("doc_id", "text_sha256", "digest", F.col("stays.locator").alias("stays"), "locator",
+                                                                       "group_size")
+    hits = hits.groupBy("doc_id", "text_sha256", "digest", "stays", "group_size").agg(F.max(F.col("locator") == F.col("stays")).alias("is_kept"))
     contents = _contents(source).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
     hits = hits.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    read = hits.join(contents, ["doc_id", "text_sha256"]).select("digest", "is_kept", "content")
+    read = hits.join(contents, ["doc_id", "text_sha256"]).select("digest", "is_kept", "content", "group_size", "doc_id")
     read = stage(read, "exact-dedup-contents")
-    kept = read.where("is_kept").select("digest", F.col("content").alias("kept_content")).dropDuplicates(["digest"])
-    return read.join(kept, "digest").where(F.col("content") != F.col("kept_content")).select("digest")
+    # A large group is compared by several tasks, each with its own copy of the content that stays.
+    parts = F.ceil(F.col("group_size") / COMPARED).cast("long")
+    kept = read.where("is_kept").select("digest", F.col("content").alias("kept_content"), "group_size").dropDuplicates(["digest"])
+    kept = kept.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("group_size")
+    read = read.withColumn("part", F.pmod(F.xxhash64("doc_id"), parts))
+    return read.join(kept, ["digest", "part"]).where(F.col("content") != F.col("kept_content")).select("digest")
 
 
 def regrouped(source: DataFrame, rows: DataFrame, odd: DataFrame) -> DataFrame:

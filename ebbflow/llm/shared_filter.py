@@ -26,14 +26,20 @@ _PARTS = pa.schema([("bucket", pa.int32()), ("alone", pa.binary()), ("shared", p
 
 
 class SharedFilter:
-    """``hits`` tells which hashes may occur in two or more rows."""
+    """``hits`` tells which hashes may occur in two or more rows, ``often`` which may in many."""
 
-    def __init__(self, bits: np.ndarray, log_bits: int):
-        self.bits, self.shift = bits, np.uint64(64 - log_bits)
+    def __init__(self, bits: np.ndarray, log_bits: int, many: np.ndarray | None = None):
+        self.bits, self.many, self.shift = bits, many, np.uint64(64 - log_bits)
 
-    def hits(self, hashes: np.ndarray) -> np.ndarray:
+    def _in(self, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> self.shift
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
+        return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
+
+    def hits(self, hashes: np.ndarray) -> np.ndarray:
+        return self._in(self.bits, hashes)
+
+    def often(self, hashes: np.ndarray) -> np.ndarray:
+        return self._in(self.many, hashes)
 
 
 def _parts(hashes: list[np.ndarray]) -> pa.RecordBatch:
@@ -47,8 +53,13 @@ def _parts(hashes: list[np.ndarray]) -> pa.RecordBatch:
     return record(_PARTS, bucket=buckets, alone=[r[~s].tobytes() for r, s in cut], shared=[r[s].tobytes() for r, s in cut])
 
 
-def shared_filter(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], log_bits: int = 27) -> SharedFilter:
-    """``hashes_of`` yields arrays of hashes, each row's without repeats, for a batch of ``rows``."""
+def shared_filter(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], log_bits: int = 27,
+                  many_parts: int = 0) -> SharedFilter:
+    """``hashes_of`` yields arrays of hashes, each row's without repeats, for a batch of ``rows``.
+
+    With ``many_parts``, a second map marks hashes that so many parts of tasks' rows hold. It depends on how
+    rows are dealt, so it may serve an order of work, not a result.
+    """
     def run(batches: Iterator[pa.RecordBatch]):
         held, size = [], 0
         for b in batches:
@@ -63,19 +74,26 @@ def shared_filter(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterabl
     slice_bits = log_bits - BUCKET_BITS
 
     def merge(parts: pd.DataFrame) -> pd.DataFrame:
-        alone = np.concatenate([np.frombuffer(x, np.uint32) for x in parts["alone"]])
         shared = np.concatenate([np.frombuffer(x, np.uint32) for x in parts["shared"]])
-        alone = np.sort(alone)
-        again = alone[1:][alone[1:] == alone[:-1]]
-        both = np.intersect1d(alone, shared)
-        found = np.concatenate([shared, again, both])
-        bits = np.zeros(1 << slice_bits, bool)
-        bits[found >> np.uint32(REST_BITS - slice_bits)] = True
-        return pd.DataFrame({"bucket": parts["bucket"][:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+        every = np.sort(np.concatenate([*(np.frombuffer(x, np.uint32) for x in parts["alone"]), shared]))  # a part has each once
+        again = every[1:][every[1:] == every[:-1]]
+
+        def packed(found):
+            bits = np.zeros(1 << slice_bits, bool)
+            bits[found >> np.uint32(REST_BITS - slice_bits)] = True
+            return np.packbits(bits, bitorder="little").tobytes()
+
+        k = many_parts - 1
+        many = every[k:][every[k:] == every[:len(every) - k]] if many_parts else every[:0]
+        return pd.DataFrame({"bucket": parts["bucket"][:1], "bits": [packed(np.concatenate([shared, again]))],
+                             "many": [packed(many) if many_parts else b""]})
 
     parts = rows.mapInArrow(run, "bucket int, alone binary, shared binary")
     bits = np.zeros((1 << BUCKET_BITS, (1 << slice_bits) // 8), np.uint8)
-    for r in parts.groupBy("bucket").applyInPandas(merge, "bucket int, bits binary").toLocalIterator():
+    many = np.zeros_like(bits) if many_parts else None
+    for r in parts.groupBy("bucket").applyInPandas(merge, "bucket int, bits binary, many binary").toLocalIterator():
         bits[r.bucket] = np.frombuffer(r.bits, np.uint8)
+        if many_parts:
+            many[r.bucket] = np.frombuffer(r.many, np.uint8)
     release(rows.sparkSession)
-    return SharedFilter(bits.reshape(-1), log_bits)
+    return SharedFilter(bits.reshape(-1), log_bits, None if many is None else many.reshape(-1))

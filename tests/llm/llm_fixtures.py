@@ -1,7 +1,8 @@
 """Small tables with every odd case, for all operators."""
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, n_tokens string, kept string, digest string, locator string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, n_tokens string, kept string, digest string, locator string, " \
+         "__sha string, __id string, __text string, __rate string, __n_tokens string, row string, copies string, kept_id string"
 
 
 def odd_rows():
@@ -16,7 +17,7 @@ def odd_rows():
         (12, "é ß € “x” <|endoftext|> İ \U0001F600"), (12, "é ß € “x” <|endoftext|> İ \U0001F600"), (7, " ".join(near)),
         (None, None), (13, "x" * 500), (14, "y" + "x" * 120 + "z"), (15, "two words\nand " + "x" * 60),
     ]
-    return [(i, t, None, "s", None, 99, "clash", "clash", None, "clash") for i, t in texts]
+    return [(i, t, None, "s", None, 99, "clash", "clash", None, "clash", *["clash"] * 8) for i, t in texts]
 
 
 def frame(spark, rows=None):
