@@ -235,11 +235,14 @@ def copies(rate: str) -> Column:
 def mix(docs: DataFrame, labels: DataFrame, domain: str, targets: dict[str, float], repeat: bool = True, **options) -> DataFrame:
     """The rows of ``docs`` as often as their rates say (at most once without ``repeat``), columns as they are."""
     prepare(docs.sparkSession)
+    # The whole row goes along in one column, so no name of its columns clashes, and each text is classified once.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
     domains = fit_domains(docs, labels, domain)
-    soft = stage(with_domains(id_and_text(docs), domains, ["doc_id"]), "mix-posteriors")
+    soft = stage(with_domains(rows, domains, ["row", "doc_id"]), "mix-posteriors")
     steps = fit_rates(soft, domains.names, targets, **options)
-    rated = (with_domains(docs, domains).withColumn("__rate", rate_column(steps, len(domains.names), **_bounds(options, domains.names)))
-             .withColumn("__copies", copies("__rate")).where("__copies > 0"))
+    rated = (soft.withColumn("rate", rate_column(steps, len(domains.names), **_bounds(options, domains.names)))
+             .withColumn("copies", copies("rate")).where("copies > 0"))
     if repeat:
-        rated = rated.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-    return rated.select(*[F.col(f"`{c}`") for c in docs.columns])
+        rated = rated.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return rated.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
