@@ -6,14 +6,15 @@ quantisation, each from its own random start). The signs of all rotated
 coordinates are a vector's code.
 
 Index. Every valid vector is indexed, in blocks of bounded size. A code is
-split into 8-bit substrings; for each, a block has the rows in order of the
-substring's value.
+split into 8-bit substrings; for each, a block has its rows in order of the
+substring's value and where each value's bucket begins.
 
 Search. If two codes differ in at most r bits and there are m substrings, one
 substring differs in at most r // m bits; more exactly, one of the first
 r % m + 1 does, or one of the others differs in at most r // m - 1. Probing the
-buckets within these distances finds every code within the radius. Found codes
-are compared in full, and those within the radius are reranked by their cosine
+buckets within these distances finds every code within the radius: the rows of
+those buckets are gathered, no others are looked at, and the answer tells how
+many a query probed. Found codes are compared in full, and those within the radius are reranked by their cosine
 on the original vectors in double precision.
 
 The radius is calibrated on the sample: it holds ``coverage`` of the true
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from ebbflow.llm.common import prepare, record, stage
 
 _VALUES = np.arange(256, dtype=np.uint8)
-_DISTANCE = np.bitwise_count(_VALUES[:, None] ^ _VALUES[None, :])  # between substrings
+_MASKS = [_VALUES[np.bitwise_count(_VALUES) <= near] for near in range(9)]  # what turns a substring into those near it
 
 
 @dataclass
@@ -93,36 +94,46 @@ def learn_codes(sample: np.ndarray, rotations: int = 4, turns: int = 25, queries
 
 
 class BlockIndex:
-    """The multi-index of one block of codes."""
+    """The multi-index of one block of codes: rows in buckets by the value of each substring."""
 
     def __init__(self, code: np.ndarray):
-        self.code = code
+        self.rows = len(code)
+        self.order = [np.argsort(column, kind="stable") for column in code.T]
+        self.begin = [np.searchsorted(column[order], np.arange(257)) for column, order in zip(code.T, self.order, strict=True)]
         self.wide = np.ascontiguousarray(np.pad(code, ((0, 0), (0, -code.shape[1] % 8)))).view(np.uint64)
 
-    def within(self, query: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """All (query, row) pairs whose codes differ in at most ``radius`` bits."""
-        m = self.code.shape[1]
+    def bucket_rows(self, j: int, values: np.ndarray, near: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) of the buckets of substring ``j`` within ``near`` bits of each query's value."""
+        probes = (values[:, None] ^ _MASKS[near]).astype(np.int64)
+        first, size = self.begin[j][probes].ravel(), (self.begin[j][probes + 1] - self.begin[j][probes])
+        query = np.repeat(np.arange(len(values)), size.sum(1))
+        size = size.ravel()
+        place = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return query, self.order[j][place]
+
+    def within(self, query: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All (query, row) pairs whose codes differ in at most ``radius`` bits, and how many rows each query probed."""
+        m = len(self.order)
         most, odd = divmod(radius, m)
-        probed = np.zeros((len(query), len(self.code)), bool)
+        probed = np.zeros((len(query), self.rows), bool)
         for j in range(m):
-            near = most if j <= odd else most - 1
+            near = min(most if j <= odd else most - 1, 8)
             if near >= 0:
-                buckets = _DISTANCE[:, self.code[:, j]] <= near  # for each value, the rows of the buckets near it
-                probed |= buckets[query[:, j]]
+                probed[self.bucket_rows(j, query[:, j], near)] = True
         q, row = np.nonzero(probed)
         wide = np.ascontiguousarray(np.pad(query, ((0, 0), (0, -query.shape[1] % 8)))).view(np.uint64)
         keep = np.zeros(len(q), bool)
         for s in range(0, len(q), 1 << 18):
             e = slice(s, s + (1 << 18))
             keep[e] = np.bitwise_count(wide[q[e]] ^ self.wide[row[e]]).sum(1, dtype=np.int64) <= radius
-        return q[keep], row[keep]
+        return q[keep], row[keep], np.bincount(q, minlength=len(query))
 
 
 def best_of_block(index: BlockIndex, ids, unit, q_ids, q_code, q_unit, radius: int, k: int):
-    """Each query's ``k`` nearest rows of the block: (query, row, score)."""
-    out = []
+    """Each query's ``k`` nearest rows of the block, (query, row, score), and how many rows each query probed."""
+    out, probed = [], np.zeros(len(q_ids), np.int64)
     for s in range(0, len(q_ids), 256):
-        q, row = index.within(q_code[s:s + 256], radius)
+        q, row, probed[s:s + 256] = index.within(q_code[s:s + 256], radius)
         q += s
         own = q_ids[q] == ids[row]
         q, row = q[~own], row[~own]
@@ -137,8 +148,8 @@ def best_of_block(index: BlockIndex, ids, unit, q_ids, q_code, q_unit, radius: i
         place = np.arange(len(q)) - np.searchsorted(q, q)
         out.append((q[place < k], row[place < k], score[place < k]))
     if not out:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0), probed
+    return *(np.concatenate(x) for x in zip(*out, strict=True)), probed
 
 
 _BLOCKS = pa.schema([("ids", pa.binary()), ("vectors", pa.binary())])
@@ -164,7 +175,8 @@ def index_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
 
 
 def search_blocks(blocks: DataFrame, queries: DataFrame, codes: Codes, radius: int, k: int, query_rows: int) -> DataFrame:
-    """``(row, query_id, vec_id, score)``: each query's ``k`` nearest of every slot of blocks."""
+    """``(row, query_id, vec_id, score, probed)``: each query's ``k`` nearest of every block, and a row without
+    ``vec_id`` that tells how many of the slot's rows it probed."""
     slots, chunks = max(1, blocks.count()), max(1, -(-queries.count() // query_rows))
 
     def numbered(n):
@@ -174,24 +186,28 @@ def search_blocks(blocks: DataFrame, queries: DataFrame, codes: Codes, radius: i
     right = queries.withColumn("chunk", (F.abs(F.xxhash64("row")) % chunks).cast("int")).withColumn("slot", numbered(slots))
 
     def search(rows: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []})]
+        found = [pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": [], "probed": []})]
         if len(rows) and len(asking):
+            probed = np.zeros(len(asking), np.int64)
             q_row, q_id, q_unit = asking["row"].to_numpy(), asking["id"].to_numpy(), unit_rows(np.stack(asking["vector"]))
             q_code = codes.encode(q_unit)
             for ids, vectors in zip(rows["ids"], rows["vectors"], strict=True):
                 ids = np.frombuffer(ids, np.int64)
                 unit = unit_rows(np.frombuffer(vectors).reshape(len(ids), -1))
-                q, at, score = best_of_block(BlockIndex(codes.encode(unit)), ids, unit, q_id, q_code, q_unit, radius, k)
-                found.append(pd.DataFrame({"row": q_row[q], "query_id": q_id[q], "vec_id": ids[at], "score": score}))
-        return pd.concat(found)
+                q, at, score, own = best_of_block(BlockIndex(codes.encode(unit)), ids, unit, q_id, q_code, q_unit, radius, k)
+                probed += own
+                found.append(pd.DataFrame({"row": q_row[q], "query_id": q_id[q], "vec_id": ids[at], "score": score, "probed": 0}))
+            found.append(pd.DataFrame({"row": q_row, "query_id": q_id, "vec_id": pd.array([None] * len(q_id), "Int64"), "score": -2.0,
+                                       "probed": probed}))
+        return pd.concat([f.astype({"vec_id": "Int64"}) for f in found])
 
     return left.groupBy("slot", "chunk").cogroup(right.groupBy("slot", "chunk")).applyInPandas(
-        search, "row long, query_id long, vec_id long, score double")
+        search, "row long, query_id long, vec_id long, score double, probed long")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int = 20_000, block_rows: int = 4096,
             query_rows: int = 4096, id_col: str = "vec_id", vec_col: str = "embedding", **learning) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``; ``is_query`` is a condition on the column ``id``.
+    """``(query_id, rank, vec_id, score, probed)``; ``is_query`` is a condition on the column ``id``.
 
     The codes are learned from at most ``sample_rows`` rows, those whose ids hash lowest.
     """
@@ -210,11 +226,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
 
     def answers(asking: DataFrame, radius: int) -> DataFrame:
         found = search_blocks(blocks, asking, codes, radius, k, query_rows)
-        return stage(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "multi-index-found")
+        found = found.withColumns({"rank": F.row_number().over(best), "probed": F.sum("probed").over(Window.partitionBy("row"))})
+        return stage(found.where((F.col("rank") <= k) & F.col("vec_id").isNotNull()), "multi-index-found")
 
     found = answers(queries, codes.radius)
     enough = found.where(F.col("rank") == min(k, max(rows.count() - 1, 1))).select("row")
     short = stage(queries.join(enough, "row", "left_anti"), "multi-index-short")
     if not short.isEmpty():  # the largest radius holds every code
         found = found.join(short.select("row"), "row", "left_anti").unionByName(answers(short, codes.bits))
-    return found.select("query_id", "rank", "vec_id", "score")
+    return found.select("query_id", "rank", "vec_id", "score", "probed")

@@ -229,6 +229,32 @@ def test_nearest_odd(spark):
     assert multi_index.nearest(df.where("vec_id = 0"), F.col("id") % 50 == 0).count() == 0
 
 
+def test_close_codes_are_found_without_probing_most_rows():
+    rng = np.random.default_rng(12)
+    centres = rng.integers(0, 256, (40, 32), np.uint8)
+    code = centres[rng.integers(0, 40, 4000)] ^ np.packbits(rng.random((4000, 256)) < 0.02, axis=1)
+    index = multi_index.BlockIndex(code)
+    q, row, probed = index.within(code[:50], 24)
+    apart = np.bitwise_count(code[:50, None] ^ code[None]).sum(2)
+    assert sorted(zip(q.tolist(), row.tolist())) == sorted(zip(*(x.tolist() for x in np.nonzero(apart <= 24))))
+    assert probed.mean() < 0.25 * len(code)  # the buckets hold a part of the rows, and no others are looked at
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_the_given_vectors(spark, sf):
+    v = table(spark, f"/root/testdata/{sf}", "embeddings")
+    rows = multi_index.nearest(v, F.col("id") % 50 == 0, k=5).collect()
+    x = np.array([r.embedding for r in v.orderBy("vec_id").collect()], float)
+    ids = np.array([r.vec_id for r in v.select("vec_id").orderBy("vec_id").collect()])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    at = np.flatnonzero(ids % 50 == 0)
+    near = x[at] @ x.T
+    near[np.arange(len(at)), at] = -2
+    exp = {(int(ids[a]), int(ids[b])) for a, best in zip(at, np.argsort(-near, axis=1, kind="stable")[:, :5]) for b in best}
+    assert len(exp & {(r.query_id, r.vec_id) for r in rows}) >= 0.9 * len(exp)
+    assert all(5 <= r.probed <= len(ids) for r in rows)
+
+
 def test_probing_finds_every_code_within_the_radius():
     rng = np.random.default_rng(4)
     code, query = rng.integers(0, 256, (500, 6), np.uint8), rng.integers(0, 256, (40, 6), np.uint8)
@@ -236,7 +262,8 @@ def test_probing_finds_every_code_within_the_radius():
     code[:40, 0] ^= 0b101
     apart = np.bitwise_count(query[:, None, :] ^ code[None]).sum(2)
     for radius in (0, 1, 2, 7, 13, 48):
-        q, row = multi_index.BlockIndex(code).within(query, radius)
+        q, row, probed = multi_index.BlockIndex(code).within(query, radius)
+        assert (probed >= np.bincount(q, minlength=len(query))).all()
         assert set(zip(q.tolist(), row.tolist(), strict=True)) == set(zip(*map(list, np.nonzero(apart <= radius)), strict=True))
 
 
