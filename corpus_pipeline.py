@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbflow.functions.names import fresh_names
 from ebbflow.llm import exact_dedup, jaccard_join, mixing, packing, quality
 from ebbflow.llm.common import stage, table
 from ebbflow.llm.queries import LABEL_DOMAIN, TARGETS, WORD_BPE
@@ -35,8 +36,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links join, the one with the smallest id; rows of one id stay together."""
     found = jaccard_join.jaccard_components(docs)
-    found = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(F.col("__id")), "left_semi")
+    (kept,) = fresh_names(docs.columns, "kept_id")
+    found = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept)).distinct()
+    return docs.join(found, docs.doc_id.eqNullSafe(F.col(kept)), "left_semi")
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
