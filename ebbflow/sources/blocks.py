@@ -28,6 +28,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 READ_BYTES = 4 << 20
+TASK_BYTES = 8 << 20  # of files in blocks smaller than that, one task reads so many bytes
+TASK_BLOCKS = 512  # or so many blocks
+BATCH_RECORDS = 10_000
 _QUOTE, _LF, _CR = ord('"'), ord("\n"), ord("\r")
 _BOM = b"\xef\xbb\xbf"
 # Schemes of Hadoop whose Arrow name differs.
@@ -163,10 +166,12 @@ def block_effect(f, offset: int, size: int, line_end: int) -> tuple[bool, int, i
 
 
 def n_tasks(lengths: DataFrame, block_bytes: int, most: int = 50_000) -> int:
-    """Tasks for files ``(length)`` read in blocks. It is given to ``repartition``, for rows that name
-    blocks are so small that Spark would otherwise put them all into one task."""
-    n = lengths.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("length") / block_bytes)))).first()[0]
-    return max(1, min(int(n or 0), most))
+    """Tasks for files ``(length)`` read in blocks, of which small ones share a task. It is given to ``repartition``,
+    for rows that name blocks are so small that Spark would otherwise put them all into one task."""
+    n, size = lengths.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("length") / block_bytes))), F.sum("length")).first()
+    n, size = int(n or 0), int(size or 0)
+    enough = max(lengths.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES), -(-n // TASK_BLOCKS))
+    return max(1, min(n, enough, most))
 
 
 def record_ranges(files: DataFrame, block_bytes: int) -> DataFrame:
@@ -266,6 +271,8 @@ def read_records(ranges: DataFrame, tasks: int) -> DataFrame:
     columns = ("path", "line_sep", "begin", "end", "gzipped", "tag")
 
     def run(batches):
+        out: dict[str, list] = {name: [] for name in _RECORDS.names}
+        size = 0
         for b in batches:
             for path, sep, begin, end, gzipped, tag in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
                 with open_file(path) as f:
@@ -278,9 +285,15 @@ def read_records(ranges: DataFrame, tasks: int) -> DataFrame:
                         values = values[1:] if header else values
                         header = False
                         values = [v for v in values if v]
-                        for at in range(0, len(values), 10_000):
-                            part = values[at:at + 10_000]
-                            yield pa.RecordBatch.from_pydict({"filename": [path] * len(part), "value": part, "tag": [tag] * len(part)}, schema=_RECORDS)
+                        for at in range(0, len(values), BATCH_RECORDS):
+                            part = values[at:at + BATCH_RECORDS]
+                            if len(out["value"]) + len(part) > BATCH_RECORDS or size > READ_BYTES:  # records of short ranges go together
+                                yield pa.RecordBatch.from_pydict(out, schema=_RECORDS)
+                                out, size = {name: [] for name in _RECORDS.names}, 0
+                            for name, value in (("filename", [path] * len(part)), ("value", part), ("tag", [tag] * len(part))):
+                                out[name] += value
+                            size += sum(map(len, part))
+        yield pa.RecordBatch.from_pydict(out, schema=_RECORDS)
 
     return ranges.repartition(tasks).select(*columns).mapInArrow(run, "filename string, value string, tag long")
 

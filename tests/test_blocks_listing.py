@@ -131,6 +131,13 @@ def test_one_plain_file_is_read_by_many_tasks(spark, tmp_dir):
     assert rows.count() == 20_000 and rows.where("note like 'line\nbreak %'").count() == 20_000
 
 
+def test_small_blocks_share_tasks(spark):
+    files = spark.createDataFrame([(40 << 20,), (3,), (0,)], "length long")
+    assert blocks.n_tasks(files, 4096) <= 64
+    assert blocks.n_tasks(files, 1 << 30) == 3
+    assert blocks.n_tasks(files.where("length < 0"), 4096) == 1
+
+
 def test_hidden_and_padded_files_are_read(spark, tmp_dir):
     body = b"adid,created_at\nu1,1\nu2,2\n"
     os.makedirs(f"{tmp_dir}/.deep/_er")
