@@ -93,7 +93,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: str, most_labels: in
     """Fit on at most ``most_labels`` labelled rows (a documented bound)."""
     sample = stage(labelled_sample(labels, domain, most_labels), "mix-sample")
     texts = id_and_text(docs).join(F.broadcast(sample), "doc_id").select("domain", "text")  # most_labels short rows
-    texts = stage(texts, "mix-texts")
+    # Counted without the texts, which are then read once and not written.
     totals = {r.domain: r["count"] for r in texts.groupBy("domain").count().collect()}
     names = sorted(totals)
     if len(names) < 2:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ebbflow.llm.common import id_and_text, prepare, record
-from ebbflow.llm.word_tokens import prove_whole_tokens, token_ids
+from ebbflow.llm.word_tokens import token_ids
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
                     ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()), ("step_id", pa.int64()), ("ids", pa.binary())])
@@ -150,12 +150,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, max_to
     if max_tokens < 1 or max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
     prepare(docs.sparkSession)
-    whole = prove_whole_tokens(tokenizer_path)
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
         base = TaskContext.get().partitionId() << 33
-        ids, packer = token_ids(tokenizer_path, whole), Packer(max_tokens)
+        ids, packer = token_ids(tokenizer_path), Packer(max_tokens)
         made = {"sequences": 0, "steps": 0}
 
         def rows(windows):

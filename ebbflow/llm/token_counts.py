@@ -1,6 +1,6 @@
 """Token counts by the whole-token shortcut (operator 10).
 
-Offline, the vocabulary strings that encode alone as one token are proved with
+Once a worker, the vocabulary strings that encode alone as one token are proved with
 the library (``word_tokens.prove_whole_tokens``). Per text, pre-tokens among
 them count one; only the others are merged, once per distinct word.
 
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ebbflow.llm.common import id_and_text, prepare, record
-from ebbflow.llm.word_tokens import prove_whole_tokens, token_ids
+from ebbflow.llm.word_tokens import token_ids
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
@@ -24,10 +24,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` per row; a narrow job without a shuffle."""
     prepare(docs.sparkSession)
-    whole = prove_whole_tokens(tokenizer_path)
 
     def run(batches):
-        ids = token_ids(tokenizer_path, whole)
+        ids = token_ids(tokenizer_path)
         for b in batches:
             texts = b.column("text").to_pylist()
             n = [ids.count(t) for t in texts]

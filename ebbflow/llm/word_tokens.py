@@ -4,7 +4,7 @@ The library lower-cases a text and splits it into words, single digits and
 runs of other characters; each pre-token is then merged on its own. So the ids
 of a text are the ids of its pre-tokens, and a pre-token needs merging once.
 
-``prove_whole_tokens`` tells offline which vocabulary strings encode alone as
+``prove_whole_tokens`` tells ahead of the texts which vocabulary strings encode alone as
 one token: those pre-tokens are looked up, only the rest are merged by the
 library. The split below is the library's own one restricted to characters
 where both agree by construction (printable ASCII, Latin-1 letters and common
@@ -132,9 +132,9 @@ class TokenIds:
         return b"".join(map(self.ids.__getitem__, words))
 
 
-def token_ids(path: str, whole: dict[str, int]) -> TokenIds:
-    """One per worker process, so that what it has merged serves its later tasks."""
+def token_ids(path: str) -> TokenIds:
+    """One per worker process, so that what it has proved and merged serves its later tasks; the driver loads none."""
     key = f"ids:{path}"
     if key not in _LOADED:
-        _LOADED[key] = TokenIds(path, whole)
+        _LOADED[key] = TokenIds(path, prove_whole_tokens(path))
     return _LOADED[key]

@@ -161,6 +161,18 @@ def test_mixing_odd(spark):
     assert mixing.mix(frame(spark, []), known, queries.LABEL_DOMAIN, queries.TARGETS).count() == 0
 
 
+def test_domains_are_fitted_without_writing_texts(spark, monkeypatch):
+    kinds = [(i, "red apple pie" if i % 3 else "blue stone wall", i % 3 > 0) for i in range(120)]
+    d = docs(spark, [(i, t) for i, t, _ in kinds])
+    staged, write = [], mixing.stage
+    monkeypatch.setattr(mixing, "stage", lambda df, name: staged.append((name, df.columns)) or write(df, name))
+    found = mixing.fit_domains(d, labels(spark, [(i, int(q), 0) for i, _, q in kinds]), queries.LABEL_DOMAIN)
+    assert [n for n, columns in staged if "text" in columns] == []
+    assert found.names == ["quality0_toxic0", "quality1_toxic0"] and set(found.tokens) == {b"red", b"apple", b"pie", b"blue", b"stone", b"wall"}
+    p = found.posteriors([[found.tokens[b"red"]], [found.tokens[b"blue"]]])
+    assert p[0, 1] > 0.99 and p[1, 0] > 0.99
+
+
 @pytest.mark.parametrize("clean", [0.99, 0.6])
 def test_the_pipelines_mixing_keeps_every_clean_document(spark, tmp_path, clean):
     kinds = {i: "clean" if i < 2000 * clean else ("toxic", "poor")[i % 2] for i in range(2000)}

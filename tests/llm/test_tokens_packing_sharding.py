@@ -50,6 +50,16 @@ def test_counts(spark):
     assert token_counts.count_tokens(frame(spark, []), PATH).count() == 0
 
 
+def test_the_driver_loads_no_tokenizer(spark, monkeypatch):
+    def load(path):
+        raise AssertionError("loaded in the driver")
+
+    monkeypatch.setattr("ebbflow.llm.word_tokens.load_tokenizer", load)
+    rows = docs(spark, [(1, "Some words, some more"), (2, None)])
+    assert token_counts.count_tokens(rows, PATH).count() == 2
+    assert {r.doc_id for r in packing.pack_documents(rows, PATH).select("doc_id").collect()} == {1, 2}
+
+
 @pytest.mark.parametrize("max_tokens,buffer", [(2048, 2_000_000), (256, 1000), (8, 50)])
 def test_packing_holds_every_id_once(spark, max_tokens, buffer):
     rows = packing.pack_documents(frame(spark), PATH, max_tokens=max_tokens, buffer_tokens=buffer).collect()
